@@ -6,4 +6,12 @@ except values whose size is bounded by a parameter (cell centroids, rule tables,
 a query batch below a checked byte budget).
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions sent to Python workers carry their code along, so executors need no
+# installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from corpusmill.constants import USER_SLUG_CHARS
 
-# The characters str.strip() and str.split() treat as white space, written so that
-# Java and RE2 read the class alike.
-SPACE = (
-    r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+# The characters str.strip() and str.split() treat as white space: Unicode's, which Java
+# tests in one lookup, and the four separators x1c to x1f.
+SPACE = r"[\s\x1c-\x1f]"
+UNICODE = "(?U)"
 EXTENSION = r"[^/.][^/]*(\.[^./]*)\z"
 
 # URI path, step by step: what is dropped, in this order.
@@ -64,7 +62,7 @@ def flag_test(text: Column | str) -> Column:
 
 def strip(text: Column | str) -> Column:
     """Cut all white space at both ends (``trim`` cuts spaces only)."""
-    return F.regexp_replace(_col(text), rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.regexp_replace(_col(text), rf"{UNICODE}^{SPACE}+|{SPACE}+\z", "")
 
 
 def squeeze_blank_lines(text: Column | str) -> Column:
@@ -84,7 +82,7 @@ def unquote(name: Column | str) -> Column:
 
 def tokens(text: Column | str) -> Column:
     """White-space tokens in order, empty pieces left out."""
-    return F.filter(F.split(_col(text), SPACE + "+"), lambda t: t != "")
+    return F.array_remove(F.split(_col(text), UNICODE + SPACE + "+"), "")
 
 
 def ordered_join(order: Column | str, text: Column | str, sep: str = "\n") -> Column:

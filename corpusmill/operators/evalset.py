@@ -54,17 +54,18 @@ def expected_response(
 def potential_evaluation_set(requests: DataFrame, assessments: DataFrame) -> DataFrame:
     """Every request with its newest assessment, if any, and the derived columns.
 
-    ``assessments`` is deduplicated first; both sides of each join have one row per
-    request, so the join neither multiplies rows nor meets a hot key. All log columns
-    stay for debugging; take :data:`SAVED_COLUMNS` for the evaluation set proper.
+    Both sides of each join have one row per request, so the join neither multiplies
+    rows nor meets a hot key. The newest assessment of a request is also the last word
+    of its assessor, so only the likes need the deduplicated log. All log columns stay
+    for debugging; take :data:`SAVED_COLUMNS` for the evaluation set proper.
     """
-    last_words = dedup_assessments(assessments)
-    one = newest_per(last_words.drop("liked_doc_uris"), ["request_id"]).withColumnRenamed(
+    one = newest_per(assessments.drop("liked_doc_uris"), ["request_id"]).withColumnRenamed(
         "timestamp", "assessment_timestamp"
     )
+    liked = liked_documents(dedup_assessments(assessments))
     return (
         requests.join(one, "request_id", "left")
-        .join(liked_documents(last_words), "request_id", "left")
+        .join(liked, "request_id", "left")
         .withColumn("expected_response", expected_response())
         .withColumn("is_correct", F.col("rating") == "yes")
     )

@@ -125,24 +125,36 @@ def build_index(
         if not repeated.isEmpty():
             raise ValueError(f"{key} is not unique")
     path = path or scratch_dir(spark)
-    assigned = assign_cells(vectors, centroids, key, embedding)
-    placed = assigned.withColumnRenamed(embedding, "embedding").hint("rebalance", F.col("cell"))
+    assigned = assign_cells(vectors, centroids, key, embedding).withColumnRenamed(embedding, "embedding")
+    placed = assigned.hint("rebalance", F.col("cell"))
     placed.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
-    meta = spark.createDataFrame(
-        [(i, c.tolist(), key, embed_name) for i, c in enumerate(centroids)],
-        "cell int, centroid array<double>, key string, embed_name string",
+    meta = pa.table(
+        {
+            "cell": pa.array(range(len(centroids)), pa.int32()),
+            "centroid": pa.array(centroids.tolist(), pa.list_(pa.float64())),
+            "key": [key] * len(centroids),
+            "embed_name": [embed_name] * len(centroids),
+        }
     )
-    meta.write.mode("overwrite").parquet(f"{path}/centroids")
-    return load_index(spark, path)
+    spark.createDataFrame(meta).coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
+    stored = spark.read.schema(_stored_schema(assigned)).parquet(f"{path}/vectors")
+    return _opened(path, stored, centroids, key, embed_name)
 
 
 def load_index(spark: SparkSession, path: str) -> VectorIndex:
     """Open a stored index; reads one row per cell to the driver."""
-    meta = spark.read.parquet(f"{path}/centroids").orderBy("cell").toArrow()
+    meta = spark.read.parquet(f"{path}/centroids").toArrow().sort_by("cell")
     centroids = checked_centroids(matrix(meta["centroid"]))
     vectors = spark.read.parquet(f"{path}/vectors")
+    return _opened(path, vectors, centroids, meta["key"][0].as_py(), meta["embed_name"][0].as_py())
+
+
+def _stored_schema(assigned: DataFrame) -> T.StructType:
+    """Partition columns come last in what is read back."""
+    return T.StructType([*[f for f in assigned.schema.fields if f.name != "cell"], assigned.schema["cell"]])
+
+
+def _opened(path: str, vectors: DataFrame, centroids: np.ndarray, key: str, embed_name: str) -> VectorIndex:
     stats = vectors.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("cell_score").alias("low"))
     cells = {r["cell"]: (r["n"], r["low"]) for r in stats.collect()}
-    return VectorIndex(
-        path, vectors, centroids, cells, meta["key"][0].as_py(), centroids.shape[1], meta["embed_name"][0].as_py()
-    )
+    return VectorIndex(path, vectors, centroids, cells, key, centroids.shape[1], embed_name)

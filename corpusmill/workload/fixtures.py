@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.operators.chat import requests_with_responses
-from corpusmill.operators.parse import html_parser, parse_files, plain_text_parser
+from corpusmill.operators.parse import parse_files, plain_text_parser
 from corpusmill.operators.quality import chunk_precision
 from corpusmill.session import spread
 
 BASE_SECONDS = 1704067200  # 2024-01-01 00:00:00 UTC
 UNPARSED_SOURCE = "src7"  # this source delivers a format without a parser
-TEXT_PARSERS = {".txt": plain_text_parser, ".html": html_parser}
+TEXT_PARSERS = {".txt": plain_text_parser}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

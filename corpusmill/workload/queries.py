@@ -524,7 +524,7 @@ def eval_join(spark, sf_dir):
 @query(q.with_ctes(q.REQUESTS, q.ASSESSMENTS, q.EVAL_SET) + "select request_id, rating, expected_response from eval_set")
 def eval_expected_response(spark, sf_dir):
     requests = fx.request_log(spark, sf_dir)
-    last = newest_per(dedup_assessments(fx.assessment_log(spark, sf_dir)), ["request_id"])
+    last = newest_per(fx.assessment_log(spark, sf_dir), ["request_id"])
     joined = requests.join(last, "request_id", "left")
     return joined.select("request_id", "rating", expected_response().alias("expected_response"))
 
@@ -587,11 +587,10 @@ def met_doc_recall(spark, sf_dir):
         ResultColumns(chunk_text="doc_uri", document_uri="lang"),
     )
     retrieved = hits.groupBy("query_id").agg(F.collect_list("doc_uri").alias("retrieved"))
-    liked = fx.table(spark, sf_dir, "events").select(F.col("event_id").alias("assessment_id"), "user_id")
+    conversation = F.split_part("request_id", F.lit("-"), F.lit(1)).cast("long")
     expected = (
         fx.assessment_log(spark, sf_dir)
-        .join(liked, "assessment_id")
-        .select(F.col("user_id").alias("query_id"), F.explode("liked_doc_uris").alias("doc_uri"))
+        .select(conversation.alias("query_id"), F.explode("liked_doc_uris").alias("doc_uri"))
         .distinct()
         .groupBy("query_id")
         .agg(F.collect_list("doc_uri").alias("expected"))

@@ -7,6 +7,13 @@ from corpusmill.functions import text
 from corpusmill.functions.html import ENTITIES, markdown_steps
 
 
+# White space as str.split() sees it, in RE2's notation.
+SPACE = (
+    r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+
+
 def lit(s: str) -> str:
     """SQL string literal; line breaks are spelled out."""
     quoted = s.replace("'", "''")
@@ -20,7 +27,7 @@ def replace_all(expr: str, pattern: str, to: str) -> str:
 
 
 def strip(expr: str) -> str:
-    return replace_all(expr, rf"^{text.SPACE}+|{text.SPACE}+\z", "")
+    return replace_all(expr, rf"^{SPACE}+|{SPACE}+\z", "")
 
 
 def squeeze(expr: str) -> str:
@@ -69,13 +76,13 @@ DOC_PATH = (
 )
 PAGE_PATH = replace_all("url", r"/\z", "/index.html")
 
-DOCS = "docs as (" + parsed("documents", "doc_id", DOC_PATH, "text", "'.txt', '.html'") + ")"
+DOCS = "docs as (" + parsed("documents", "doc_id", DOC_PATH, "text", "'.txt'") + ")"
 PARSED_PAGES = (
     "parsed_pages as ("
-    + parsed(f"(select *, {markdown('html')} as md from pages)", "page_id", PAGE_PATH, "md", "'.txt', '.html'")
+    + parsed(f"(select *, {markdown('html')} as md from pages)", "page_id", PAGE_PATH, "md", "'.html'")
     + ")"
 )
-TOKENS = f"list_filter(regexp_split_to_array(doc_content, {lit(text.SPACE + '+')}), lambda t: t <> '')"
+TOKENS = f"list_filter(regexp_split_to_array(doc_content, {lit(SPACE + '+')}), lambda t: t <> '')"
 CHUNKS = f"""
 words as (select *, {TOKENS} as w from docs where parser_status = 'SUCCESS'),
 windows as (
