@@ -61,11 +61,11 @@ def _block_history(turns: DataFrame, block: int) -> DataFrame:
     blocks = turns.groupBy("conv_id", F.floor(F.col("turn") / block).alias("block")).agg(
         F.array_sort(F.collect_list(said)).alias("said")
     )
-    earlier = blocks.select("conv_id", F.col("block").alias("b"), F.col("said").alias("s"))
+    earlier = blocks.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), F.col("said").alias("s"))
     prefix = (
         blocks.select("conv_id", "block")
-        .join(earlier, (blocks["conv_id"] == earlier["conv_id"]) & (earlier["b"] < blocks["block"]))
-        .groupBy(blocks["conv_id"], "block")
+        .join(earlier, (F.col("c") == F.col("conv_id")) & (F.col("b") < F.col("block")))
+        .groupBy("conv_id", "block")
         .agg(F.array_sort(F.collect_list(F.struct("b", "s"))).alias("parts"))
         .select("conv_id", "block", F.flatten(F.transform("parts", lambda p: p["s"])).alias("before"))
     )
