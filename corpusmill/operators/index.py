@@ -57,15 +57,17 @@ def hash_pivots(vectors: DataFrame, n_cells: int, key: str = "vec_id", embedding
 
 
 def kmeans_centroids(
-    vectors: DataFrame, n_cells: int, fraction: float = 1.0, seed: int = 1, embedding: str = "embedding"
+    vectors: DataFrame, n_cells: int, per_cell: int | None = 256, seed: int = 1, embedding: str = "embedding"
 ) -> np.ndarray:
-    """Centroids trained by k-means, on a ``fraction`` of the vectors if below one.
+    """Centroids trained by k-means on about ``per_cell`` vectors per cell (None: on all).
 
     Training data shapes the cells only; every vector is indexed.
     """
     train = vectors.filter(F.col(embedding).isNotNull()).select(embedding)
-    if fraction < 1.0:
-        train = train.sample(fraction, seed)
+    if per_cell is not None:
+        wanted, n = per_cell * n_cells, train.count()
+        if n > wanted:
+            train = train.sample(wanted / n, seed)
     features = train.select(array_to_vector(embedding).alias("features"))
     model = KMeans(k=n_cells, seed=seed, distanceMeasure="cosine").fit(features)
     return checked_centroids(unit(np.array(model.clusterCenters())))

@@ -28,16 +28,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a local one is made.
+    Where that setting is absent, the warehouse stands in on a cluster and a
+    temporary folder on a single machine, as in tests.
     """
     global _fallback_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        if _fallback_scratch is None:
-            _fallback_scratch = tempfile.mkdtemp(prefix="corpusmill-")
+    if not base and spark.sparkContext.master.startswith("local"):
+        _fallback_scratch = _fallback_scratch or tempfile.mkdtemp(prefix="corpusmill-")
         base = _fallback_scratch
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/corpusmill-{uuid.uuid4().hex}"
 
 

@@ -32,7 +32,7 @@ from corpusmill.operators.evalset import (
     potential_evaluation_set,
 )
 from corpusmill.operators.index import assign_cells, build_index, hash_pivots
-from corpusmill.operators.parse import parse_files, status_counts, successful
+from corpusmill.operators.parse import COLUMN_PARSERS, parse_files, status_counts, successful
 from corpusmill.operators.prompt import messages, passage, prompts
 from corpusmill.operators.quality import (
     WITH_TRUTH,
@@ -56,6 +56,8 @@ from corpusmill.operators.search import (
     recall_at_k,
     rename_result,
 )
+from corpusmill.plans.answer import prompts_for, retrieve
+from corpusmill.plans.ingest import ingest
 from corpusmill.schemas import ParsedDocument, record_schema
 from corpusmill.session import scratch_dir, spread
 from corpusmill.sources.eval_rows import conform_eval_rows
@@ -493,6 +495,24 @@ def chat_request_response(spark, sf_dir):
     return requests_with_responses(turns).select("request_id", "request", "response")
 
 
+@query()
+def job_files_to_prompts(spark, sf_dir):
+    """The whole way: pages and documents as files, chunks, index, a prompt per benchmark text."""
+    raw = fx.raw_pages(spark, sf_dir).unionByName(fx.raw_docs(spark, sf_dir))
+    corpus = ingest(
+        raw,
+        f"corpusmill_docs_{uuid.uuid4().hex}",
+        n_cells=q.CELLS,
+        docs_path=scratch_dir(spark),
+        chunk_path=scratch_dir(spark),
+        parsers=COLUMN_PARSERS | fx.TEXT_PARSERS,
+    )
+    questions = fx.table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").cast("string").alias("request_id"), F.col("text").alias("request")
+    )
+    return prompts_for(questions, retrieve(questions, corpus))
+
+
 # --- evaluation set -------------------------------------------------------------------------------------------
 
 

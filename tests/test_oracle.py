@@ -12,6 +12,7 @@ WITHOUT_SQL = {
     "src_binary_files": "test_sources",
     "chunk_recursive": "test_chunk",
     "vec_hash_embed": "test_embed",
+    "job_files_to_prompts": "test_jobs",
 }
 
 
