@@ -9,6 +9,7 @@ SCORE_DIGITS = 6
 QUERY_BLOCK = 1024
 VECTOR_BLOCK = 4096
 PENDING_ROWS = 2_000_000
+CROWD = 4
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -36,15 +37,25 @@ def ids_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
+def _true_places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of every true value (faster than ``nonzero`` on a sparse matrix)."""
+    return np.divmod(np.flatnonzero(mask), mask.shape[1])
+
+
 class TopK:
     """The best ``k`` vectors per query over all blocks added; ties go to the smaller id.
 
     Holds ``k`` entries per query plus a bounded list of pending ones, whatever the
-    number of vectors that pass through.
+    number of vectors that pass through, and takes a few times ``k`` per query from any
+    block at most, also where a block is full of copies that tie. Single precision sorts out
+    what cannot reach a query's floor; what may is scored in double precision.
     """
 
     def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, skip_self: bool = False):
         self.query_ids, self.queries, self.k, self.skip_self = query_ids, unit(queries), k, skip_self
+        self.single = self.queries.astype(np.float32)
+        # Largest error of a single-precision product of unit vectors, and of rounding.
+        self.slack = np.float32(1e-6 + 1.5e-7 * queries.shape[1])
         self.floor = np.full(len(query_ids), -np.inf)
         self.kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.pending = 0
@@ -54,24 +65,45 @@ class TopK:
         if len(ids) == 0 or len(self.query_ids) == 0:
             return
         rows = np.arange(len(self.query_ids)) if rows is None else rows
-        vectors = unit(vectors)
+        order = np.argsort(ids, kind="stable")
+        ids, vectors = ids[order], unit(vectors)[order]
+        single = vectors.astype(np.float32)
         for v in range(0, len(ids), VECTOR_BLOCK):
-            block_ids, block = ids[v : v + VECTOR_BLOCK], vectors[v : v + VECTOR_BLOCK]
+            part = slice(v, v + VECTOR_BLOCK)
             for q in range(0, len(rows), QUERY_BLOCK):
-                self._score(rows[q : q + QUERY_BLOCK], block_ids, block)
+                self._score(rows[q : q + QUERY_BLOCK], ids[part], vectors[part], single[part])
 
-    def _score(self, rows: np.ndarray, ids: np.ndarray, block: np.ndarray) -> None:
-        scores = np.round(self.queries[rows] @ block.T, SCORE_DIGITS) + 0.0
+    def _score(self, rows: np.ndarray, ids: np.ndarray, block: np.ndarray, single: np.ndarray) -> None:
+        rough = self.single[rows] @ single.T
+        own = None
         if self.skip_self:
-            _, qi, vi = np.intersect1d(self.query_ids[rows], ids, return_indices=True)
-            scores[qi, vi] = -np.inf
-        floor = self.floor[rows]
-        if len(ids) > self.k:
-            cut = len(ids) - self.k
-            floor = np.maximum(floor, np.partition(scores, cut, axis=1)[:, cut])
-        q, v = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))
-        self.kept.append((rows[q], ids[v], scores[q, v]))
-        self.pending += len(q)
+            _, *own = np.intersect1d(self.query_ids[rows], ids, return_indices=True)
+            rough[tuple(own)] = -np.inf
+        may = rough >= (self.floor[rows] - self.slack).astype(np.float32)[:, None]
+        if own is not None:
+            may[tuple(own)] = False
+        crowded = np.count_nonzero(may, axis=1) > CROWD * self.k
+        q, v = _true_places(may & ~crowded[:, None] if crowded.any() else may)
+        exact = np.einsum("ij,ij->i", self.queries[rows[q]], block[v])
+        self._keep(rows[q], ids[v], np.round(exact, SCORE_DIGITS) + 0.0)
+        if crowded.any():
+            self._score_crowded(rows[crowded], ids, block, may[crowded])
+
+    def _score_crowded(self, rows: np.ndarray, ids: np.ndarray, block: np.ndarray, may: np.ndarray) -> None:
+        """Rows with many candidates in a block, whose columns are in order of id."""
+        scores = np.where(may, np.round(self.queries[rows] @ block.T, SCORE_DIGITS) + 0.0, -np.inf)
+        cut = scores.shape[1] - self.k
+        kth = np.partition(scores, cut, axis=1)[:, cut]
+        above, level = scores > kth[:, None], scores == kth[:, None]
+        room = self.k - np.count_nonzero(above, axis=1)
+        keep = above | (level & (np.cumsum(level, axis=1, dtype=np.int32) <= room[:, None]))
+        self.floor[rows] = np.maximum(self.floor[rows], kth)
+        q, v = _true_places(keep)
+        self._keep(rows[q], ids[v], scores[q, v])
+
+    def _keep(self, row: np.ndarray, vid: np.ndarray, score: np.ndarray) -> None:
+        self.kept.append((row, vid, score))
+        self.pending += len(row)
         if self.pending > PENDING_ROWS:
             self._compact()
 
