@@ -23,7 +23,7 @@ from corpusmill.operators.topk import TopK, best_cells, ids_of, matrix, unit
 from corpusmill.session import spill
 
 MAX_BROADCAST_BYTES = 64 << 20
-MAX_BROADCAST_HITS = 500_000
+MAX_BROADCAST_HIT_BYTES = 64 << 20
 # Size of the query and vector matrices that meet in one task of a large search.
 QUERY_PART_BYTES = 16 << 20
 VECTOR_PART_BYTES = 128 << 20
@@ -166,18 +166,18 @@ def fetch_passages(
     chunks: DataFrame,
     columns: ResultColumns,
     hit_key: str | None = None,
-    max_broadcast_hits: int = MAX_BROADCAST_HITS,
+    max_broadcast_bytes: int = MAX_BROADCAST_HIT_BYTES,
 ) -> DataFrame:
     """Chunk text, URI and further columns for hits that were ranked without them.
 
-    Only the wanted chunk columns are read. The hits are stored and counted first: up
-    to ``max_broadcast_hits`` (some tens of bytes each) they go to the chunks, so the
-    texts are not shuffled; above that both sides are shuffled on the key.
+    Only the wanted chunk columns are read. The hits are stored and measured first: up
+    to ``max_broadcast_bytes`` they go to the chunks, so the texts are not shuffled;
+    above that both sides are shuffled on the key.
     """
     hit_key = hit_key or columns.primary_key
     stored = spill(hits.withColumnRenamed(hit_key, columns.primary_key))
     wanted = chunks.select(columns.primary_key, *columns.payload)
-    if stored.count() <= max_broadcast_hits:
+    if _text_bytes(stored) <= max_broadcast_bytes:
         joined = wanted.join(F.broadcast(stored), columns.primary_key)
     else:
         joined = wanted.join(stored.hint("merge"), columns.primary_key)
@@ -201,13 +201,19 @@ def rename_result(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(old).alias(new) for old, new in names.items()])
 
 
+def _text_bytes(df: DataFrame) -> int:
+    """Size of a frame by the text of its values; at least a row's fixed cost per row."""
+    row = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(16))
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
+
+
 def _collect_queries(
     queries: DataFrame, query_id: str, embedding: str, max_bytes: int
 ) -> tuple[np.ndarray, np.ndarray] | None:
     """Ids and matrix of a query batch, or None where it does not fit the budget."""
     present = queries.filter(F.col(embedding).isNotNull())
-    n, dim = present.agg(F.count(F.lit(1)), F.max(F.size(embedding))).first()
-    if n * (dim or 0) * 8 > max_bytes:
+    first = present.select(F.size(embedding)).first()
+    if first is not None and present.count() * first[0] * 8 > max_bytes:
         return None
     table = present.select(query_id, embedding).toArrow()
     return ids_of(table[query_id]), matrix(table[embedding])

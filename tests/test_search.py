@@ -172,12 +172,12 @@ def test_kmeans_cells(spark):
     assert sum(n for n, _ in index.cells.values()) == 200
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
+@pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_passages(spark, limit):
     hits = spark.createDataFrame([(1, 1, 10, 0.9), (1, 2, 11, 0.05), (2, 1, 99, 0.8)], "query_id long, rank long, vec_id long, score double")
     chunks = spark.createDataFrame([(10, "t10", "u10", "en", 1), (11, "t11", "u11", "de", 2)], "chunk_id long, content_chunked string, doc_uri string, lang string, other int")
     got = S.fetch_passages(
-        S.above(hits, 0.1), chunks, S.ResultColumns(additional=["lang"]), "vec_id", max_broadcast_hits=limit
+        S.above(hits, 0.1), chunks, S.ResultColumns(additional=["lang"]), "vec_id", max_broadcast_bytes=limit
     )
     assert got.columns == ["query_id", "rank", "chunk_id", "score", "content_chunked", "doc_uri", "lang"]
     assert [tuple(r) for r in got.collect()] == [(1, 1, 10, 0.9, "t10", "u10", "en")]
