@@ -37,9 +37,17 @@ def raw_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` as raw files at their URLs; a URL that ends in ``/`` is its index page."""
-    pages = spread(table(spark, sf_dir, "pages"))
-    return pages.select(
-        F.regexp_replace("url", r"/\z", "/index.html").alias("path"),
+    return _page_files(spark, sf_dir, F.regexp_replace("url", r"/\z", "/index.html"))
+
+
+def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` as raw files named by their id. Different URLs may share a path; these do not."""
+    return _page_files(spark, sf_dir, F.concat(F.lit("file:/pages/"), "page_id", F.lit(".html")))
+
+
+def _page_files(spark: SparkSession, sf_dir: str, path) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages")).select(
+        path.alias("path"),
         F.timestamp_seconds(F.col("page_id") + BASE_SECONDS).alias("modificationTime"),
         F.octet_length("html").cast("long").alias("length"),
         F.encode("html", "UTF-8").alias("content"),

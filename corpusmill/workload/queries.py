@@ -498,7 +498,7 @@ def chat_request_response(spark, sf_dir):
 @query()
 def job_files_to_prompts(spark, sf_dir):
     """The whole way: pages and documents as files, chunks, index, a prompt per benchmark text."""
-    raw = fx.raw_pages(spark, sf_dir).unionByName(fx.raw_docs(spark, sf_dir))
+    raw = fx.saved_pages(spark, sf_dir).unionByName(fx.raw_docs(spark, sf_dir))
     corpus = ingest(
         raw,
         f"corpusmill_docs_{uuid.uuid4().hex}",
