@@ -13,13 +13,13 @@ from corpusmill.schemas import RAW_FILE, ParsedDocument, record_schema
 
 T0 = datetime(2024, 5, 1, 12, 0, 0)
 FILES = [
-    ("dbfs:/v/a.html", b"<h1>A</h1>\n\n\n\n<p>a test</p>"),
-    ("dbfs:/v/b.HTML", b"<p>upper</p>"),
-    ("dbfs:/v/c.pdf", b"%PDF"),
-    ("dbfs:/v/noext", b"x"),
-    ("dbfs:/v/bad.html", b"\xff<p>x</p>"),
-    ("dbfs:/v/d e.txt", b"plain words"),
-    ("dbfs:/v/boom.txt", b"boom"),
+    ("store:/v/a.html", b"<h1>A</h1>\n\n\n\n<p>a test</p>"),
+    ("store:/v/b.HTML", b"<p>upper</p>"),
+    ("store:/v/c.pdf", b"%PDF"),
+    ("store:/v/noext", b"x"),
+    ("store:/v/bad.html", b"\xff<p>x</p>"),
+    ("store:/v/d e.txt", b"plain words"),
+    ("store:/v/boom.txt", b"boom"),
 ]
 
 
@@ -51,7 +51,7 @@ def test_default_parsers(spark):
         if r.parser_status != SUCCESS:
             assert r.parser_status.startswith("ERROR: An error occurred: ")
             assert (r.doc_content, r.doc_uri, r.example_metadata, r.last_modified) == ("", None, None, None)
-    assert any(r.parser_status.endswith("No supported parser for dbfs:/v/b.HTML") for r in rows)
+    assert any(r.parser_status.endswith("No supported parser for store:/v/b.HTML") for r in rows)
     counts = {r.outcome: r.n_docs for r in status_counts(parse_files(raw(spark))).collect()}
     assert counts == {"SUCCESS": 1, "ERROR": 6}
 
@@ -87,7 +87,7 @@ def test_any_record_type(spark):
 
     rows = apply_parser(raw(spark), parse, record_schema(Wide)).collect()
     assert {r.n_bytes for r in rows} == {len(c) for _, c in FILES}
-    assert rows[0].words[0] == "dbfs:"
+    assert rows[0].words[0] == "store:"
 
 
 def test_extra_native_fields(spark):

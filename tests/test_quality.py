@@ -22,7 +22,7 @@ def all_rows():
 
 
 def expected(rules, precision, **ratings):
-    """The reference semantics written with pandas comparisons: unknown never matches."""
+    """The rules with plain comparisons: an unknown value never matches."""
     label = (None, None, None)
     for side, g, c, r, *value in rules:
         if precision is None or np.isnan(precision):

@@ -37,7 +37,7 @@ def test_extension_is_splitext(spark, paths):
 
 
 def uris():
-    scheme = st.sampled_from(["", "dbfs:", "file:", "http:", "https:", "HTTP:", "x-y.z:", "1a:", "ftp:"])
+    scheme = st.sampled_from(["", "store:", "file:", "http:", "https:", "HTTP:", "x-y.z:", "1a:", "ftp:"])
     rest = st.text(alphabet="ab/;?#:. %\t\n", max_size=25)
     return st.lists(st.builds(lambda s, r: s + r, scheme, rest), min_size=200, max_size=300)
 
