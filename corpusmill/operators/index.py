@@ -63,7 +63,8 @@ def kmeans_centroids(
 
     Training data shapes the cells only; every vector is indexed.
     """
-    train = vectors.filter(F.col(embedding).isNotNull()).select(embedding)
+    # A zero vector has no direction; cosine k-means does not take it (and NULL is no vector).
+    train = vectors.filter(F.exists(embedding, lambda x: x != 0)).select(embedding)
     if per_cell is not None:
         wanted, n = per_cell * n_cells, train.count()
         if n > wanted:

@@ -12,7 +12,7 @@ from corpusmill.operators.chunk import fixed_windows
 from corpusmill.operators.prompt import messages
 from corpusmill.operators.quality import WITH_TRUTH
 from corpusmill.plans.answer import prompts_for, retrieve
-from corpusmill.plans.ingest import ingest, reread
+from corpusmill.plans.ingest import index_chunks, ingest, reread
 from corpusmill.plans.review import quality_report, save_evaluation_set
 from corpusmill.session import scratch_dir
 from corpusmill.sources.files import load_files
@@ -31,6 +31,8 @@ def test_files_to_prompts(spark, tmp_path):
     )
     assert corpus.docs.count() == 4 and spark.table(f"{name}_chunked").count() == corpus.chunks.count() > 3
     assert [d.count() for d in reread(spark, name)] == [4, corpus.chunks.count()]
+    trained, _ = index_chunks(corpus.chunks, corpus.embedder, n_cells=2, train_cells=True)
+    assert sum(n for n, _ in trained.cells.values()) == corpus.chunks.count()
     questions = spark.createDataFrame(
         [("1", "puppy bark"), ("2", "gill fin"), ("3", "zzz qqq")], "request_id string, request string"
     )

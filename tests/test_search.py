@@ -165,11 +165,12 @@ def test_stored_index_reopens(spark):
 
 def test_kmeans_cells(spark):
     _, _, df = make(spark, 200, 4, 2)
-    centroids = kmeans_centroids(df, 6)
-    assert centroids.shape == (6, 4)
+    df = df.union(spark.createDataFrame([(-1, [0.0] * 4), (-2, None)], df.schema))
+    centroids = kmeans_centroids(df, 6, per_cell=20)
+    assert centroids.shape[1] == 4 and 1 < len(centroids) <= 6
     assert np.allclose(np.linalg.norm(centroids, axis=1), 1)
     index = build_index(df.withColumnRenamed("id", "vec_id"), centroids)
-    assert sum(n for n, _ in index.cells.values()) == 200
+    assert sum(n for n, _ in index.cells.values()) == 201
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 0])
