@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from corpusmill.llm.lines import judged_documents, kept_text
+from corpusmill.llm.mixing import mixed_documents
 from corpusmill.llm.ngram_join import ngram_classes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +41,79 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("""
+with l as (
+  select doc_id, line_no, list_filter(string_split_regex(line, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
+  from (
+    select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as line_no
+    from documents where text is not null)),
+d as (
+  select array_to_string(w, ' ') as line, any_value(w) as w, min({'doc_id': doc_id, 'line_no': line_no}) as first
+  from l where len(w) > 0 group by 1),
+v as (
+  select line, first, len(w) as n, i, array_to_string(list_concat(w[:i - 1], w[i + 1:]), ' ') as cut
+  from (select line, first, w, unnest(range(1, len(w) + 1)) as i from d)),
+replaced as (
+  select line from v join (select n, i, cut, min(first) as one from v where n >= 5 group by all) g using (n, i, cut)
+  where g.one < v.first),
+longer as (select v.line from v join d on v.cut = d.line and len(d.w) >= 5 where d.first < v.first),
+shorter as (select d.line from v join d on v.cut = d.line and len(d.w) >= 5 where v.first < d.first),
+gone as (
+  select l.doc_id, l.line_no from l join d on array_to_string(l.w, ' ') = d.line
+  where {'doc_id': l.doc_id, 'line_no': l.line_no} <> d.first
+     or d.line in (select line from replaced union select line from longer union select line from shorter)),
+kept as (
+  select documents.doc_id, x.line_no, x.line, gone.line_no is not null as out
+  from documents, (select doc_id as i, unnest(string_split(text, chr(10))) as line,
+                          generate_subscripts(string_split(text, chr(10)), 1) - 1 as line_no from documents) x
+  left join gone on gone.doc_id = x.i and gone.line_no = x.line_no where documents.doc_id = x.i)
+select doc_id, count(*) as n_lines, count(*) filter (out) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by line_no) filter (not out), '')) as kept_sha256
+from kept group by doc_id""")
+def op1_line_dedup(spark, sf_dir):
+    judged = judged_documents(table(spark, sf_dir, "documents"), min_words=5)
+    return judged.select(
+        "doc_id",
+        F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.sha2(kept_text(), 256).alias("kept_sha256"),
+    )
+
+
 @query()
 def op5_ngram_join(spark, sf_dir):
     return ngram_classes(table(spark, sf_dir, "documents"), n=4, threshold=(85, 100))
+
+
+@query("""
+with docs as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
+         ('0x' || substr(md5('7:' || coalesce(doc_id::varchar, 'null')), 1, 15))::bigint as key
+  from documents),
+sources as (
+  select source, sum(size)::bigint as source_size,
+         ((row_number() over (order by source nulls last) - 1) % 3 + 1)::double as w
+  from docs group by source),
+ordered as (
+  select *, sum(source_size) over () - coalesce(sum(3 * source_size) over (
+             order by 3 * source_size / w, source nulls last rows between unbounded preceding and 1 preceding), 0) as remaining,
+         sum(w) over (order by 3 * source_size / w, source nulls last rows between current row and unbounded following) as w_left
+  from sources),
+marked as (select *, 3 * source_size * w_left < remaining * w as capped from ordered),
+level as (select remaining, w_left from marked where not capped order by w_left desc limit 1),
+targets as (
+  select source, source_size,
+         case when capped then (3 * source_size)::double
+              else (select remaining from level)::double * w / (select w_left from level) end as target
+  from marked),
+placed as (
+  select docs.*, coalesce(sum(size) over (
+           partition by source order by key, doc_id rows between unbounded preceding and 1 preceding), 0) as start
+  from docs)
+select doc_id, size, source_size, target,
+       (case when source_size = 0 then 0 else
+          (floor(target)::bigint // source_size) * size
+          + greatest(0, least(size, floor(target)::bigint % source_size - start)) end)::bigint as taken
+from placed join targets on placed.source is not distinct from targets.source""")
+def op9_mixing(spark, sf_dir):
+    return mixed_documents(table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_epochs=3)
