@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusmill.llm.lines import judged_documents, kept_text
 from corpusmill.llm.mixing import mixed_documents
 from corpusmill.llm.ngram_join import ngram_classes
+from corpusmill.llm.substrings import repeated_passages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,3 +118,22 @@ select doc_id, size, source_size, target,
 from placed join targets on placed.source is not distinct from targets.source""")
 def op9_mixing(spark, sf_dir):
     return mixed_documents(table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_epochs=3)
+
+
+@query("""
+with w as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+runs as (
+  select doc_id, i, array_to_string(w[i:i + 49], ' ') as run
+  from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from w where len(w) >= 50)),
+hits as (select doc_id, i from runs join (select run, min(doc_id) as first from runs group by run) using (run) where first < doc_id),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) as p from hits),
+words as (select doc_id, w[p] as word, p from (select doc_id, w, unnest(range(1, len(w) + 1)) as p from w)),
+kept as (
+  select words.doc_id, count(gone.p) as n_removed, string_agg(word, ' ' order by words.p) filter (gone.p is null) as rest
+  from words left join gone using (doc_id, p) group by words.doc_id)
+select w.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(rest, '')) as kept_sha256
+from w left join kept using (doc_id)""")
+def op10_substring_dedup(spark, sf_dir):
+    found = repeated_passages(table(spark, sf_dir, "documents"), window=50)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
