@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm.lines import judged_documents, kept_text
 from corpusmill.llm.mixing import mixed_documents
 from corpusmill.llm.ngram_join import ngram_classes
+from corpusmill.llm.packing import pack
 from corpusmill.llm.substrings import repeated_passages
+from corpusmill.llm.token_spans import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,3 +140,13 @@ from w left join kept using (doc_id)""")
 def op10_substring_dedup(spark, sf_dir):
     found = repeated_passages(table(spark, sf_dir, "documents"), window=50)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op7_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), rule="first")
+
+
+@query()
+def op8_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=2048, end_id=1)
