@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.llm.exact_stream import exact_duplicates
 from corpusmill.llm.lines import judged_documents, kept_text
 from corpusmill.llm.mixing import mixed_documents
 from corpusmill.llm.ngram_join import ngram_classes
@@ -84,6 +85,16 @@ def op1_line_dedup(spark, sf_dir):
     )
 
 
+@query("""
+with d as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') as bare, length(coalesce(text, '')) as n
+  from documents),
+g as (select bare, first(doc_id order by n desc, doc_id) as keep_id, count(*) as group_size from d group by bare)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(bare) as text_sha256 from d join g using (bare)""")
+def op3_exact_dedup(spark, sf_dir):
+    return exact_duplicates(spark, f"{sf_dir}/documents.parquet")
+
+
 @query()
 def op5_ngram_join(spark, sf_dir):
     return ngram_classes(table(spark, sf_dir, "documents"), n=4, threshold=(85, 100))
