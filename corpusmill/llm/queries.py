@@ -15,6 +15,7 @@ from corpusmill.llm.ngram_join import ngram_classes
 from corpusmill.llm.packing import pack
 from corpusmill.llm.substrings import repeated_passages
 from corpusmill.llm.token_spans import token_counts
+from corpusmill.llm.warc import captures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +86,22 @@ def op1_line_dedup(spark, sf_dir):
     )
 
 
+@query("""
+with p as (select page_id, url, coalesce(html, '') as payload from pages),
+s as (select *, sha1(payload) as hex, max(page_id) over (partition by payload) as top from p),
+groups as (
+  select page_id, payload, top, list_transform(range(8), lambda g: ('0x' || substr(hex, 5 * g + 1, 5))::bigint) as twenty from s)
+select page_id, octet_length(encode(payload)) as payload_bytes,
+  array_to_string(list_transform(twenty, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+    lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> b) & 31)::int + 1, 1)), '')), '') as payload_digest,
+  case when page_id = top then 'response' else 'revisit' end as record_type,
+  case when page_id <> top then top end as refers_to
+from groups""")
+def op2_warc(spark, sf_dir):
+    found = captures(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("""
 with d as (
   select doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') as bare, length(coalesce(text, '')) as n
