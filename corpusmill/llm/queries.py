@@ -13,6 +13,7 @@ from corpusmill.llm.lines import judged_documents, kept_text
 from corpusmill.llm.mixing import mixed_documents
 from corpusmill.llm.ngram_join import ngram_classes
 from corpusmill.llm.packing import pack
+from corpusmill.llm.quality import quality_scores
 from corpusmill.llm.substrings import repeated_passages
 from corpusmill.llm.token_spans import token_counts
 from corpusmill.llm.warc import captures
@@ -112,6 +113,11 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_duplicates(spark, f"{sf_dir}/documents.parquet")
 
 
+@query()
+def op4_quality(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 @query()
 def op5_ngram_join(spark, sf_dir):
     return ngram_classes(table(spark, sf_dir, "documents"), n=4, threshold=(85, 100))
