@@ -12,8 +12,8 @@ matters to the others, so groups are reduced by a partial minimum and no pairs w
 Every hit is verified on the words themselves.
 
 Variants grow with the words of a line, so lines that cannot have a partner are put aside first: near
-lines agree in their first or in their second half, so a line whose halves occur nowhere else has no
-near line. The halves that do occur elsewhere also say on which side the edit must be.
+lines agree in their first words or in their last, up to nearly half of them, so a line whose ends
+occur nowhere else has no near line. The end that does occur elsewhere also says where the edit can be.
 """
 
 from __future__ import annotations
@@ -65,14 +65,25 @@ def _text_hash() -> Column:
     return F.xxhash64("text")
 
 
+def _end_length(n: Column) -> Column:
+    """Words of a line's beginning and end that serve as keys: the largest 2**i or 3 * 2**i up to (n - 1) / 2.
+
+    Steps make lines of n and n - 1 words mostly use the same length, so that one pair of keys serves both.
+    """
+    most = F.greatest(F.floor((n - 1) / 2), F.lit(1))
+    power = F.expr("1L") * F.pow(F.lit(2), F.floor(F.log2(most.cast("double") + 0.5))).cast("long")
+    three = F.floor(power * 3 / 2)
+    return F.when((three <= most) & (power > 1), three).otherwise(power).cast("int")
+
+
 def _words(line: Column) -> Column:
     return F.split(F.btrim(line, F.lit(WHITE)), "[\\x20\\x09-\\x0D]+")
 
 
 def dropped_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
     """``(doc_id, th, line_no)`` of every line that goes; ``th`` is the hash of the document's text."""
-    if min_words < 2:
-        raise ValueError("min_words must be at least 2")
+    if min_words < 3:
+        raise ValueError("min_words must be at least 3")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = base.filter("doc_id is not null and text is not null").withColumn("th", _text_hash())
     lines = spill(_occurrences(base, min_words))
@@ -90,15 +101,12 @@ def _occurrences(base: DataFrame, min_words: int) -> DataFrame:
     lines = lines.withColumn("w", _words(F.col("line"))).filter(F.col("w")[0] != "")
     n = F.size("w")
 
-    def halves(level: Column) -> list[Column]:
-        left = F.floor(level / 2).cast("int")
-        right = level - left
-        return [
-            F.xxhash64(level, F.lit(0), F.slice("w", F.lit(1), left)),
-            F.xxhash64(level, F.lit(1), F.slice("w", n - right + 1, right)),
-        ]
+    def ends(k: Column) -> list[Column]:
+        return [F.xxhash64(k, F.lit(0), F.slice("w", F.lit(1), k)), F.xxhash64(k, F.lit(1), F.slice("w", n - k + 1, k))]
 
-    keys = F.when(n > min_words, F.array(*halves(n), *halves(n - 1))).when(n == min_words, F.array(*halves(n)))
+    k, less = _end_length(n), _end_length(n - 1)
+    also = (n > min_words) & (k != less)
+    keys = F.when(also, F.array(*ends(k), *ends(less))).when(n >= min_words, F.array(*ends(k)))
     return lines.select(
         "doc_id", "th", "line_no", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"), keys.alias("keys")
     )
@@ -122,29 +130,28 @@ def _late_lines(base: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
     texts = texts.select("doc_id", F.explode(F.arrays_zip("asked", picked.alias("line"))).alias("x"))
     words = spill(
         texts.select(
-            "x.asked.h1", "x.asked.h2", "x.asked.sides", F.struct("doc_id", "x.asked.line_no").alias("first"),
+            "doc_id", "x.asked.line_no", "x.asked.h1", "x.asked.h2", "x.asked.sides",
             _words(F.col("x.line")).alias("w"),
         )
     )
 
     members = _variants(words, min_words)
-    groups = members.groupBy("kind", "level", "at", "v").agg(
-        F.min("m").alias("one"), F.max("m").alias("last"),
-        F.min(F.when(F.col("short"), F.col("m"))).alias("short_one"), F.min(F.when(~F.col("short"), F.col("m"))).alias("long_one"),
+    place = F.struct("doc_id", "line_no", "h1", "pos")
+    groups = members.groupBy("slot", "v").agg(
+        F.count("*").alias("n"), F.min(F.when(~F.col("short"), place)).alias("other"), F.min(F.when(F.col("short"), place)).alias("bare")
     )
-    groups = groups.filter("one <> last").drop("last")
-    met = members.join(groups, ["kind", "level", "at", "v"])
-    partner = F.when(F.col("kind") == 0, F.col("one")).when(F.col("short"), F.col("long_one")).otherwise(F.col("short_one"))
-    met = met.withColumn("p", partner).filter("p.first < m.first")
-    pairs = met.groupBy("m.h1", "m.h2", F.col("p.h1").alias("q1"), F.col("p.h2").alias("q2")).agg(
-        F.first(F.struct("m.pos", F.col("p.pos").alias("q_pos"), "kind", "short")).alias("how")
+    met = members.join(groups.filter("n > 1"), ["slot", "v"])
+    met = met.withColumn("p", F.when((F.col("slot") >= 0) | F.col("short"), F.col("other")).otherwise(F.col("bare")))
+    met = met.filter(F.struct("p.doc_id", "p.line_no") < F.struct("doc_id", "line_no"))
+    pairs = met.groupBy("h1", F.col("p.h1").alias("q1")).agg(
+        F.first(F.struct("slot", "short", "pos", F.col("p.pos").alias("q_pos"))).alias("how")
     )
-    pairs = pairs.join(words.select("h1", "h2", "w"), ["h1", "h2"])
-    pairs = pairs.join(words.select(F.col("h1").alias("q1"), F.col("h2").alias("q2"), F.col("w").alias("q")), ["q1", "q2"])
-    replaced = _without("w", F.col("how.pos")) == _without("q", F.col("how.pos"))
-    inserted = _without("w", F.col("how.pos")) == F.col("q")
-    deleted = _without("q", F.col("how.q_pos")) == F.col("w")
-    near = F.when(F.col("how.kind") == 0, (F.size("w") == F.size("q")) & replaced).when(F.col("how.short"), deleted).otherwise(inserted)
+    pairs = pairs.join(words.select("h1", "h2", "w"), "h1")
+    pairs = pairs.join(words.select(F.col("h1").alias("q1"), F.col("w").alias("q")), "q1")
+    at = F.col("how.pos")
+    replaced = (F.size("w") == F.size("q")) & (_without("w", at) == _without("q", at))
+    inserted, deleted = _without("w", at) == F.col("q"), _without("q", F.col("how.q_pos")) == F.col("w")
+    near = F.when(F.col("how.slot") >= 0, replaced).when(F.col("how.short"), deleted).otherwise(inserted)
     return pairs.filter(near).select("h1", "h2").distinct()
 
 
@@ -153,11 +160,12 @@ def _without(words: str, at: Column) -> Column:
 
 
 def _variants(words: DataFrame, min_words: int) -> DataFrame:
-    """``(kind, level, at, v, short, m)``: group keys and the member ``m`` (first place, identity, position).
+    """``(slot, v, short, doc_id, line_no, h1, pos)``: the group's keys, then the line and the word left out.
 
-    Kind 0: lines of ``level`` words without word ``at``. Kind 1: lines of ``level`` words as they are
-    (``short``), and lines of one word more without any one word. A line's hash is the exclusive-or
-    of hashes of (word, place), so all variants of a line follow from one running total.
+    Slot i from 0: lines of equal length without word i, with the length hashed into ``v``. Slot -n:
+    lines of n words as they are (``short``), and lines of one word more without any one word. A line's
+    hash is the exclusive-or of hashes of (word, place), so all variants of a line follow from one
+    running total.
     """
     n = F.size("w")
     zero = F.lit(0).cast("long")
@@ -167,9 +175,10 @@ def _variants(words: DataFrame, min_words: int) -> DataFrame:
 
     here = F.transform("w", lambda w, i: F.xxhash64(w, i))
     back = F.transform("w", lambda w, i: F.xxhash64(w, i - 1))
-    rows = words.select("h1", "h2", "first", "sides", n.alias("n"), back.alias("back"), here.alias("here"))
+    line = ["doc_id", "line_no", "h1"]
+    rows = words.select(*line, "sides", n.alias("n"), back.alias("back"), here.alias("here"))
     rows = rows.select(
-        "h1", "h2", "first", "sides", "n", "back",
+        *line, "sides", "n", "back",
         F.zip_with("here", "back", xor).alias("d"),
         F.aggregate("here", zero, xor).alias("whole"), F.aggregate("back", zero, xor).alias("shifted"),
     )
@@ -184,35 +193,32 @@ def _variants(words: DataFrame, min_words: int) -> DataFrame:
         lambda s: s["upto"],
     )
     rows = rows.withColumn("upto", upto)
-    each = rows.select("h1", "h2", "first", "sides", "n", "d", "shifted", "upto", F.posexplode("back").alias("pos", "own"))
+    each = rows.select(*line, "sides", "n", "d", "shifted", "upto", F.posexplode("back").alias("pos", "own"))
     block = F.floor(F.col("pos") / STEP).cast("int")
     running = xor(F.get("upto", block), F.aggregate(F.slice("d", block * STEP + 1, F.col("pos") % STEP), zero, xor))
     v = xor(xor(F.col("shifted"), running), F.col("own"))
 
-    def side(slot: int) -> Column:
-        return F.col("sides").bitwiseAND(F.lit(1 << slot)) != 0
+    def side(bit: int) -> Column:
+        return F.col("sides").bitwiseAND(F.lit(1 << bit)) != 0
 
-    half, less = F.floor(F.col("n") / 2), F.floor((F.col("n") - 1) / 2)
-    as_equal = F.when(F.col("pos") >= half, side(0)).otherwise(side(1))
-    as_longer = (F.col("n") > min_words) & (((F.col("pos") >= less) & side(2)) | ((F.col("pos") <= less) & side(3)))
-    member = F.struct("first", "h1", "h2", "pos")
+    def reached(k: Column, bit: int) -> Column:
+        """Whether an edit at this word leaves a beginning or an end of k words that another line has too."""
+        return ((F.col("pos") >= k) & side(bit)) | ((F.col("pos") < F.col("n") - k) & side(bit + 1))
 
-    def key(kind: int, level: Column, at: Column, short: bool) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"), level.cast("int").alias("level"), at.cast("int").alias("at"), F.lit(short).alias("short")
-        )
+    k, less = _end_length(F.col("n")), _end_length(F.col("n") - 1)
+    as_equal = reached(k, 0)
+    as_longer = (F.col("n") > min_words) & F.when(k == less, as_equal).otherwise(reached(less, 2))
 
-    roles = F.filter(
-        F.array(
-            F.when(as_equal, key(0, F.col("n"), F.col("pos"), False)),
-            F.when(as_longer, key(1, F.col("n") - 1, F.lit(-1), False)),
-        ),
-        lambda x: x.isNotNull(),
+    def key(slot: Column, v: Column) -> Column:
+        return F.struct(slot.cast("int").alias("slot"), v.alias("v"))
+
+    roles = F.array(
+        F.when(as_equal, key(F.col("pos"), F.xxhash64("n", "v"))), F.when(as_longer, key(1 - F.col("n"), F.col("v")))
     )
-    each = each.select(v.alias("v"), member.alias("m"), F.explode(roles).alias("k"))
-    each = each.select("k.kind", "k.level", "k.at", "v", "k.short", "m")
+    each = each.select(*line, "pos", "sides", "n", v.alias("v"))
+    each = each.select(F.explode(F.filter(roles, lambda x: x.isNotNull())).alias("k"), *line, "pos")
+    each = each.select("k.slot", "k.v", F.lit(False).alias("short"), *line, "pos")
     shorter = rows.filter(side(0) | side(1)).select(
-        F.lit(1).alias("kind"), F.col("n").alias("level"), F.lit(-1).alias("at"), F.col("whole").alias("v"),
-        F.lit(True).alias("short"), F.struct("first", "h1", "h2", F.lit(-1).alias("pos")).alias("m"),
+        (-F.col("n")).alias("slot"), F.col("whole").alias("v"), F.lit(True).alias("short"), *line, F.lit(-1).alias("pos")
     )
     return each.unionByName(shorter)

@@ -8,9 +8,9 @@ a document is the smallest id reachable by links. The work goes in five steps:
    agree on. Here the order is by hash, with shingles that a bounded sample of documents shows to be
    common last. The sample only speeds things up; every order gives the same links.
 2. Documents with equal sets are one class from the start; one of them goes on.
-3. A few rounds compare every document with one holder of its prefix shingles from another class (the
-   one it shares most with). They join most families of near copies, however large, by one row per
-   member and round.
+3. A few rounds compare every document with some holders of its prefix shingles from other classes,
+   those it shares most with, by bitmap, and with the best of them exactly. They join most families of
+   near copies, however large, by a few rows per member and round.
 4. Shingles whose holders still lie in several classes become tiles: (shingle, size band, chunk,
    chunk). Inside a tile only pairs from different classes and of fitting sizes are looked at; bit
    counts of hashed bitmaps bound the overlap from above, and what passes is intersected exactly.
@@ -22,25 +22,26 @@ No step holds a group of unbounded size: leaders are partial minima, tiles hold
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.components import components
 from corpusmill.llm.words import Block, blocks, mixed
 from corpusmill.session import spill
 
-ORDER_SAMPLE = 20_000  # documents looked at to find common shingles; affects speed only
-COMMON_IN_SAMPLE = 10  # holders in that sample that make a shingle common
+ORDER_SAMPLE = 6_000  # documents looked at to find common shingles; affects speed only
+COMMON_IN_SAMPLE = 3  # holders in that sample that make a shingle common
 COMMON_LIMIT = 200_000  # length of the list of common shingles that tasks carry
 CHUNK = 256  # documents of one side of a tile
 
-LEADER_ROUNDS = 6  # at most; they end with the first that finds no link
+LEADER_ROUNDS = 3  # at most; they end with the first that finds no link
+LEADERS = 3  # holders a document is compared with in a round
 
-_SETS = "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>"
-_BODIES = "doc_id long, bits binary, body binary"
+_SETS = "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, bits binary"
 
 
 def ngram_classes(
@@ -71,22 +72,22 @@ def ngram_classes(
     held = reps.select("doc_id", F.explode("keys").alias("key"))
     shared = held.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
     holders = spill(held.join(shared.select("key"), "key"))
-    near = holders.select("doc_id").distinct()
-    bodies = spill(base.join(near, "doc_id", "left_semi").mapInArrow(_body_rows(n, lower), _BODIES))
+    maps = sets.select("doc_id", F.col("n_shingles").alias("n"), "bits")
+    exact = _Exact(base, n, threshold, lower)
 
     links = spill(copies)
     classes = components(links)
     for turn in range(LEADER_ROUNDS):
-        open_rows = _open_rows(holders, classes)
-        found = spill(_verified(_leader_pairs(open_rows, turn), bodies, threshold))
+        near = _bounded(_leader_pairs(_open_rows(holders, classes), turn), maps, threshold)
+        best = near.groupBy("a").agg(F.max_by("b", F.struct("bound", -F.col("b"))).alias("b"))
+        found = exact.linked(best)
         if found.isEmpty():
             break
         links = links.union(found)
         classes = components(links)
 
-    open_pairs = _open_pairs(_open_rows(holders, classes), bodies, threshold)
-    links = links.union(_verified(open_pairs, bodies, threshold))
-    classes = components(links).withColumnRenamed("node", "doc_id")
+    found = exact.linked(_open_pairs(_open_rows(holders, classes), maps, threshold))
+    classes = components(links.union(found)).withColumnRenamed("node", "doc_id")
     rows = sets.select("doc_id", "n_shingles").join(classes, "doc_id", "left")
     return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
@@ -152,11 +153,12 @@ def _set_rows(n: int, threshold: tuple[int, int], lower: bool, common: np.ndarra
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column("text"), lower):
-                sizes, digests, keys = [], [], []
+                sizes, digests, keys, maps = [], [], [], []
                 for grams in _shingles(block, n):
                     values = np.unique(grams)
                     sizes.append(len(values))
                     digests.append(_digest(values))
+                    maps.append(bitmap(values))
                     keys.append(prefix(values) if len(values) else values)
                 lengths = np.array([len(k) for k in keys], np.int32)
                 flat = np.concatenate(keys).view(np.int64)
@@ -170,6 +172,7 @@ def _set_rows(n: int, threshold: tuple[int, int], lower: bool, common: np.ndarra
                         "keys": pa.ListArray.from_arrays(
                             np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32), pa.array(flat)
                         ),
+                        "bits": pa.array(maps, pa.binary()),
                     }
                 )
 
@@ -184,8 +187,8 @@ def _digest(values: np.ndarray) -> tuple[int, int]:
 
 
 def bitmap(values: np.ndarray) -> bytes:
-    """A bit flips for every element that hashes to it; about two bits per element, a power of two."""
-    bits = min(1 << 17, max(256, 1 << int(2 * len(values) - 1).bit_length()))
+    """A bit flips for every element that hashes to it; a power of two of bits, half to all of the size."""
+    bits = min(1 << 17, max(128, 1 << (len(values).bit_length() - 1)))
     at = (values >> np.uint64(13)) & np.uint64(bits - 1)
     return np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
@@ -196,45 +199,62 @@ def _folded(bits: bytes, size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(words.reshape(-1, size // 8), axis=0)
 
 
-def _body_rows(n: int, lower: bool):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch.column("text"), lower):
-                sets = [np.unique(g) for g in _shingles(block, n)]
-                yield pa.record_batch(
-                    {
-                        "doc_id": batch.column("doc_id").slice(block.at, len(block)),
-                        "bits": pa.array([bitmap(s) for s in sets], pa.binary()),
-                        "body": pa.array([s.tobytes() for s in sets], pa.binary()),
-                    }
-                )
+@dataclass
+class _Exact:
+    """The exact test: texts of the documents in question are fetched once and both sets built anew."""
 
-    return rows
+    base: DataFrame
+    n: int
+    threshold: tuple[int, int]
+    lower: bool
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` whose sets reach the similarity, stored."""
+        pairs = spill(pairs.select("a", "b").distinct())
+        asked = spill(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        texts = spill(self.base.join(asked, "doc_id", "left_semi"))
+        sides = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
+        sides = sides.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
+        n, (t_num, t_den), lower = self.n, self.threshold, self.lower
+
+        def sets(column: pa.Array) -> Iterator[np.ndarray]:
+            for block in blocks(column, lower):
+                for grams in _shingles(block, n):
+                    yield np.unique(grams)
 
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = [
+                    _reaches(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y), t_num, t_den)
+                    for x, y in zip(sets(batch.column("x")), sets(batch.column("y")), strict=True)
+                ]
+                mask = pa.array(keep, pa.bool_())
+                yield pa.record_batch({"a": batch.column("a").filter(mask), "b": batch.column("b").filter(mask)})
 
-def _verified(pairs: DataFrame, bodies: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """The pairs ``(a, b)`` that link, by bitmap bound and then sorted-array intersection."""
+        return spill(sides.select("a", "b", "x", "y").mapInArrow(rows, "a long, b long"))
+
+
+def _bounded(pairs: DataFrame, maps: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs that bit counts do not rule out, with the bound on their similarity."""
     t_num, t_den = threshold
-    sides = pairs.join(bodies.select(F.col("doc_id").alias("a"), F.col("bits").alias("p"), F.col("body").alias("x")), "a")
-    sides = sides.join(bodies.select(F.col("doc_id").alias("b"), F.col("bits").alias("q"), F.col("body").alias("y")), "b")
+    sides = pairs.join(maps.select(F.col("doc_id").alias("a"), F.col("n").alias("m"), F.col("bits").alias("p")), "a")
+    sides = sides.join(maps.select(F.col("doc_id").alias("b"), "n", F.col("bits").alias("q")), "b")
+    sides = sides.filter(F.least("m", "n") * t_den >= F.greatest("m", "n") * t_num)
 
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(len(batch), bool)
-            columns = [batch.column(c) for c in ("p", "q", "x", "y")]
+            met = np.zeros(len(batch), np.int64)
+            both = batch.column("m").to_numpy() + batch.column("n").to_numpy()
+            p, q = batch.column("p"), batch.column("q")
             for i in range(len(batch)):
-                p, q, x, y = (c[i].as_buffer() for c in columns)
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y)
-                size = min(len(p), len(q))
-                apart = int(np.bitwise_count(_folded(p, size) ^ _folded(q, size)).sum())
-                if _reaches((both - apart) // 2, both, t_num, t_den):
-                    met = len(np.intersect1d(x, y, assume_unique=True))
-                    keep[i] = _reaches(met, both, t_num, t_den)
-            mask = pa.array(keep)
-            yield pa.record_batch({"a": batch.column("a").filter(mask), "b": batch.column("b").filter(mask)})
+                x, y = p[i].as_buffer(), q[i].as_buffer()
+                size = min(len(x), len(y))
+                met[i] = (both[i] - int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())) // 2
+            mask = pa.array(_reaches(met, both, t_num, t_den))
+            table = pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "bound": met / (both - met)})
+            yield table.filter(mask)
 
-    return sides.select("a", "b", "p", "q", "x", "y").mapInArrow(linked, "a long, b long")
+    return sides.select("a", "b", "m", "n", "p", "q").mapInArrow(rows, "a long, b long, bound double")
 
 
 def _reaches(met, both, t_num: int, t_den: int):
@@ -251,19 +271,21 @@ def _open_rows(holders: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _leader_pairs(open_rows: DataFrame, turn: int) -> DataFrame:
-    """Each document with one holder of its shingles from another class, the one it shares most with."""
-    lot = F.xxhash64("doc_id", F.lit(turn)) if turn else F.col("doc_id")
-    leaders = open_rows.groupBy("key").agg(F.min_by(F.struct("doc_id", "c"), lot).alias("leader"))
-    met = open_rows.join(leaders, "key").filter("c <> leader.c")
-    met = met.groupBy("doc_id", F.col("leader.doc_id").alias("b")).agg(F.count("*").alias("common"))
-    best = met.groupBy("doc_id").agg(F.max_by("b", F.struct("common", -F.col("b"))).alias("b"))
+    """Each document with a few holders of its shingles from other classes, those it shares most with."""
+    lots = [F.xxhash64("doc_id", F.lit(turn * LEADERS + i)) for i in range(1, LEADERS)]
+    picks = [F.min_by(F.struct("doc_id", "c"), lot) for lot in (F.col("doc_id"), *lots)]
+    leaders = open_rows.groupBy("key").agg(F.array_distinct(F.array(*picks)).alias("leaders"))
+    met = open_rows.join(leaders, "key").select("doc_id", "c", F.explode("leaders").alias("leader"))
+    met = met.filter("c <> leader.c").groupBy("doc_id", F.col("leader.doc_id").alias("b")).agg(F.count("*").alias("common"))
+    order = Window.partitionBy("doc_id").orderBy(F.desc("common"), "b")
+    best = met.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= LEADERS)
     return best.select(F.col("doc_id").alias("a"), "b")
 
 
-def _open_pairs(open_rows: DataFrame, bodies: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+def _open_pairs(open_rows: DataFrame, maps: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Pairs of different classes that share a prefix shingle and pass the bitmap bound."""
     t_num, t_den = threshold
-    sizes = bodies.select("doc_id", "bits", (F.length("body") / 8).cast("long").alias("n"))
+    sizes = maps.select("doc_id", "n")
     level = F.log(F.col("n").cast("double")) / float(np.log(t_den / t_num))
     # A document meets those of its own band and is a guest in the next, which holds every larger
     # partner; the small addend keeps that true where rounding puts a logarithm across a band's edge.
@@ -280,8 +302,9 @@ def _open_pairs(open_rows: DataFrame, bodies: DataFrame, threshold: tuple[int, i
     tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     tile = F.xxhash64("key", "band", F.least("own", "other"), F.greatest("own", "other"))
     tiles = tiles.select(
-        tile.alias("tile"), "own", (F.col("own") == F.col("other")).alias("alone"), "doc_id", "c", "n", "bits", "guest"
+        tile.alias("tile"), "own", (F.col("own") == F.col("other")).alias("alone"), "doc_id", "c", "n", "guest"
     )
+    tiles = tiles.join(maps.select("doc_id", "bits"), "doc_id")
     tiles = tiles.repartition("tile").sortWithinPartitions("tile", "doc_id")
     return tiles.mapInArrow(_tile_rows(t_num, t_den), "a long, b long").distinct()
 

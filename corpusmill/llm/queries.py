@@ -16,6 +16,7 @@ from corpusmill.llm.packing import pack
 from corpusmill.llm.quality import quality_scores
 from corpusmill.llm.substrings import repeated_passages
 from corpusmill.llm.token_spans import token_counts
+from corpusmill.llm.vector_graph import near_vectors
 from corpusmill.llm.warc import captures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,6 +177,11 @@ def op10_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query()
+def op6_near_vectors(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 @query()
 def op7_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), rule="first")
