@@ -106,13 +106,13 @@ def _sentence_ends(tokenizer: str, end_id: int) -> np.ndarray:
     return _ends[tokenizer, end_id]
 
 
-def cut_points(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray, sentence_cut: float, hard_cut: float):
+def cut_points(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray, length: int, sentence_cut: float, hard_cut: float):
     """Positions where the stream may be cut, the stream's begin first, and the penalty of each."""
     sentence = np.flatnonzero(ends[ids]) + 1
     soft = np.unique(np.concatenate([[0], sentence, doc_ends]))
     gaps = np.diff(np.concatenate([soft, [len(ids)]]))
-    wide = np.flatnonzero(gaps > GAP)
-    hard = [np.arange(soft[i] + STEP, soft[i] + gaps[i], STEP) for i in wide]
+    wide, step = np.flatnonzero(gaps > min(GAP, length)), min(STEP, length)
+    hard = [np.arange(soft[i] + step, soft[i] + gaps[i], step) for i in wide]
     at = np.unique(np.concatenate([soft, *hard])) if hard else soft
     penalty = np.full(len(at), hard_cut)
     penalty[np.searchsorted(at, soft)] = sentence_cut
@@ -163,7 +163,7 @@ class _Stream:
         ids = np.concatenate(self.parts)
         sizes = np.array([n for _, _, n in self.docs], np.int64)
         doc_bounds = np.concatenate([[0], np.cumsum(sizes)])
-        at, penalty = cut_points(ids, doc_bounds[1:], self.ends, self.sentence_cut, self.hard_cut)
+        at, penalty = cut_points(ids, doc_bounds[1:], self.ends, self.length, self.sentence_cut, self.hard_cut)
         cuts = best_cuts(at, penalty, self.length)
         if not last:
             cuts = cuts[: max(2, len(cuts) - HELD_BACK)]
