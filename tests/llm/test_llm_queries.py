@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import pytest
+from check_oracle import compare, connect
 from helpers import documents, frame, unique_ids
 
 import __spark_entry__ as driver
 import corpus_pipeline
 from corpusmill.llm import queries as llm
-from tests.check_oracle import compare, connect
 
 WITHOUT_SQL = {
-    "op4_quality": "test_quality",
-    "op5_ngram_join": "test_ngram_join",
-    "op6_near_vectors": "test_vector_graph",
-    "op7_token_counts": "test_packing",
-    "op8_packing": "test_packing",
+    "op4_quality": "test_llm_quality",
+    "op5_ngram_join": "test_llm_ngram_join",
+    "op6_near_vectors": "test_llm_vector_graph",
+    "op7_token_counts": "test_llm_packing",
+    "op8_packing": "test_llm_packing",
 }
 
 
