@@ -92,6 +92,19 @@ def ngram_classes(
     return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def without_near_copies(
+    docs: DataFrame,
+    n: int = 5,
+    threshold: tuple[int, int] = (80, 100),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its class, with all columns as they are."""
+    classes = ngram_classes(docs, n, threshold, id_col, text_col)
+    copies = spill(classes.filter("component_id <> doc_id").select(F.col("doc_id").alias("_copy")).distinct())
+    return docs.join(copies, F.col(id_col).cast("long") == F.col("_copy"), "left_anti")
+
+
 def _common_shingles(base: DataFrame, n: int, lower: bool) -> np.ndarray:
     """Hashes of shingles frequent in a sample of bounded size, rarest first."""
     total = base.count()
@@ -188,7 +201,7 @@ def _digest(values: np.ndarray) -> tuple[int, int]:
 
 def bitmap(values: np.ndarray) -> bytes:
     """A bit flips for every element that hashes to it; a power of two of bits, half to all of the size."""
-    bits = min(1 << 17, max(128, 1 << (len(values).bit_length() - 1)))
+    bits = min(1 << 17, max(128, 1 << (max(1, len(values)).bit_length() - 1)))
     at = (values >> np.uint64(13)) & np.uint64(bits - 1)
     return np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
