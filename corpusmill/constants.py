@@ -38,6 +38,7 @@ SUCCESS = "SUCCESS"
 ERROR_PREFIX = "ERROR: An error occurred: "
 NO_PARSER = "No supported parser for "
 BAD_UTF8 = "content is not valid UTF-8"
+NO_TEXT = "the parser gave no text"
 
 # --- fixed values: labels ------------------------------------------------------------
 IMPROVE_RETRIEVAL = "Improve Retrieval"
@@ -127,3 +128,11 @@ REPORT_COLUMNS = [
     "retrieval/llm_judged/chunk_relevance/rationales",
     "retrieval/llm_judged/chunk_relevance/precision",
 ]
+
+# --- fixed values: columns shown for inspection, and columns of the saved evaluation set
+INSPECT_COLUMNS = [
+    "request_id", "request", "response", "trace", "expected_response", "expected_retrieved_context", "is_correct",
+]
+SAVED_COLUMNS = [
+    "request", "request_id", "expected_response", "expected_retrieved_context", "source_user", "source_tag",
+]

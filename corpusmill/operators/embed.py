@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,6 +21,7 @@ class Embedder:
     name: str
     dim: int
     apply: Callable[[DataFrame, str, str], DataFrame]
+    save: Callable[[str], None] | None = None
 
     def embed(self, df: DataFrame, text_column: str, out: str = "embedding") -> DataFrame:
         """``df`` plus the array column ``out``."""
@@ -54,10 +56,23 @@ def fit_hash_embedder(corpus: DataFrame, text_column: str, dim: int = 256) -> Em
         Normalizer(inputCol="_tfidf", outputCol="_unit"),
     ]
     text = F.coalesce(F.col(text_column), F.lit("")).alias("_text")
-    model = Pipeline(stages=stages).fit(corpus.select(text))
+    return _hash_embedder(Pipeline(stages=stages).fit(corpus.select(text)))
+
+
+def load_hash_embedder(spark: SparkSession, path: str) -> Embedder:
+    """The embedder that ``save`` stored under ``path``."""
+    return _hash_embedder(PipelineModel.load(path))
+
+
+def _hash_embedder(model: PipelineModel) -> Embedder:
+    weights = model.stages[2].idf.toArray()
+    digest = hashlib.sha256(weights.tobytes()).hexdigest()[:16]  # two fits differ by name if they differ at all
 
     def apply(df: DataFrame, column: str, out: str) -> DataFrame:
         named = df.withColumn("_text", F.coalesce(F.col(column), F.lit("")))
         return model.transform(named).select(*df.columns, vector_to_array("_unit", "float32").alias(out))
 
-    return Embedder(f"hash-idf-{dim}", dim, apply)
+    def save(path: str) -> None:
+        model.write().overwrite().save(path)
+
+    return Embedder(f"hash-idf-{len(weights)}-{digest}", len(weights), apply, save)

@@ -7,15 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.constants import INSPECT_COLUMNS, SAVED_COLUMNS
+
 ASSESSOR = ("request_id", "source_user", "source_tag")
 NEWEST = ("timestamp", "assessment_id")
-INSPECT_COLUMNS = [
-    "request_id", "request", "response", "trace", "expected_response", "expected_retrieved_context", "is_correct",
-]
-SAVED_COLUMNS = [
-    "request", "request_id", "expected_response", "expected_retrieved_context", "source_user", "source_tag",
-]
-
 
 def newest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str] = NEWEST) -> DataFrame:
     """The newest row per key.
@@ -55,14 +50,15 @@ def potential_evaluation_set(requests: DataFrame, assessments: DataFrame) -> Dat
     """Every request with its newest assessment, if any, and the derived columns.
 
     Both sides of each join have one row per request, so the join neither multiplies
-    rows nor meets a hot key. The newest assessment of a request is also the last word
-    of its assessor, so only the likes need the deduplicated log. All log columns stay
-    for debugging; take :data:`SAVED_COLUMNS` for the evaluation set proper.
+    rows nor meets a hot key. All columns of both logs stay for debugging; an assessment column
+    that the request log has too gets the prefix ``assessment_``. Take :data:`SAVED_COLUMNS` for
+    the evaluation set proper.
     """
-    one = newest_per(assessments.drop("liked_doc_uris"), ["request_id"]).withColumnRenamed(
-        "timestamp", "assessment_timestamp"
-    )
-    liked = liked_documents(dedup_assessments(assessments))
+    last_words = dedup_assessments(assessments)
+    one = newest_per(last_words, ["request_id"])
+    shared = [c for c in one.columns if c in requests.columns and c != "request_id"]
+    one = one.withColumnsRenamed({c: f"assessment_{c}" for c in shared})
+    liked = liked_documents(last_words)
     return (
         requests.join(one, "request_id", "left")
         .join(liked, "request_id", "left")

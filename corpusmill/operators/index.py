@@ -57,9 +57,9 @@ def hash_pivots(vectors: DataFrame, n_cells: int, key: str = "vec_id", embedding
 
 
 def kmeans_centroids(
-    vectors: DataFrame, n_cells: int, per_cell: int | None = 256, seed: int = 1, embedding: str = "embedding"
+    vectors: DataFrame, n_cells: int, per_cell: int | None = None, seed: int = 1, embedding: str = "embedding"
 ) -> np.ndarray:
-    """Centroids trained by k-means on about ``per_cell`` vectors per cell (None: on all).
+    """Centroids trained by k-means on all vectors, or on a sample of about ``per_cell`` vectors per cell.
 
     Training data shapes the cells only; every vector is indexed.
     """
@@ -139,25 +139,24 @@ def build_index(
             "embed_name": [embed_name] * len(centroids),
         }
     )
-    spark.createDataFrame(meta).coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
     stored = spark.read.schema(_stored_schema(assigned)).parquet(f"{path}/vectors")
-    return _opened(path, stored, centroids, key, embed_name)
+    stats = stored.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("cell_score").alias("low"))
+    known = spark.createDataFrame(meta).join(stats, "cell", "left")
+    known.coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
+    return load_index(spark, path)
 
 
 def load_index(spark: SparkSession, path: str) -> VectorIndex:
-    """Open a stored index; reads one row per cell to the driver."""
+    """Open a stored index; reads one row per cell, with its count and lowest score, to the driver."""
     meta = spark.read.parquet(f"{path}/centroids").toArrow().sort_by("cell")
     centroids = checked_centroids(matrix(meta["centroid"]))
+    filled = ((c, n, low) for c, n, low in zip(*(meta[k].to_pylist() for k in ("cell", "n", "low")), strict=True) if n)
+    cells = {c: (n, low) for c, n, low in filled}
+    key, embed_name = meta["key"][0].as_py(), meta["embed_name"][0].as_py()
     vectors = spark.read.parquet(f"{path}/vectors")
-    return _opened(path, vectors, centroids, meta["key"][0].as_py(), meta["embed_name"][0].as_py())
+    return VectorIndex(path, vectors, centroids, cells, key, centroids.shape[1], embed_name)
 
 
 def _stored_schema(assigned: DataFrame) -> T.StructType:
     """Partition columns come last in what is read back."""
     return T.StructType([*[f for f in assigned.schema.fields if f.name != "cell"], assigned.schema["cell"]])
-
-
-def _opened(path: str, vectors: DataFrame, centroids: np.ndarray, key: str, embed_name: str) -> VectorIndex:
-    stats = vectors.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("cell_score").alias("low"))
-    cells = {r["cell"]: (r["n"], r["low"]) for r in stats.collect()}
-    return VectorIndex(path, vectors, centroids, cells, key, centroids.shape[1], embed_name)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusmill.constants import BAD_UTF8, ERROR_PREFIX, NO_PARSER, SUCCESS
+from corpusmill.constants import BAD_UTF8, ERROR_PREFIX, NO_PARSER, NO_TEXT, SUCCESS
 from corpusmill.functions.html import html_to_markdown
 from corpusmill.functions.text import doc_uri, extension, flag_test, utf8_text
 from corpusmill.schemas import PARSED_DOCUMENT
@@ -32,6 +32,8 @@ def plain_text_parser(content: Column) -> Column:
 
 
 COLUMN_PARSERS: dict[str, ColumnParser] = {".html": html_parser}
+# Parsers that fail exactly where the bytes are not UTF-8; their status needs no look at the text.
+UTF8_PARSERS = (html_parser, plain_text_parser)
 METADATA: dict[str, Callable[[Column], Column]] = {"example_metadata": flag_test}
 
 
@@ -44,6 +46,10 @@ def python_parser_column(parse: PythonParser, schema: T.StructType, *inputs: Col
     names = schema.names
     arrow_type = to_arrow_type(schema, timestamp_utc=True)
 
+    def failed(e: Exception) -> dict:
+        error = f"{ERROR_PREFIX}{e}\n{traceback.format_exc()}"
+        return dict.fromkeys(names) | {"doc_content": "", "parser_status": error}
+
     def run(content: pa.Array, path: pa.Array, modified: pa.Array, length: pa.Array) -> pa.Array:
         out = []
         for c, p, m, n in zip(content, path, modified, length, strict=True):
@@ -53,14 +59,21 @@ def python_parser_column(parse: PythonParser, schema: T.StructType, *inputs: Col
                 continue
             try:
                 record = parse(raw, p.as_py(), m.as_py(), n.as_py())
-                row = {k: record.get(k) for k in names}
-                pa.array([row], type=arrow_type)  # a record of the wrong type is this row's error
+                out.append({k: record.get(k) for k in names})
             except Exception as e:
-                row = dict.fromkeys(names)
-                row["doc_content"] = ""
-                row["parser_status"] = f"{ERROR_PREFIX}{e}\n{traceback.format_exc()}"
-            out.append(row)
-        return pa.array(out, type=arrow_type)
+                out.append(failed(e))
+        try:
+            return pa.array(out, type=arrow_type)
+        except (pa.ArrowException, TypeError, ValueError, OverflowError):
+            return pa.array([checked(row) for row in out], type=arrow_type)
+
+    def checked(row: dict | None) -> dict | None:
+        """A record of the wrong type is its own row's error."""
+        try:
+            pa.array([row], type=arrow_type)
+            return row
+        except (pa.ArrowException, TypeError, ValueError, OverflowError) as e:
+            return failed(e)
 
     return F.arrow_udf(run, schema)(*inputs)
 
@@ -100,7 +113,13 @@ def parse_files(
     for ext, parser in parsers.items():
         if ext not in hooks:
             text = F.when(suffix == ext, parser(F.col("content"))).otherwise(text)
+    simple = [ext for ext, parser in parsers.items() if parser in UTF8_PARSERS and ext not in hooks]
+    other = [ext for ext in parsers if ext not in simple and ext not in hooks]
     failure = F.when(~suffix.isin(*parsers, *hooks), F.concat(F.lit(NO_PARSER), F.col("path")))
+    if simple:
+        failure = failure.when(suffix.isin(simple) & utf8_text("content").isNull(), F.lit(BAD_UTF8))
+    if other:
+        failure = failure.when(suffix.isin(other) & text.isNull(), F.lit(NO_TEXT))
     df = raw.select(
         "path", "modificationTime", "length", "content",
         suffix.alias("_ext"), text.alias("_text"), failure.alias("_failure"),
@@ -119,7 +138,7 @@ def parse_files(
         df = df.select("path", "modificationTime", "_ext", "_text", "_failure")
         hook = None
 
-    problem = F.coalesce("_failure", F.when(F.col("_text").isNull(), F.lit(BAD_UTF8)))
+    problem = F.col("_failure")
     uri, modified = doc_uri("path"), F.col("modificationTime")
     native = {
         "doc_content": F.coalesce("_text", F.lit("")),

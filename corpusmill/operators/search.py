@@ -1,8 +1,9 @@
 """Batch similarity search: the top k chunks for every query, exact or through cells.
 
-A query batch below a checked byte budget is sent to all tasks and the vectors stay
-where they are. A larger one is shuffled to the cells it needs; cells that hold many
-vectors or many queries are cut into parts by hash, so no task gets a whole hot cell.
+``method="cells"`` works for any number of queries: they are shuffled to the cells they need, and cells
+that hold many vectors or many queries are cut into parts by hash, so no task gets a whole hot cell.
+``method="broadcast"`` sends a small query batch to all tasks, leaves the vectors where they are, and
+raises if the batch is over a checked byte budget. Both give the same results.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from corpusmill.operators.topk import TopK, best_cells, ids_of, matrix, unit
 from corpusmill.session import spill
 
 MAX_BROADCAST_BYTES = 64 << 20
-MAX_BROADCAST_HIT_BYTES = 64 << 20
 # Size of the query and vector matrices that meet in one task of a large search.
 QUERY_PART_BYTES = 16 << 20
 VECTOR_PART_BYTES = 128 << 20
@@ -53,21 +53,24 @@ def exact_top_k(
     key: str = "vec_id",
     embedding: str = "embedding",
     skip_self: bool = False,
+    method: str = "cells",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    n_cells: int = 256,
+    n_cells: int | None = None,
     nprobe: int = 4,
 ) -> DataFrame:
     """(query_id, rank, key, score): the ``k`` vectors of highest cosine per query.
 
-    Scores are rounded to six digits before ranking, ties go to the smaller key.
-    A query batch over the budget goes through an index of ``n_cells`` cells, exactly:
-    see :func:`exact_by_cells`.
+    Scores are rounded to six digits before ranking, ties go to the smaller key. By cells the
+    search goes through an index of ``n_cells`` cells, exactly (see :func:`exact_by_cells`); some
+    ten thousand vectors per cell are a good size.
     """
-    batch = _collect_queries(queries, query_id, embedding, max_broadcast_bytes)
-    if batch is None:
+    if _checked(method) == "cells":
+        if n_cells is None:
+            raise ValueError("the search by cells needs n_cells")
         centroids = hash_pivots(vectors, n_cells, key, embedding)
         index = build_index(vectors, centroids, key, embedding)
         return exact_by_cells(queries, index, k, query_id, embedding, skip_self, nprobe)
+    batch = _collect_queries(queries, query_id, embedding, max_broadcast_bytes)
     shared = vectors.sparkSession.sparkContext.broadcast(batch)
     source = vectors.filter(F.col(embedding).isNotNull()).select(key, embedding)
     schema = _hit_schema(queries.schema[query_id].dataType, source.schema[key].dataType, query_id, key)
@@ -89,14 +92,18 @@ def ivf_top_k(
     query_id: str = "query_id",
     embedding: str = "embedding",
     skip_self: bool = False,
+    method: str = "cells",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Approximate top ``k``: each query looks into its ``nprobe`` nearest cells only."""
-    batch = _collect_queries(queries, query_id, embedding, max_broadcast_bytes)
-    if batch is None:
+    """Approximate top ``k``: each query looks into its ``nprobe`` nearest cells only.
+
+    Where those cells hold fewer than ``k`` vectors, a query gets fewer hits.
+    """
+    if _checked(method) == "cells":
         probes = assign_cells(queries, index.centroids, query_id, embedding, nprobe)
         probes = probes.select(query_id, F.col(embedding).alias("embedding"), "cell")
         return rank_top_k(_score_cells(probes, index, k, query_id, skip_self), k, query_id, index.key)
+    batch = _collect_queries(queries, query_id, embedding, max_broadcast_bytes)
     wanted: dict[int, np.ndarray] = {}
     if len(batch[0]):
         cells, _ = best_cells(batch[1], index.centroids, min(nprobe, len(index.centroids)))
@@ -166,21 +173,15 @@ def fetch_passages(
     chunks: DataFrame,
     columns: ResultColumns,
     hit_key: str | None = None,
-    max_broadcast_bytes: int = MAX_BROADCAST_HIT_BYTES,
 ) -> DataFrame:
     """Chunk text, URI and further columns for hits that were ranked without them.
 
-    Only the wanted chunk columns are read. The hits are stored and measured first: up
-    to ``max_broadcast_bytes`` they go to the chunks, so the texts are not shuffled;
-    above that both sides are shuffled on the key.
+    Only the wanted chunk columns are read. The hits are stored first, so the planner knows their
+    size and chooses how to join.
     """
     hit_key = hit_key or columns.primary_key
     stored = spill(hits.withColumnRenamed(hit_key, columns.primary_key))
-    wanted = chunks.select(columns.primary_key, *columns.payload)
-    if _text_bytes(stored) <= max_broadcast_bytes:
-        joined = wanted.join(F.broadcast(stored), columns.primary_key)
-    else:
-        joined = wanted.join(stored.hint("merge"), columns.primary_key)
+    joined = chunks.select(columns.primary_key, *columns.payload).join(stored, columns.primary_key)
     return joined.select(*stored.columns, *columns.payload)
 
 
@@ -201,21 +202,20 @@ def rename_result(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(old).alias(new) for old, new in names.items()])
 
 
-def _text_bytes(df: DataFrame) -> int:
-    """Size of a frame by the text of its values; at least a row's fixed cost per row."""
-    row = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(16))
-    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
+def _checked(method: str) -> str:
+    if method not in ("cells", "broadcast"):
+        raise ValueError(f"method is 'cells' or 'broadcast', not {method!r}")
+    return method
 
 
-def _collect_queries(
-    queries: DataFrame, query_id: str, embedding: str, max_bytes: int
-) -> tuple[np.ndarray, np.ndarray] | None:
-    """Ids and matrix of a query batch, or None where it does not fit the budget."""
-    present = queries.filter(F.col(embedding).isNotNull())
-    first = present.select(F.size(embedding)).first()
-    if first is not None and present.count() * first[0] * 8 > max_bytes:
-        return None
-    table = present.select(query_id, embedding).toArrow()
+def _collect_queries(queries: DataFrame, query_id: str, embedding: str, max_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and matrix of a query batch; its size, ids included, is measured before anything is collected."""
+    present = queries.filter(F.col(embedding).isNotNull()).select(query_id, embedding)
+    row = F.size(embedding).cast("long") * 8 + F.coalesce(F.octet_length(F.col(query_id).cast("string")), F.lit(0)) + 16
+    size = present.agg(F.sum(row)).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"the query batch takes {size} bytes, over {max_bytes}; use method='cells'")
+    table = present.toArrow()
     return ids_of(table[query_id]), matrix(table[embedding])
 
 
@@ -230,8 +230,10 @@ def _hit_schema(query_type: T.DataType, key_type: T.DataType, query_id: str, key
 
 
 def _hits(top: TopK, schema: T.StructType) -> pa.RecordBatch:
-    types = [pa.string() if isinstance(f.dataType, T.StringType) else None for f in schema.fields]
-    columns = [pa.array(c, type=t) for c, t in zip(top.result(), types, strict=True)]
+    types = [f.type for f in to_arrow_schema(schema)]
+    found = top.result()
+    empty = len(found[0]) == 0  # ids of a task without vectors have no type of their own
+    columns = [pa.array([] if empty else c, type=t) for c, t in zip(found, types, strict=True)]
     return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
 
@@ -270,7 +272,8 @@ def _score_cells(
         query_id, F.col("embedding").alias("q_embedding"), "cell",
         part_of(query_id, "q_parts").alias("q_part"), every("v_parts").alias("v_part"),
     )
-    right = index.vectors.join(bounded, "cell").select(
+    near = index.vectors.filter(F.col("cell").isin(list(asked)))  # prunes the partitions that are read
+    right = near.join(bounded, "cell").select(
         key, "embedding", "cell", part_of(key, "v_parts").alias("v_part"), every("q_parts").alias("q_part")
     )
     schema = _hit_schema(stored.schema[query_id].dataType, index.vectors.schema[key].dataType, query_id, key)

@@ -28,15 +28,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Where that setting is absent, the warehouse stands in on a cluster and a
-    temporary folder on a single machine, as in tests.
+    Where that setting is absent, the warehouse stands in on a cluster, if it is not a
+    folder of one machine, and a temporary folder on a single machine, as in tests.
     """
     global _fallback_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and spark.sparkContext.master.startswith("local"):
         _fallback_scratch = _fallback_scratch or tempfile.mkdtemp(prefix="corpusmill-")
         base = _fallback_scratch
-    base = base or spark.conf.get("spark.sql.warehouse.dir")
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if base.startswith(("file:", "/")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     return f"{base.rstrip('/')}/corpusmill-{uuid.uuid4().hex}"
 
 

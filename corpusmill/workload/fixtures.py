@@ -15,7 +15,7 @@ from corpusmill.operators.quality import chunk_precision
 from corpusmill.session import spread
 
 BASE_SECONDS = 1704067200  # 2024-01-01 00:00:00 UTC
-UNPARSED_SOURCE = "src7"  # this source delivers a format without a parser
+UNPARSED_SOURCE = "src7"  # where formats are mixed, this source delivers one without a parser
 TEXT_PARSERS = {".txt": plain_text_parser}
 
 
@@ -23,9 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as raw files."""
-    ext = F.when(F.col("source") == UNPARSED_SOURCE, F.lit(".pdf")).otherwise(F.lit(".txt"))
+def raw_docs(spark: SparkSession, sf_dir: str, mixed: bool = False) -> DataFrame:
+    """``documents`` as raw text files; ``mixed`` makes one source's files unreadable, to see them fail."""
+    fails = F.lit(mixed) & (F.col("source") == UNPARSED_SOURCE)
+    ext = F.when(fails, F.lit(".pdf")).otherwise(F.lit(".txt"))
     docs = spread(table(spark, sf_dir, "documents"))
     return docs.select(
         F.concat(F.lit("file:/corpus/"), "source", F.lit("/"), "doc_id", ext).alias("path"),
@@ -54,8 +55,8 @@ def _page_files(spark: SparkSession, sf_dir: str, path) -> DataFrame:
     )
 
 
-def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_files(raw_docs(spark, sf_dir), TEXT_PARSERS)
+def docs(spark: SparkSession, sf_dir: str, mixed: bool = False) -> DataFrame:
+    return parse_files(raw_docs(spark, sf_dir, mixed), TEXT_PARSERS)
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:

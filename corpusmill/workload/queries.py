@@ -23,9 +23,8 @@ from corpusmill.functions.text import (
 from corpusmill.operators.chat import requests_with_history, requests_with_responses, transcript
 from corpusmill.operators.chunk import compute_chunks, fixed_windows, recursive_splitter
 from corpusmill.operators.embed import fit_hash_embedder
+from corpusmill.constants import INSPECT_COLUMNS, SAVED_COLUMNS
 from corpusmill.operators.evalset import (
-    INSPECT_COLUMNS,
-    SAVED_COLUMNS,
     dedup_assessments,
     expected_response,
     newest_per,
@@ -42,6 +41,7 @@ from corpusmill.operators.quality import (
     document_precision,
     document_recall,
     frequencies,
+    is_empty,
     issue_report,
     summary_metrics,
     tolerant_select,
@@ -59,8 +59,8 @@ from corpusmill.operators.search import (
 from corpusmill.plans.answer import prompts_for, retrieve
 from corpusmill.plans.ingest import ingest
 from corpusmill.schemas import ParsedDocument, record_schema
-from corpusmill.session import scratch_dir, spread
-from corpusmill.sources.eval_rows import conform_eval_rows
+from corpusmill.session import scratch_dir, spill, spread
+from corpusmill.sources.eval_rows import conform_eval_rows, inline_eval_rows
 from corpusmill.sources.files import load_files
 from corpusmill.sources.tables import default_chunk_table, overwrite_table
 from corpusmill.workload import fixtures as fx
@@ -97,6 +97,13 @@ def _seconds(df: DataFrame) -> DataFrame:
     return df.withColumn("last_modified_s", seconds).drop("last_modified")
 
 
+def _without_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Forget a table that a query made; with ``path``, return what its files hold."""
+    schema = df.schema
+    df.sparkSession.sql(f"drop table {name}")
+    return df.sparkSession.read.schema(schema).parquet(path) if path else df
+
+
 def _uris(column: str):
     return F.array_join(F.transform(column, lambda s: s["doc_uri"]), ",")
 
@@ -104,10 +111,15 @@ def _uris(column: str):
 # --- sources and sinks -----------------------------------------------------------------------
 
 
-@query()
+@query("""
+select page_id, octet_length(encode(html)) + 1 as length, md5(html || chr(10)) as digest from pages""")
 def src_binary_files(spark, sf_dir):
-    files = load_files(spark, sf_dir, "*.parquet")
-    return files.select(extension("path").alias("extension"), doc_uri("path").alias("doc_uri"), "length")
+    """Every page as a file of its own, loaded again by its bytes; the text writer ends a file with a line break."""
+    pages, folder = fx.table(spark, sf_dir, "pages"), scratch_dir(spark)
+    pages.select("page_id", "html").repartition("page_id").write.partitionBy("page_id").text(folder)
+    files = load_files(spark, folder, "*.txt")
+    page = F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("long")
+    return files.select(page.alias("page_id"), "length", F.md5("content").alias("digest"))
 
 
 @query("select event_id, user_id, event_type, value from events")
@@ -116,16 +128,35 @@ def src_table_scan(spark, sf_dir):
 
 
 @query("""
-select text as request, item_id::varchar as request_id, null::varchar as expected_response, 0::bigint as n_expected
-from benchmark""")
+select text as request, item_id::varchar as request_id, case when item_id % 2 = 0 then 'Answer ' || item_id end as expected_response,
+  case when item_id % 3 = 0 then 'bench/' || item_id || '.txt' end as expected_uris
+from benchmark
+union all values ('What is set?', 'i1', 'Everything.', 'a.txt,b.txt'), ('What is absent?', null, null, null)""")
 def src_inline_eval_rows(spark, sf_dir):
-    rows = conform_eval_rows(fx.table(spark, sf_dir, "benchmark"), request="text", request_id="item_id")
-    return rows.select(
-        "request",
-        "request_id",
-        "expected_response",
-        F.coalesce(F.size("expected_retrieved_context"), F.lit(0)).cast("long").alias("n_expected"),
+    """Hand-written rows, one with all fields and one with the least, beside those of a question table."""
+    written = inline_eval_rows(
+        spark,
+        [
+            {
+                "request": "What is set?",
+                "request_id": "i1",
+                "expected_response": "Everything.",
+                "expected_retrieved_context": [{"doc_uri": "a.txt"}, {"doc_uri": "b.txt"}],
+            },
+            {"request": "What is absent?"},
+        ],
     )
+    item = F.col("item_id")
+    uri = F.concat(F.lit("bench/"), item, F.lit(".txt"))
+    asked = conform_eval_rows(
+        fx.table(spark, sf_dir, "benchmark"),
+        request="text",
+        request_id=item.cast("string"),
+        expected_response=F.when(item % 2 == 0, F.concat(F.lit("Answer "), item)),
+        expected_retrieved_context=F.when(item % 3 == 0, F.array(F.struct(uri.alias("doc_uri")))),
+    )
+    rows = asked.unionByName(written)
+    return rows.select("request", "request_id", "expected_response", _uris("expected_retrieved_context").alias("expected_uris"))
 
 
 @query(q.with_ctes(q.DOCS) + """
@@ -162,14 +193,15 @@ def snk_overwrite_roundtrip(spark, sf_dir):
     where = scratch_dir(spark)
     overwrite_table(docs.select("doc_uri", "parser_status"), chunk_table, path=where)
     chunks = overwrite_table(compute_chunks(docs, fixed_windows()), chunk_table, path=where)
-    return _seconds(chunks)
+    return _seconds(_without_table(_without_table(chunks, docs_table), chunk_table, where))
 
 
 @query(q.with_ctes(q.REQUESTS, q.ASSESSMENTS, q.EVAL_SET) + """
 select request, request_id, expected_response, expected_uris, source_user, source_tag from eval_set""")
 def snk_eval_set_roundtrip(spark, sf_dir):
     rows = _eval_set(spark, sf_dir).select(*SAVED_COLUMNS)
-    stored = overwrite_table(rows, f"corpusmill_eval_set_{uuid.uuid4().hex}", path=scratch_dir(spark))
+    name, where = f"corpusmill_eval_set_{uuid.uuid4().hex}", scratch_dir(spark)
+    stored = _without_table(overwrite_table(rows, name, path=where), name, where)
     return stored.withColumn("expected_uris", _uris("expected_retrieved_context")).drop("expected_retrieved_context")
 
 
@@ -251,14 +283,14 @@ def _reverse_words(content, path, modified, length):
     }
 
 
-@query(q.with_ctes(q.DOCS, q.PARSED_PAGES) + f"""
-select {_PARSED} from parsed_pages
+@query(q.with_ctes(q.MIXED_DOCS, q.SAVED_PAGES) + f"""
+select {_PARSED} from saved_pages
 union all
 select * replace (array_to_string([array_to_string(list_reverse(string_split(l, ' ')), ' ')
   for l in string_split(doc_content, chr(10))], chr(10)) as doc_content)
 from (select {_PARSED} from docs)""")
 def doc_parse(spark, sf_dir):
-    raw = fx.raw_docs(spark, sf_dir).unionByName(fx.raw_pages(spark, sf_dir))
+    raw = fx.raw_docs(spark, sf_dir, mixed=True).unionByName(fx.saved_pages(spark, sf_dir))
     return _seconds(parse_files(raw, python_parsers={".txt": _reverse_words}))
 
 
@@ -280,22 +312,41 @@ def doc_html_to_text(spark, sf_dir):
     return pages.select("page_id", html_to_markdown("html").alias("markdown"))
 
 
+_ODD_SQL = """
+'<header><nav>menu ' || page_id || '<p>' || html || '<table><tr><th>one</th><th>two</th></tr><tr><td>' || page_id || '</td><td>b</td></tr></table>'
+|| 'dash &#8211; han &#x4e2d; end &mdash; <a class="x" href=''u' || page_id || '''>there</a> <code>x = 1</code><pre>a  b</pre>'
+|| '<img src="p.png" alt="pic"><script>never' """
+
+
+@query(f"select page_id, {q.markdown(_ODD_SQL)} as markdown from pages")
+def doc_html_odd(spark, sf_dir):
+    """Every page within unclosed elements, and with a table, references, quotes, code and an image after it."""
+    page, number = F.col("html"), F.col("page_id").cast("string")
+    odd = F.concat(
+        F.lit("<header><nav>menu "), number, F.lit("<p>"), page,
+        F.lit("<table><tr><th>one</th><th>two</th></tr><tr><td>"), number, F.lit("</td><td>b</td></tr></table>"),
+        F.lit('dash &#8211; han &#x4e2d; end &mdash; <a class="x" href=\'u'), number,
+        F.lit("'>there</a> <code>x = 1</code><pre>a  b</pre><img src=\"p.png\" alt=\"pic\"><script>never"),
+    )
+    return spread(fx.table(spark, sf_dir, "pages")).select("page_id", html_to_markdown(odd).alias("markdown"))
+
+
 @query(q.with_ctes(q.PARSED_PAGES) + f"select {_PARSED} from parsed_pages where parser_status <> 'SUCCESS'")
 def doc_error_rows(spark, sf_dir):
     parsed = parse_files(fx.raw_pages(spark, sf_dir))
     return _seconds(parsed.filter(F.col("parser_status") != K.SUCCESS))
 
 
-@query(q.with_ctes(q.DOCS) + """
+@query(q.with_ctes(q.MIXED_DOCS) + """
 select case when parser_status = 'SUCCESS' then 'SUCCESS' else 'ERROR' end as outcome, count(*) as n_docs
 from docs group by 1""")
 def doc_status_counts(spark, sf_dir):
-    return status_counts(fx.docs(spark, sf_dir))
+    return status_counts(fx.docs(spark, sf_dir, mixed=True))
 
 
-@query(q.with_ctes(q.DOCS) + f"select {_PARSED} from docs where parser_status = 'SUCCESS'")
+@query(q.with_ctes(q.MIXED_DOCS) + f"select {_PARSED} from docs where parser_status = 'SUCCESS'")
 def doc_success_only(spark, sf_dir):
-    return _seconds(successful(fx.docs(spark, sf_dir)))
+    return _seconds(successful(fx.docs(spark, sf_dir, mixed=True)))
 
 
 # --- chunks ---------------------------------------------------------------------------------------------
@@ -339,12 +390,13 @@ def chunk_ids(spark, sf_dir):
 # --- vectors and search -----------------------------------------------------------------------------------
 
 
-@query()
+@query("""
+select doc_id, 256::bigint as dim, case when regexp_matches(text, '[A-Za-z0-9]') then 1.0 else 0.0 end as norm from documents""")
 def vec_hash_embed(spark, sf_dir):
     documents = spread(fx.table(spark, sf_dir, "documents").select("doc_id", "text"))
     embedded = fit_hash_embedder(documents, "text").embed(documents, "text")
     square = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    return embedded.select("doc_id", "embedding", F.size("embedding").alias("dim"), F.sqrt(square).alias("norm"))
+    return embedded.select("doc_id", F.size("embedding").cast("long").alias("dim"), F.round(F.sqrt(square), 3).alias("norm"))
 
 
 @query(q.with_ctes(q.IVF) + "select vec_id as chunk_id, cell, cell_score from near where place = 1")
@@ -358,14 +410,14 @@ def vec_ivf_assign(spark, sf_dir):
 
 def _exact(spark, sf_dir, k):
     return exact_top_k(
-        fx.query_vectors(spark, sf_dir), fx.vectors(spark, sf_dir), k, key="chunk_id", skip_self=True
+        fx.query_vectors(spark, sf_dir), fx.vectors(spark, sf_dir), k, key="chunk_id", skip_self=True, method="broadcast"
     )
 
 
 def _ann(spark, sf_dir):
     vectors = fx.vectors(spark, sf_dir)
     index = build_index(vectors, hash_pivots(vectors, q.CELLS, "chunk_id"), "chunk_id")
-    return ivf_top_k(fx.query_vectors(spark, sf_dir), index, K.ANN_RESULTS, q.PROBES, skip_self=True)
+    return ivf_top_k(fx.query_vectors(spark, sf_dir), index, K.ANN_RESULTS, q.PROBES, skip_self=True, method="broadcast")
 
 
 @query(q.with_ctes(q.knn(K.TRIAL_RESULTS)) + "select query_id, rank, chunk_id, score from knn")
@@ -502,7 +554,7 @@ def job_files_to_prompts(spark, sf_dir):
     corpus = ingest(
         raw,
         f"corpusmill_docs_{uuid.uuid4().hex}",
-        n_cells=q.CELLS,
+        q.CELLS,
         docs_path=scratch_dir(spark),
         chunk_path=scratch_dir(spark),
         parsers=COLUMN_PARSERS | fx.TEXT_PARSERS,
@@ -643,7 +695,7 @@ def cls_root_cause_8(spark, sf_dir):
     return labelled.select("request_id", "root_cause", "assessment", "rationale")
 
 
-@query(q.with_ctes(q.RESULTS, q.GAPS, q.classified("gaps", "with")) + """
+@query(q.with_ctes(q.RESULTS, q.GAPS, q.classified("gaps", q.WITH_TRUTH)) + """
 select request_id, root_cause, assessment, rationale from labelled""")
 def cls_root_cause_11(spark, sf_dir):
     labelled = classify(fx.eval_results_gaps(spark, sf_dir), WITH_TRUTH)
@@ -702,13 +754,7 @@ select count(*) filter (root_cause = 'Improve Retrieval') = 0 as no_retrieval_is
   count(*) filter (root_cause = 'Other') = 0 as no_other_issue
 from labelled""")
 def empty_report(spark, sf_dir):
-    labelled = classify(fx.eval_results(spark, sf_dir))
-
-    def none(cause):
-        return F.count(F.when(F.col("root_cause") == cause, 1)) == 0
-
-    return labelled.agg(
-        none(K.IMPROVE_RETRIEVAL).alias("no_retrieval_issue"),
-        none(K.IMPROVE_GENERATION).alias("no_generation_issue"),
-        none("Other").alias("no_other_issue"),
-    )
+    labelled = spill(classify(fx.eval_results(spark, sf_dir)))
+    causes = (K.IMPROVE_RETRIEVAL, K.IMPROVE_GENERATION, "Other")
+    flags = tuple(is_empty(issue_report(labelled, cause)) for cause in causes)
+    return spark.createDataFrame([flags], "no_retrieval_issue boolean, no_generation_issue boolean, no_other_issue boolean")

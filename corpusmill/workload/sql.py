@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from corpusmill import constants as K
-from corpusmill.functions import text
-from corpusmill.functions.html import ENTITIES, markdown_steps
-
 
 # White space as str.split() sees it, in RE2's notation.
 SPACE = (
@@ -35,25 +32,50 @@ def squeeze(expr: str) -> str:
 
 
 def markdown(expr: str) -> str:
-    for pattern, to in markdown_steps():
-        expr = replace_all(expr, pattern, to.replace("$2", r"\2").replace("$1", r"\1"))
-    for name, char in ENTITIES:
+    """HTML as Markdown, for what the given pages and the page of odd elements hold."""
+    for element in ("script", "style"):
+        expr = replace_all(expr, f"(?is)<{element}[^>]*>.*?</{element} *>", "")
+    expr = replace_all(expr, "(?s)<!--.*?-->", "")
+    for level in (1, 2, 3, 4, 5, 6):
+        expr = f"regexp_replace({expr}, '(?i)<h{level}( [^>]*)?>', chr(10) || chr(10) || repeat('#', {level}) || ' ', 'g')"
+    two = "\n\n"
+    for pattern, to in (
+        ("(?i)</h[123456]>", two),
+        ('(?is)<img src="([^"]*)" alt="([^"]*)">', r"![\2](\1)"),
+        ('(?is)<a [^>]*href="([^"]*)"[^>]*>(.*?)</a>', r"[\2](\1)"),
+        ("(?is)<a [^>]*href='([^']*)'[^>]*>(.*?)</a>", r"[\2](\1)"),
+        ("(?is)<pre>(.*?)</pre>", "\n\n```\n\\1\n```\n\n"),
+        ("(?i)</?code>", "`"),
+        ("(?i)</?(?:b|strong)( [^>]*)?>", "**"),
+        ("(?i)</?(?:i|em)( [^>]*)?>", "*"),
+        ("(?i)<li( [^>]*)?>", "\n* "),
+        ("(?i)<hr( [^>]*)?/?>", "\n\n---\n\n"),
+        ("(?i)<tr( [^>]*)?>", "\n| "),
+        ("(?i)</t[dh]>", " | "),
+        ("(?i)</?(?:p|div|article|section|header|footer|nav|main|title|ul|ol|br|table|blockquote)( [^>]*)?/?>", two),
+        ("(?s)<[^>]*>", ""),
+    ):
+        expr = replace_all(expr, pattern, to)
+    for name, char in (
+        ("&#8211;", "–"), ("&#x4e2d;", "中"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
+        ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"), ("&amp;", "&"),
+    ):
         expr = f"replace({expr}, {lit(name)}, {lit(char)})"
-    return squeeze(replace_all(expr, r"[ \t]*\n[ \t]*", "\n"))
+    lines = f"array_to_string(list_transform(string_split({expr}, chr(10)), lambda l: trim(l, ' ' || chr(9))), chr(10))"
+    return squeeze(lines)
 
 
 def extension(expr: str) -> str:
-    return f"regexp_extract({expr}, {lit(text.EXTENSION)}, 1)"
+    """By the last segment: its suffix from the last dot, unless the dot leads the name."""
+    name = f"list_last(string_split({expr}, '/'))"
+    return f"(case when strpos({name}[2:], '.') > 0 then '.' || list_last(string_split({name}, '.')) else '' end)"
 
 
 def doc_uri(expr: str) -> str:
-    cut = replace_all(replace_all(replace_all(expr, text.URI_LEADING, ""), text.URI_BREAKS, ""), text.URI_TAIL, "")
-    bare = replace_all(replace_all(cut, text.URI_SCHEME, ""), text.URI_HOST, "")
-    params = (
-        f"(regexp_matches({cut}, {lit(text.URI_WITH_PARAMS)}) or not regexp_matches({cut}, {lit(text.URI_SCHEME)}))"
-    )
-    bare = f"(case when {params} then {replace_all(bare, text.URI_PARAMS, '')} else {bare} end)"
-    return replace_all(bare, text.URI_SLASHES, "")
+    """What follows the host of a URL, up to the first mark of a query, a fragment or parameters."""
+    bare = f"string_split(string_split({expr}, '#')[1], '?')[1]"
+    rest = f"(case when strpos({bare}, '://') > 0 then array_to_string(string_split({bare}, '/')[4:], '/') else substr({bare}, strpos({bare}, ':') + 1) end)"
+    return f"ltrim({rest}, '/')"
 
 
 def parsed(source: str, key: str, path: str, content: str, exts: str) -> str:
@@ -71,12 +93,18 @@ def parsed(source: str, key: str, path: str, content: str, exts: str) -> str:
       from {source}"""
 
 
-DOC_PATH = (
-    "('file:/corpus/' || source || '/' || doc_id || case when source = 'src7' then '.pdf' else '.txt' end)"
-)
+DOC_PATH = "('file:/corpus/' || source || '/' || doc_id || '.txt')"
+MIXED_PATH = "('file:/corpus/' || source || '/' || doc_id || case when source = 'src7' then '.pdf' else '.txt' end)"
+SAVED_PATH = "('file:/pages/' || page_id || '.html')"
 PAGE_PATH = replace_all("url", r"/\z", "/index.html")
 
 DOCS = "docs as (" + parsed("documents", "doc_id", DOC_PATH, "text", "'.txt'") + ")"
+MIXED_DOCS = "docs as (" + parsed("documents", "doc_id", MIXED_PATH, "text", "'.txt'") + ")"
+SAVED_PAGES = (
+    "saved_pages as ("
+    + parsed(f"(select *, {markdown('html')} as md from pages)", "page_id", SAVED_PATH, "md", "'.html'")
+    + ")"
+)
 PARSED_PAGES = (
     "parsed_pages as ("
     + parsed(f"(select *, {markdown('html')} as md from pages)", "page_id", PAGE_PATH, "md", "'.html'")
@@ -178,17 +206,42 @@ GAPS = """gaps as (
   from results)"""
 
 
-def classified(source: str, rules: str = "without") -> str:
+# Share of relevant chunks below one half (low) or not (high); grounded; correct; relevant; the labels.
+WITHOUT_TRUTH = """
+  ('low', 'no', null, 'no', 'Improve Retrieval', 'fail', 'Retrieval quality is poor.'),
+  ('low', 'no', null, 'yes', 'Improve Retrieval', 'fail', 'Retrieval quality is poor.'),
+  ('low', 'yes', null, 'no', 'Improve Retrieval', 'fail', 'Response is grounded in retrieval, but retrieval is poor.'),
+  ('low', 'yes', null, 'yes', 'Improve Retrieval', 'pass',
+   'Relevant response grounded in the retrieved context and relevant, but retrieval is poor.'),
+  ('high', 'no', null, 'no', 'Improve Generation', 'fail', 'Hallucination'),
+  ('high', 'no', null, 'yes', 'Improve Generation', 'fail', 'Hallucination'),
+  ('high', 'yes', null, 'no', 'Improve Generation', 'fail',
+   'Good retrieval & grounded, but LLM does not provide a relevant response.'),
+  ('high', 'yes', null, 'yes', 'No root cause, record passed', 'pass',
+   'Good retrieval and relevant response. Collect ground-truth to know if the answer is correct.')"""
+WITH_TRUTH = """
+  ('low', 'no', 'no', 'no', 'Improve Retrieval', 'fail', 'Retrieval is poor.'),
+  ('low', 'no', 'no', 'yes', 'Improve Retrieval', 'fail',
+   'LLM generates relevant response, but retrieval is poor e.g., the LLM ignores retrieval and uses its training knowledge to answer.'),
+  ('low', 'no', 'yes', null, 'Improve Retrieval', 'fail',
+   'Retrieval quality is poor, but LLM gets the answer correct regardless.'),
+  ('low', 'yes', 'no', 'no', 'Improve Retrieval', 'fail', 'Response is grounded in retrieval, but retrieval is poor.'),
+  ('low', 'yes', 'no', 'yes', 'Improve Retrieval', 'fail',
+   'Relevant response grounded in the retrieved context, but retrieval may not be related to the expected answer.'),
+  ('low', 'yes', 'yes', null, 'No root cause, record passed', 'pass',
+   'Retrieval finds enough information for the LLM to correctly answer.'),
+  ('high', 'no', 'no', null, 'Improve Generation', 'fail', 'Hallucination'),
+  ('high', 'no', 'yes', null, 'Improve Generation', 'fail', 'Hallucination, correct but generates details not in context'),
+  ('high', 'yes', 'no', 'no', 'Improve Generation', 'fail',
+   'Good retrieval, but the LLM does not provide a relevant response.'),
+  ('high', 'yes', 'no', 'yes', 'Improve Generation', 'fail', 'Good retrieval and relevant response, but not correct.'),
+  ('high', 'yes', 'yes', 'yes', 'No root cause, record passed', 'pass', 'No issues.')"""
+
+
+def classified(source: str, rules: str = WITHOUT_TRUTH) -> str:
     """CTE ``labelled``: the source with root_cause, assessment, rationale."""
-    if rules == "without":
-        named = [((s, g, None, r), label) for s, g, r, *label in K.RULES_WITHOUT_TRUTH]
-    else:
-        named = [((s, g, c, r), label) for s, g, c, r, *label in K.RULES_WITH_TRUTH]
-    values = []
-    for key, label in named:
-        values.append("(" + ", ".join("null" if v is None else lit(v) for v in (*key, *label)) + ")")
     return f"""rules as (
-  select * from (values {', '.join(values)})
+  select * from (values {rules})
     t(side, g, c, r, root_cause, assessment, rationale)),
 labelled as (
   select s.*, t.root_cause, t.assessment, t.rationale

@@ -5,14 +5,16 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.constants import PROMPT_TEMPLATE
 from corpusmill.operators.chunk import fixed_windows
+from corpusmill.operators.embed import fit_hash_embedder
 from corpusmill.operators.prompt import messages
 from corpusmill.operators.quality import WITH_TRUTH
 from corpusmill.plans.answer import prompts_for, retrieve
-from corpusmill.plans.ingest import index_chunks, ingest, reread
+from corpusmill.plans.ingest import index_chunks, ingest, open_corpus, reread
 from corpusmill.plans.review import quality_report, save_evaluation_set
 from corpusmill.session import scratch_dir
 from corpusmill.sources.files import load_files
@@ -26,12 +28,12 @@ def test_files_to_prompts(spark, tmp_path):
     (tmp_path / "broken.pdf").write_bytes(b"%PDF")
     name = f"t_{uuid.uuid4().hex}"
     corpus = ingest(
-        load_files(spark, str(tmp_path)), name, chunker=fixed_windows(40, 10), n_cells=3,
-        docs_path=scratch_dir(spark), chunk_path=scratch_dir(spark),
+        load_files(spark, str(tmp_path)), name, 3, chunker=fixed_windows(40, 10), train_cells=False,
+        docs_path=scratch_dir(spark), chunk_path=scratch_dir(spark), index_path=scratch_dir(spark),
     )
     assert corpus.docs.count() == 4 and spark.table(f"{name}_chunked").count() == corpus.chunks.count() > 3
     assert [d.count() for d in reread(spark, name)] == [4, corpus.chunks.count()]
-    trained, _ = index_chunks(corpus.chunks, corpus.embedder, n_cells=2, train_cells=True)
+    trained, _ = index_chunks(corpus.chunks, 2, corpus.embedder)
     assert sum(n for n, _ in trained.cells.values()) == corpus.chunks.count()
     questions = spark.createDataFrame(
         [("1", "puppy bark"), ("2", "gill fin"), ("3", "zzz qqq")], "request_id string, request string"
@@ -47,6 +49,11 @@ def test_files_to_prompts(spark, tmp_path):
         want = [s for s, _ in scores[:2] if -s >= 0.2]
         got = [-round(r.score, 5) for r in sorted(rows, key=lambda r: r["rank"]) if r.request_id == request]
         assert np.allclose(got, want, atol=2e-5)
+    again = open_corpus(spark, name, corpus.index.path)
+    assert sorted(retrieve(questions, again, k=2, nprobe=3, threshold=0.2).collect()) == sorted(rows)
+    other = fit_hash_embedder(questions, "request")
+    with pytest.raises(ValueError, match="index holds"):
+        open_corpus(spark, name, corpus.index.path, embedder=other)
     prompts = {r.request_id: r for r in prompts_for(questions, passages).collect()}
     assert prompts["3"].n_passages == 0 and prompts["3"].prompt == PROMPT_TEMPLATE.replace("{context}", "")
     assert prompts["1"].prompt.count("Passage text: ") == prompts["1"].n_passages >= 1

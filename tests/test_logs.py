@@ -94,3 +94,21 @@ def test_dedup_is_per_assessor(spark):
     )
     got = evalset.dedup_assessments(log).select("source_tag", "timestamp").collect()
     assert sorted(map(tuple, got)) == [("a", 3), ("b", 1)]
+
+
+def test_answers_across_gaps_and_blocks(spark):
+    turns = [(1, 0, "user", "q0"), (1, 5, "assistant", "a5"), (1, 6, "user", "q6"), (1, 7, "user", "q7"), (1, 40, "assistant", "a40")]
+    df = spark.createDataFrame(turns, TURNS)
+    for block in (1, 3, 1024):
+        got = {r.turn: r.response for r in chat.requests_with_responses(df, block).collect()}
+        assert got == {0: "a5", 6: None, 7: "a40"}
+
+
+def test_shared_log_columns_keep_both(spark):
+    requests = spark.createDataFrame([("r", "q", "a", "t", 1, "d1")], "request_id string, request string, response string, trace string, timestamp int, date string")
+    log = spark.createDataFrame(
+        [("r", "u", "x", "yes", None, ["c"], 2, 3, "d2")],
+        "request_id string, source_user string, source_tag string, rating string, edited_response string, liked_doc_uris array<string>, timestamp int, assessment_id int, date string",
+    )
+    row = evalset.potential_evaluation_set(requests, log).first()
+    assert (row.date, row.assessment_date, row.timestamp, row.assessment_timestamp, row.liked_doc_uris) == ("d1", "d2", 1, 2, ["c"])

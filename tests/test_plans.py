@@ -7,7 +7,7 @@ import re
 import pytest
 from conftest import plan_of
 
-import __spark_entry__ as driver
+from corpusmill.workload import queries as workload
 
 NARROW = [
     "src_table_scan", "scl_doc_uri", "scl_user_slug", "scl_flag_test", "scl_decode_utf8", "vec_ivf_assign",
@@ -21,33 +21,33 @@ PRUNED = {
 }
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(workload.registered()))
 def test_no_cross_joins_and_no_row_udfs(spark, sf_dir, name):
-    plan = plan_of(driver.queries()[name](spark, sf_dir))
+    plan = plan_of(workload.registered()[name](spark, sf_dir))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "CollectLimit", "LocalLimit"):
         assert bad not in plan
 
 
 @pytest.mark.parametrize("name", NARROW)
 def test_row_wise_queries_do_not_shuffle(spark, sf_dir, name):
-    assert "Exchange" not in plan_of(driver.queries()[name](spark, sf_dir))
+    assert "Exchange" not in plan_of(workload.registered()[name](spark, sf_dir))
 
 
 @pytest.mark.parametrize("name", list(PRUNED))
 def test_only_wanted_columns_are_read(spark, sf_dir, name):
-    plan = plan_of(driver.queries()[name](spark, sf_dir))
+    plan = plan_of(workload.registered()[name](spark, sf_dir))
     read = {c.split(":")[0] for s in re.findall(r"ReadSchema: struct<([^\n]*)>", plan) for c in re.split(r",(?=\w+:)", s)}
     assert read == PRUNED[name]
 
 
 @pytest.mark.parametrize("name", ["log_dedup", "eval_join", "knn_exact_top16", "knn_ann_ivf"])
 def test_groups_are_limited_before_the_shuffle(spark, sf_dir, name):
-    plan = plan_of(driver.queries()[name](spark, sf_dir))
+    plan = plan_of(workload.registered()[name](spark, sf_dir))
     assert re.search(r"WindowGroupLimit .*Partial", plan) and re.search(r"WindowGroupLimit .*Final", plan)
 
 
 def test_one_count_serves_shares_and_total(spark, sf_dir):
-    df = driver.queries()["agg_root_cause_freq"](spark, sf_dir)
+    df = workload.registered()["agg_root_cause_freq"](spark, sf_dir)
     df.collect()
     assert "ReusedExchange" in plan_of(df)
 
@@ -62,6 +62,7 @@ def test_index_search_reads_probed_cells_only(spark):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     index = build_index(vectors, hash_pivots(vectors, 8))
     one = vectors.filter(F.col("vec_id") == 3).withColumnRenamed("vec_id", "query_id")
-    plan = plan_of(ivf_top_k(one, index, 3, nprobe=1))
-    assert re.search(r"PartitionFilters: \[.*cell", plan)
-    assert "cell_score" not in plan.split("ReadSchema")[1]
+    for method in ("cells", "broadcast"):
+        plan = plan_of(ivf_top_k(one, index, 3, nprobe=1, method=method))
+        assert re.search(r"PartitionFilters: \[.*cell", plan)
+        assert all("cell_score" not in part.split(">")[0] for part in plan.split("ReadSchema")[1:])

@@ -55,22 +55,22 @@ CASES = [
 
 
 @pytest.mark.parametrize(("copies", "prefix", "skip_self"), CASES)
-@pytest.mark.parametrize("budget", [S.MAX_BROADCAST_BYTES, 0])
-def test_exact(spark, copies, prefix, skip_self, budget):
+@pytest.mark.parametrize("method", ["broadcast", "cells"])
+def test_exact(spark, copies, prefix, skip_self, method):
     ids, m, df = make(spark, 450, 8, 7, copies, prefix)
     hits = S.exact_top_k(
         df.withColumnRenamed("id", "query_id").repartition(3), df.withColumnRenamed("id", "vec_id").repartition(5), 5,
-        skip_self=skip_self, max_broadcast_bytes=budget, n_cells=12, nprobe=2,
+        skip_self=skip_self, method=method, n_cells=12, nprobe=2,
     )
     assert collect(hits) == brute(ids, m, ids, m, 5, skip_self)
 
 
 def test_exact_with_fewer_vectors_than_k(spark):
     ids, m, df = make(spark, 4, 3, 1)
-    for budget in (S.MAX_BROADCAST_BYTES, 0):
+    for method in ("broadcast", "cells"):
         hits = S.exact_top_k(
             df.withColumnRenamed("id", "query_id"), df.withColumnRenamed("id", "vec_id"), 10,
-            max_broadcast_bytes=budget, n_cells=3, nprobe=1,
+            method=method, n_cells=3, nprobe=1,
         )
         assert collect(hits) == brute(ids, m, ids, m, 10)
 
@@ -79,10 +79,10 @@ def test_zero_and_null_vectors(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, [-1.0, 0.5]), (3, None)]
     df = spark.createDataFrame(rows, "id long, embedding array<float>")
     want = {0: [(0, 1.0), (1, 0.0), (2, -0.894427)], 1: [(0, 0.0), (1, 0.0), (2, 0.0)], 2: [(2, 1.0), (1, 0.0), (0, -0.894427)]}
-    for budget in (S.MAX_BROADCAST_BYTES, 0):
+    for method in ("broadcast", "cells"):
         hits = S.exact_top_k(
             df.withColumnRenamed("id", "query_id"), df.withColumnRenamed("id", "vec_id"), 3,
-            max_broadcast_bytes=budget, n_cells=2, nprobe=1,
+            method=method, n_cells=2, nprobe=1,
         )
         assert collect(hits) == want
 
@@ -104,8 +104,8 @@ def test_exact_by_cells_on_clusters(spark, clustered):
         assert rest.count() < 400 * 18 / 2, "the bound should rule out most cells"
 
 
-@pytest.mark.parametrize("budget", [S.MAX_BROADCAST_BYTES, 0])
-def test_ann_looks_into_its_cells_only(spark, budget):
+@pytest.mark.parametrize("method", ["broadcast", "cells"])
+def test_ann_looks_into_its_cells_only(spark, method):
     ids, m, df = make(spark, 300, 8, 11, 100)
     vectors = df.withColumnRenamed("id", "vec_id")
     centroids = hash_pivots(vectors, 10)
@@ -115,9 +115,9 @@ def test_ann_looks_into_its_cells_only(spark, budget):
     scores = np.round(unit @ centroids.T, 6)
     order = np.argsort(-scores, axis=1, kind="stable")
     allowed = (order[:, :3][:, :, None] == order[:, 0][None, None, :]).any(axis=1)
-    hits = S.ivf_top_k(queries, index, 4, 3, skip_self=True, max_broadcast_bytes=budget)
+    hits = S.ivf_top_k(queries, index, 4, 3, skip_self=True, method=method)
     assert collect(hits) == brute(ids, m, ids, m, 4, True, allowed)
-    everything = S.ivf_top_k(queries, index, 4, 10, skip_self=True, max_broadcast_bytes=budget)
+    everything = S.ivf_top_k(queries, index, 4, 10, skip_self=True, method=method)
     assert collect(everything) == brute(ids, m, ids, m, 4, True)
 
 
@@ -173,17 +173,37 @@ def test_kmeans_cells(spark):
     assert sum(n for n, _ in index.cells.values()) == 201
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 0])
-def test_passages(spark, limit):
+def test_passages(spark):
     hits = spark.createDataFrame([(1, 1, 10, 0.9), (1, 2, 11, 0.05), (2, 1, 99, 0.8)], "query_id long, rank long, vec_id long, score double")
     chunks = spark.createDataFrame([(10, "t10", "u10", "en", 1), (11, "t11", "u11", "de", 2)], "chunk_id long, content_chunked string, doc_uri string, lang string, other int")
-    got = S.fetch_passages(
-        S.above(hits, 0.1), chunks, S.ResultColumns(additional=["lang"]), "vec_id", max_broadcast_bytes=limit
-    )
+    got = S.fetch_passages(S.above(hits, 0.1), chunks, S.ResultColumns(additional=["lang"]), "vec_id")
     assert got.columns == ["query_id", "rank", "chunk_id", "score", "content_chunked", "doc_uri", "lang"]
     assert [tuple(r) for r in got.collect()] == [(1, 1, 10, 0.9, "t10", "u10", "en")]
-    plan = plan_of(got)
-    assert ("SortMergeJoin" if limit == 0 else "BroadcastHashJoin") in plan
+
+
+def test_methods_are_chosen_not_guessed(spark):
+    _, _, df = make(spark, 30, 4, 1)
+    queries, vectors = df.withColumnRenamed("id", "query_id"), df.withColumnRenamed("id", "vec_id")
+    with pytest.raises(ValueError, match="over 100"):
+        S.exact_top_k(queries, vectors, 3, method="broadcast", max_broadcast_bytes=100)
+    with pytest.raises(ValueError, match="n_cells"):
+        S.exact_top_k(queries, vectors, 3)
+    with pytest.raises(ValueError, match="method"):
+        S.exact_top_k(queries, vectors, 3, method="fast")
+
+
+@pytest.mark.parametrize("method", ["broadcast", "cells"])
+@pytest.mark.parametrize(("q_type", "v_type"), [("long", "string"), ("string", "long"), ("string", "string"), ("int", "long")])
+def test_id_types_and_empty_tasks(spark, method, q_type, v_type):
+    rows = [(i, [1.0, float(i)]) for i in range(4)]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>")
+    queries = df.select(F.col("id").cast(q_type).alias("query_id"), "embedding")
+    vectors = df.select(F.col("id").cast(v_type).alias("vec_id"), "embedding").repartition(7)
+    hits = S.exact_top_k(queries, vectors, 2, method=method, n_cells=2, nprobe=1)
+    assert hits.dtypes[0][1] == queries.dtypes[0][1] and hits.dtypes[2][1] == vectors.dtypes[0][1]
+    assert hits.filter("rank = 1").count() == 4
+    index = build_index(vectors, hash_pivots(vectors, 2))
+    assert S.ivf_top_k(queries, index, 2, 2, method=method).filter("rank = 1").count() == 4
 
 
 def test_recall(spark):
@@ -195,7 +215,7 @@ def test_recall(spark):
 
 def test_plan_limits_each_group_before_the_shuffle(spark):
     _, _, df = make(spark, 50, 4, 1)
-    plan = plan_of(S.exact_top_k(df.withColumnRenamed("id", "query_id"), df.withColumnRenamed("id", "vec_id"), 3))
+    plan = plan_of(S.exact_top_k(df.withColumnRenamed("id", "query_id"), df.withColumnRenamed("id", "vec_id"), 3, method="broadcast"))
     assert plan.count("WindowGroupLimit") >= 2
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan

@@ -95,5 +95,28 @@ def test_markdown(spark):
         "<html><head><title>T</title></head><script>var t='</p>';</script><body><!-- no --><h1>One</h1><h3 id=x>Three</h3>"
         "<p>a &amp;lt; b<b>bold</b> <em>it</em></p><ul><li><a class=q href=\"/u\">link</a><li>two</ul>x<hr>y</body></html>"
     )
-    want = "# One\n\n### Three\n\na &lt; b**bold** *it*\n\n* [link](/u)\n* two\n\nx\n\n---\n\ny"
+    want = "T\n\n# One\n\n### Three\n\na &lt; b**bold** *it*\n\n* [link](/u)\n* two\n\nx\n\n---\n\ny"
     assert apply(spark, [page], html_to_markdown) == [want]
+
+
+def test_markdown_loses_no_text(spark):
+    pages = {
+        "<body><nav>menu<h1>Title</h1><p>whole article text</p><footer>foot</footer></body>": "menu\n\n# Title\n\nwhole article text\n\nfoot",
+        "<head><script>gone</script><title>T</title></head><script>kept": "T\n\nkept",
+        "<table><tr><td>alpha</td><td>beta</td></tr></table>": "| alpha | beta |",
+        "&#8211; &#x1F600; &#0; &#55296; &#99; x&#y": "\u2013 \U0001f600 &#0; &#55296; c x&#y",
+        "<a href='u'>l</a> <img src=\"s\" alt=\"a\"> <img src=\"s\"> <code>c</code>": "[l](u) ![a](s) ![](s) `c`",
+        "<pre><code>a\nb</code></pre>": "```\na\nb\n```",
+    }
+    assert apply(spark, list(pages), html_to_markdown) == list(pages.values())
+
+
+def test_white_space_is_cut_in_linear_time(spark):
+    import time
+
+    page = "a" + " " * 100_000 + "b" + "\u3000\x1f\n" * 10
+    apply(spark, ["x"], html_to_markdown)
+    start = time.perf_counter()
+    assert apply(spark, [page], text.strip) == ["a" + " " * 100_000 + "b"]
+    assert apply(spark, [page], html_to_markdown) == ["a" + " " * 100_000 + "b"]
+    assert time.perf_counter() - start < 5
