@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusmill.llm.lines import line_dedup
 from corpusmill.llm.mixing import mixture
@@ -18,12 +19,17 @@ from corpusmill.llm.quality import good_documents
 from corpusmill.session import spill
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of texts that a stage may have shortened."""
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), threshold=0.3)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup(docs, min_words=5)
+    return _counted(line_dedup(docs, min_words=5))
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +37,7 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixture(docs, weights=(1, 2, 3), max_epochs=3)
+    return _counted(mixture(docs, weights=(1, 2, 3), max_epochs=3))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
