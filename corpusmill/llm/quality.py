@@ -120,7 +120,8 @@ def fit(
     known = known.filter(chosen).groupBy("doc_id").agg(F.min("y").alias("y"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(chosen)
     rows = texts.join(known, "doc_id").select("doc_id", "y", "text").mapInArrow(_indicator_rows, "doc_id long, y int, found binary")
-    (model,) = rows.coalesce(1).mapInArrow(_fit_rows, _MODEL).collect()
+    rows = rows.repartition(1)  # the bounded sample alone meets in one task; texts are read by many
+    (model,) = rows.mapInArrow(_fit_rows, _MODEL).collect()
     unpack = lambda b: np.frombuffer(b, np.float32)
     return Model(unpack(model.weights), unpack(model.squares), model.bias, model.slope, model.offset)
 
