@@ -91,12 +91,16 @@ def good_documents(
     """
     model = fit(docs, labels, sample_rows, folds, id_col, text_col, label_col)
 
+    names = docs.columns
+    text = names.index(text_col)
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = np.array([model.score(f) for f in indicators(batch.column(text_col).cast(pa.large_string()))])
+            scores = np.array([model.score(f) for f in indicators(batch.column(text).cast(pa.large_string()))])
             yield batch.filter(pa.array(scores >= threshold, pa.bool_()))
 
-    return docs.mapInArrow(rows, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])  # names with dots cannot be looked up
+    return plain.mapInArrow(rows, plain.schema).toDF(*names)
 
 
 def _held_out(id_col: str, folds: int):

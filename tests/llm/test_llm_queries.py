@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from check_oracle import compare, connect
-from helpers import documents, frame, unique_ids
+from helpers import documents, frame
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -31,7 +31,7 @@ def test_one_query_per_operator():
     assert {*llm.registered(), "pipeline"} <= set(driver.queries())
 
 
-@pytest.mark.parametrize("rows", [unique_ids(documents()), documents(), []], ids=["plain", "odd", "none"])
+@pytest.mark.parametrize("rows", [documents(), []], ids=["odd", "none"])
 def test_pipeline_stages(spark, sf_dir, tmp_path, rows):
     docs, columns = frame(spark, rows), None
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
