@@ -3,15 +3,17 @@
 The splitting rule of these vocabularies never looks behind and joins nothing across a white-space run
 that is followed by a word, so a text may be cut before each such run, and
 between letters and a full stop, comma or the like. The pieces repeat, and each
-distinct one is encoded once per worker; a text with white space beyond ASCII is encoded as a whole.
+distinct one is encoded once per worker, by the vocabulary's ranks where its ids are those; a text with white space beyond ASCII is encoded as a whole.
 Runs inside tasks. The vocabulary file is a parameter and must be readable on every machine.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Sequence
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -38,46 +40,82 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.encode = _by_ranks(path, self.table()) or (lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids)
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.tokens = np.zeros(1 << 16, np.uint32)
         self.bounds = np.zeros(1 << 16, np.int64)  # tokens of piece i are tokens[bounds[i]:bounds[i + 1]]
 
-    def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            n, start = len(self.known), self.bounds[len(self.known)]
-            ends = start + np.cumsum([len(f) for f in found])
-            self.tokens = _room(self.tokens, int(ends[-1]))
-            self.bounds = _room(self.bounds, n + len(some) + 1)
-            self.tokens[start : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1] - start))
-            self.bounds[n + 1 : n + len(some) + 1] = ends
-            self.known.update(zip(some, range(n, n + len(some)), strict=True))
+    def _learn(self) -> None:
+        """Encode the pieces that were numbered since the last time."""
+        new, self.known.new = self.known.new, []
+        if not new:
+            return
+        found = [self.encode(p) for p in new]
+        n, start = len(self.known) - len(new), self.bounds[len(self.known) - len(new)]
+        ends = start + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        self.tokens = _room(self.tokens, int(ends[-1]))
+        self.bounds = _room(self.bounds, n + len(new) + 1)
+        self.tokens[start : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1] - start))
+        self.bounds[n + 1 : n + len(new) + 1] = ends
+
+    def table(self) -> list[bytes]:
+        """The bytes of every token."""
+        return self._table
 
     def ids(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts, without special tokens, and the bounds of each text's ids."""
         parts = [[t] if _OTHER_SPACE.search(t) else _PIECE.findall(t) for t in texts]
         if len(self.known) > KNOWN_PIECES or self.bounds[len(self.known)] > KNOWN_TOKENS:
             self._forget()
-        self._learn([p for p in set(chain.from_iterable(parts)) if p not in self.known])
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
         at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum()))
+        self._learn()
         starts = self.bounds[at]
         lengths = self.bounds[at + 1] - starts
         before = np.concatenate([[0], np.cumsum(lengths)])
         flat = self.tokens[np.repeat(starts - before[:-1], lengths) + np.arange(before[-1])]
         return flat, before[np.concatenate([[0], np.cumsum(counts)])]
 
-    def table(self) -> list[bytes]:
-        """The bytes of every token."""
+    @cached_property
+    def _table(self) -> list[bytes]:
         size = self.tokenizer.get_vocab_size()
         back = {c: b for b, c in _byte_letters().items()}
         return [bytes(back.get(c, 0x3F) for c in self.tokenizer.id_to_token(i) or "") for i in range(size)]
 
 
+class _Numbers(dict):
+    """Numbers pieces in the order they first come, and notes those that are new."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
+
+
+def _by_ranks(path: str, table: list[bytes]):
+    """The same encoding several times faster, if the ids are the order of the merges; else None."""
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    with open(path, encoding="utf-8") as f:
+        given = json.load(f)
+    model, extra = given["model"], {t["id"] for t in given["added_tokens"]}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    plain = given["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    ordered = all(model["vocab"][a + b] == 256 + i for i, (a, b) in enumerate(merges))
+    if not plain or not ordered or given["normalizer"] or len(table) - len(extra) != 256 + len(merges):
+        return None
+    ranks = {t: i for i, t in enumerate(table) if i not in extra}
+    return tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 def _room(values: np.ndarray, size: int) -> np.ndarray:
     return values if size <= len(values) else np.concatenate([values, np.zeros(max(size, len(values)), values.dtype)])
 
