@@ -66,14 +66,13 @@ def _text_hash() -> Column:
 
 
 def _end_length(n: Column) -> Column:
-    """Words of a line's beginning and end that serve as keys: the largest 2**i or 3 * 2**i up to (n - 1) / 2.
+    """Words of a line's beginning and end that serve as keys: (n - 1) / 2 with all but its three leading bits cleared.
 
-    Steps make lines of n and n - 1 words mostly use the same length, so that one pair of keys serves both.
+    Such steps make lines of n and n - 1 words mostly use one length, so that one pair of keys serves both.
     """
-    most = F.greatest(F.floor((n - 1) / 2), F.lit(1))
-    power = F.expr("1L") * F.pow(F.lit(2), F.floor(F.log2(most.cast("double") + 0.5))).cast("long")
-    three = F.floor(power * 3 / 2)
-    return F.when((three <= most) & (power > 1), three).otherwise(power).cast("int")
+    most = F.greatest(F.floor((n - 1) / 2), F.lit(1)).cast("int")
+    shift = F.greatest(F.length(F.bin(most)) - 3, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", most, shift), shift)
 
 
 def _words(line: Column) -> Column:
@@ -98,15 +97,16 @@ def dropped_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
 def _occurrences(base: DataFrame, min_words: int) -> DataFrame:
     """Every line that is not blank: place, 128-bit identity, number of words, hashed halves."""
     lines = base.select("doc_id", "th", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    lines = lines.withColumn("w", _words(F.col("line"))).filter(F.col("w")[0] != "")
-    n = F.size("w")
+    lines = lines.filter(F.btrim("line", F.lit(WHITE)) != "").withColumn("w", _words(F.col("line")))
+    lines = lines.withColumn("n", F.size("w"))
+    lines = lines.withColumns({"k": _end_length(F.col("n")), "less": _end_length(F.col("n") - 1)})
 
-    def ends(k: Column) -> list[Column]:
-        return [F.xxhash64(k, F.lit(0), F.slice("w", F.lit(1), k)), F.xxhash64(k, F.lit(1), F.slice("w", n - k + 1, k))]
+    def ends(k: str) -> list[Column]:
+        first, last = F.slice("w", F.lit(1), F.col(k)), F.slice("w", F.col("n") - F.col(k) + 1, F.col(k))
+        return [F.xxhash64(F.lit(0), first), F.xxhash64(F.lit(1), last)]
 
-    k, less = _end_length(n), _end_length(n - 1)
-    also = (n > min_words) & (k != less)
-    keys = F.when(also, F.array(*ends(k), *ends(less))).when(n >= min_words, F.array(*ends(k)))
+    also = (F.col("n") > min_words) & (F.col("k") != F.col("less"))
+    keys = F.when(also, F.array(*ends("k"), *ends("less"))).when(F.col("n") >= min_words, F.array(*ends("k")))
     return lines.select(
         "doc_id", "th", "line_no", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"), keys.alias("keys")
     )
@@ -178,7 +178,7 @@ def _variants(words: DataFrame, min_words: int) -> DataFrame:
     line = ["doc_id", "line_no", "h1"]
     rows = words.select(*line, "sides", n.alias("n"), back.alias("back"), here.alias("here"))
     rows = rows.select(
-        *line, "sides", "n", "back",
+        *line, "sides", "n", "back", _end_length(F.col("n")).alias("k"), _end_length(F.col("n") - 1).alias("less"),
         F.zip_with("here", "back", xor).alias("d"),
         F.aggregate("here", zero, xor).alias("whole"), F.aggregate("back", zero, xor).alias("shifted"),
     )
@@ -193,7 +193,7 @@ def _variants(words: DataFrame, min_words: int) -> DataFrame:
         lambda s: s["upto"],
     )
     rows = rows.withColumn("upto", upto)
-    each = rows.select(*line, "sides", "n", "d", "shifted", "upto", F.posexplode("back").alias("pos", "own"))
+    each = rows.select(*line, "sides", "n", "k", "less", "d", "shifted", "upto", F.posexplode("back").alias("pos", "own"))
     block = F.floor(F.col("pos") / STEP).cast("int")
     running = xor(F.get("upto", block), F.aggregate(F.slice("d", block * STEP + 1, F.col("pos") % STEP), zero, xor))
     v = xor(xor(F.col("shifted"), running), F.col("own"))
@@ -201,13 +201,12 @@ def _variants(words: DataFrame, min_words: int) -> DataFrame:
     def side(bit: int) -> Column:
         return F.col("sides").bitwiseAND(F.lit(1 << bit)) != 0
 
-    def reached(k: Column, bit: int) -> Column:
+    def reached(k: str, bit: int) -> Column:
         """Whether an edit at this word leaves a beginning or an end of k words that another line has too."""
-        return ((F.col("pos") >= k) & side(bit)) | ((F.col("pos") < F.col("n") - k) & side(bit + 1))
+        return ((F.col("pos") >= F.col(k)) & side(bit)) | ((F.col("pos") < F.col("n") - F.col(k)) & side(bit + 1))
 
-    k, less = _end_length(F.col("n")), _end_length(F.col("n") - 1)
-    as_equal = reached(k, 0)
-    as_longer = (F.col("n") > min_words) & F.when(k == less, as_equal).otherwise(reached(less, 2))
+    as_equal = reached("k", 0)
+    as_longer = (F.col("n") > min_words) & F.when(F.col("k") == F.col("less"), as_equal).otherwise(reached("less", 2))
 
     def key(slot: Column, v: Column) -> Column:
         return F.struct(slot.cast("int").alias("slot"), v.alias("v"))
@@ -215,7 +214,7 @@ def _variants(words: DataFrame, min_words: int) -> DataFrame:
     roles = F.array(
         F.when(as_equal, key(F.col("pos"), F.xxhash64("n", "v"))), F.when(as_longer, key(1 - F.col("n"), F.col("v")))
     )
-    each = each.select(*line, "pos", "sides", "n", v.alias("v"))
+    each = each.select(*line, "pos", "sides", "n", "k", "less", v.alias("v"))
     each = each.select(F.explode(F.filter(roles, lambda x: x.isNotNull())).alias("k"), *line, "pos")
     each = each.select("k.slot", "k.v", F.lit(False).alias("short"), *line, "pos")
     shorter = rows.filter(side(0) | side(1)).select(
