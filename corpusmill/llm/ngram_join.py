@@ -200,8 +200,8 @@ def _digest(values: np.ndarray) -> tuple[int, int]:
 
 
 def bitmap(values: np.ndarray) -> bytes:
-    """A bit flips for every element that hashes to it; a power of two of bits, half to all of the size."""
-    bits = min(1 << 17, max(128, 1 << (max(1, len(values)).bit_length() - 1)))
+    """A bit flips for every element that hashes to it; bits are a power of two, half to all of the size."""
+    bits = min(1 << 17, max(512, 1 << (max(1, len(values)).bit_length() - 1)))
     at = (values >> np.uint64(13)) & np.uint64(bits - 1)
     return np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
@@ -323,26 +323,26 @@ def _open_pairs(open_rows: DataFrame, maps: DataFrame, threshold: tuple[int, int
 
 
 def _tile_rows(t_num: int, t_den: int):
-    def pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        doc, c, n, own, guest = (t.column(x).to_numpy() for x in ("doc_id", "c", "n", "own", "guest"))
-        alone = t.column("alone")[0].as_py()
-        if c.min() == c.max() or guest.all():
-            return doc[:0], doc[:0]
-        a, b = np.triu_indices(len(doc), 1)
-        fit = (c[a] != c[b]) & ~(guest[a] & guest[b]) & (t_den * np.minimum(n[a], n[b]) >= t_num * np.maximum(n[a], n[b]))
-        if not alone:
-            fit &= own[a] != own[b]
-        a, b = a[fit], b[fit]
-        if len(a):
-            maps = [x.as_buffer() for x in t.column("bits")]
-            size = min(len(x) for x in maps)
-            maps = np.stack([_folded(x, size) for x in maps])
+    def pairs(t: pa.Table) -> np.ndarray:
+        """Rows ``(a, b)`` from whole tiles, sorted by tile. Rows d places apart are compared together, for every d."""
+        tile, doc, c, n, own = (t.column(x).to_numpy() for x in ("tile", "doc_id", "c", "n", "own"))
+        guest, alone = (t.column(x).to_numpy(zero_copy_only=False) for x in ("guest", "alone"))
+        maps = _Bitmaps(t.column("bits"))
+        found, d, i = [], 0, np.arange(len(tile))
+        while True:
+            d += 1
+            i = i[i + d < len(tile)]
+            i = i[tile[i] == tile[i + d]]
+            if not len(i):
+                break
+            j = i + d
+            fit = (c[i] != c[j]) & ~(guest[i] & guest[j]) & (alone[i] | (own[i] != own[j]))
+            fit &= t_den * np.minimum(n[i], n[j]) >= t_num * np.maximum(n[i], n[j])
+            a, b = i[fit], j[fit]
             both = n[a] + n[b]
-            step = max(1, (4 << 20) // size)
-            apart = [np.bitwise_count(maps[a[i : i + step]] ^ maps[b[i : i + step]]).sum(axis=1, dtype=np.int64) for i in range(0, len(a), step)]
-            fit = _reaches((both - np.concatenate(apart)) // 2, both, t_num, t_den)
-            a, b = a[fit], b[fit]
-        return np.maximum(doc[a], doc[b]), np.minimum(doc[a], doc[b])
+            fit = _reaches((both - maps.apart(a, b)) // 2, both, t_num, t_den)
+            found.append(np.stack([np.maximum(doc[a], doc[b])[fit], np.minimum(doc[a], doc[b])[fit]], axis=1))
+        return np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
@@ -353,18 +353,41 @@ def _tile_rows(t_num: int, t_den: int):
                 continue
             table = table.combine_chunks()
             tile = table.column("tile").to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(tile[1:] != tile[:-1]) + 1, [len(tile)]])
-            done = len(cuts) - 1 if last else len(cuts) - 2
-            kept = None if last else table.slice(int(cuts[-2]))
-            found = [pairs(table.slice(int(cuts[i]), int(cuts[i + 1] - cuts[i]))) for i in range(done) if cuts[i + 1] - cuts[i] > 1]
-            if found:
-                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-                pair = np.unique(np.stack([a, b], axis=1), axis=0)
+            end = len(tile) if last else int(np.searchsorted(tile == tile[-1], True))
+            kept = None if last else table.slice(end)
+            pair = pairs(table.slice(0, end).combine_chunks())
+            if len(pair):
                 yield pa.record_batch({"a": np.ascontiguousarray(pair[:, 0]), "b": np.ascontiguousarray(pair[:, 1])})
 
     return rows
 
 
+class _Bitmaps:
+    """Bitmaps of many rows; two are compared at the size of the smaller, to which the larger is folded."""
+
+    def __init__(self, column: pa.ChunkedArray) -> None:
+        self.raw = [x.as_buffer() for x in column]
+        self.size = np.array([len(x) for x in self.raw], np.int64)
+        self.level: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in np.unique(self.size).tolist():
+            # A partner has at most four times the bits: its size is within the similarity.
+            rows = np.flatnonzero((self.size >= size) & (self.size <= 4 * size))
+            place = np.full(len(self.raw), -1)
+            place[rows] = np.arange(len(rows))
+            self.level[size] = (place, np.stack([_folded(self.raw[r], size) for r in rows]))
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a), np.int64)
+        smaller = np.minimum(self.size[a], self.size[b])
+        for size in np.unique(smaller).tolist():
+            place, maps = self.level[size]
+            at = np.flatnonzero(smaller == size)
+            for k in range(0, len(at), step := max(1, (8 << 20) // size)):
+                some = at[k : k + step]
+                out[some] = np.bitwise_count(maps[place[a[some]]] ^ maps[place[b[some]]]).sum(axis=1)
+        return out
+
+
 def _and_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch | None]]:
     for batch in batches:
         yield False, batch
