@@ -3,7 +3,8 @@
 ``method="cells"`` works for any number of queries: they are shuffled to the cells they need, and cells
 that hold many vectors or many queries are cut into parts by hash, so no task gets a whole hot cell.
 ``method="broadcast"`` sends a small query batch to all tasks, leaves the vectors where they are, and
-raises if the batch is over a checked byte budget. Both give the same results.
+raises if the batch is over a checked byte budget. ``method="auto"`` measures the batch and broadcasts it
+within the budget, else goes by cells. All give the same results.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ MAX_BROADCAST_BYTES = 64 << 20
 # Size of the query and vector matrices that meet in one task of a large search.
 QUERY_PART_BYTES = 16 << 20
 VECTOR_PART_BYTES = 128 << 20
+VECTORS_PER_CELL = 10_000  # where the number of cells follows from the size of the table
 # Rounded scores differ from true ones by half a unit of the last digit.
 SLACK = 2e-6
 
@@ -62,9 +64,14 @@ def exact_top_k(
 
     Scores are rounded to six digits before ranking, ties go to the smaller key. By cells the
     search goes through an index of ``n_cells`` cells, exactly (see :func:`exact_by_cells`); some
-    ten thousand vectors per cell are a good size.
+    ten thousand vectors per cell are a good size, and with ``method="auto"`` the default.
     """
-    if _checked(method) == "cells":
+    if _checked(method) == "auto":
+        small = _batch_bytes(queries, query_id, embedding) <= max_broadcast_bytes
+        method = "broadcast" if small else "cells"
+        if not small and n_cells is None:
+            n_cells = -(-vectors.count() // VECTORS_PER_CELL)
+    if method == "cells":
         if n_cells is None:
             raise ValueError("the search by cells needs n_cells")
         centroids = hash_pivots(vectors, n_cells, key, embedding)
@@ -99,7 +106,9 @@ def ivf_top_k(
 
     Where those cells hold fewer than ``k`` vectors, a query gets fewer hits.
     """
-    if _checked(method) == "cells":
+    if _checked(method) == "auto":
+        method = "broadcast" if _batch_bytes(queries, query_id, embedding) <= max_broadcast_bytes else "cells"
+    if method == "cells":
         probes = assign_cells(queries, index.centroids, query_id, embedding, nprobe)
         probes = probes.select(query_id, F.col(embedding).alias("embedding"), "cell")
         return rank_top_k(_score_cells(probes, index, k, query_id, skip_self), k, query_id, index.key)
@@ -203,18 +212,23 @@ def rename_result(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 
 def _checked(method: str) -> str:
-    if method not in ("cells", "broadcast"):
-        raise ValueError(f"method is 'cells' or 'broadcast', not {method!r}")
+    if method not in ("cells", "broadcast", "auto"):
+        raise ValueError(f"method is 'cells', 'broadcast' or 'auto', not {method!r}")
     return method
 
 
-def _collect_queries(queries: DataFrame, query_id: str, embedding: str, max_bytes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and matrix of a query batch; its size, ids included, is measured before anything is collected."""
+def _batch_bytes(queries: DataFrame, query_id: str, embedding: str) -> int:
     present = queries.filter(F.col(embedding).isNotNull()).select(query_id, embedding)
     row = F.size(embedding).cast("long") * 8 + F.coalesce(F.octet_length(F.col(query_id).cast("string")), F.lit(0)) + 16
-    size = present.agg(F.sum(row)).first()[0] or 0
+    return present.agg(F.sum(row)).first()[0] or 0
+
+
+def _collect_queries(queries: DataFrame, query_id: str, embedding: str, max_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and matrix of a query batch; its size, ids included, is measured before anything is collected."""
+    size = _batch_bytes(queries, query_id, embedding)
     if size > max_bytes:
         raise ValueError(f"the query batch takes {size} bytes, over {max_bytes}; use method='cells'")
+    present = queries.filter(F.col(embedding).isNotNull()).select(query_id, embedding)
     table = present.toArrow()
     return ids_of(table[query_id]), matrix(table[embedding])
 

@@ -408,16 +408,20 @@ def vec_ivf_assign(spark, sf_dir):
     )
 
 
+QUERY_BATCH_BYTES = 4 << 20  # every vector is a query here: only a small table is sent to the tasks as one batch
+
+
 def _exact(spark, sf_dir, k):
     return exact_top_k(
-        fx.query_vectors(spark, sf_dir), fx.vectors(spark, sf_dir), k, key="chunk_id", skip_self=True, method="broadcast"
+        fx.query_vectors(spark, sf_dir), fx.vectors(spark, sf_dir), k, key="chunk_id", skip_self=True, method="auto",
+        max_broadcast_bytes=QUERY_BATCH_BYTES,
     )
 
 
 def _ann(spark, sf_dir):
     vectors = fx.vectors(spark, sf_dir)
     index = build_index(vectors, hash_pivots(vectors, q.CELLS, "chunk_id"), "chunk_id")
-    return ivf_top_k(fx.query_vectors(spark, sf_dir), index, K.ANN_RESULTS, q.PROBES, skip_self=True, method="broadcast")
+    return ivf_top_k(fx.query_vectors(spark, sf_dir), index, K.ANN_RESULTS, q.PROBES, skip_self=True)
 
 
 @query(q.with_ctes(q.knn(K.TRIAL_RESULTS)) + "select query_id, rank, chunk_id, score from knn")
