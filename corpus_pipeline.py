@@ -1,7 +1,7 @@
 """The cleaning pipeline over ``documents``: stages in order, each written as Parquet and read again.
 
-Documents that the quality classifier rejects go; lines that repeat an earlier one, up to a word, go; one
-document of each near-duplicate class stays; sources are mixed to their target weights; what is left is
+Documents that the quality classifier rejects go; lines that repeat an earlier one, up to a word
+or a tenth of their words, go; one document of each near-duplicate class stays; sources are mixed to their target weights; what is left is
 packed into sequences. Every stage works on all rows its predecessor kept.
 """
 
@@ -29,7 +29,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _counted(line_dedup(docs, min_words=5))
+    return _counted(line_dedup(docs, min_words=5, words_per_edit=10))
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame functions only.
 
 Two lines are near when one word replaced, inserted or deleted turns one into the other (edit bound 1,
-in words) and the shorter has at least ``min_words`` words. A line is dropped when an equal or a near
+in words) and the shorter has at least ``min_words`` words. With ``words_per_edit`` the bound grows with
+the line: one edit for each so many words of the shorter line, and one at least. A line is dropped when an equal or a near
 line stands earlier: in a document with a smaller id, or higher up in the same one. Lines are judged
 on the input, so a line also goes when the earlier one is itself dropped. Blank lines always stay.
 
@@ -21,15 +22,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.session import spill
+from corpusmill.session import spill, spread
 
 WHITE = " \t\x0b\x0c\r"  # fixed values: white space inside a line
 STEP = 64  # words per block of the running exclusive-or
+RUN = 3  # words of a run
+BUCKETS = 1 << 18  # of runs, whose counts order them
+CHUNK = 500  # lines of a run that are compared together
 
 
-def line_dedup(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(
+    docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text", words_per_edit: int | None = None
+) -> DataFrame:
     """``docs`` with the surviving lines in the text column, all other columns unchanged.
 
+    Near lines differ by one word, or with ``words_per_edit`` by one for each so many words of the shorter.
+
     A document keeps its row even if no line is left (its text is then empty). Defined cases: a null
     text stays null; rows with a null id are neither changed nor compared; rows that repeat an id and
     a text count as one document, rows that repeat an id with another text as two at the same place;
@@ -39,7 +47,7 @@ def line_dedup(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text
     packed = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in mine]).alias("rest")
     ) if mine else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lit(None).alias("rest"))
-    cleaned = judged_documents(packed, min_words).withColumn("text", kept_text())
+    cleaned = judged_documents(packed, min_words, words_per_edit).withColumn("text", kept_text())
     return cleaned.select(
         *[
             F.col("doc_id").alias(c) if c == id_col else F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c)
@@ -48,9 +56,9 @@ def line_dedup(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text
     )
 
 
-def judged_documents(docs: DataFrame, min_words: int = 5) -> DataFrame:
+def judged_documents(docs: DataFrame, min_words: int = 5, words_per_edit: int | None = None) -> DataFrame:
     """``docs`` (with columns doc_id, text) plus ``gone``: the sorted numbers of the lines to drop, or null."""
-    found = dropped_lines(docs, min_words)
+    found = dropped_lines(docs, min_words, words_per_edit)
     numbers = found.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("line_no")).alias("gone"))
     return docs.withColumn("th", _text_hash()).join(numbers, ["doc_id", "th"], "left").drop("th")
 
@@ -79,16 +87,20 @@ def _words(line: Column) -> Column:
     return F.split(F.btrim(line, F.lit(WHITE)), "[\\x20\\x09-\\x0D]+")
 
 
-def dropped_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_words: int = 5, words_per_edit: int | None = None) -> DataFrame:
     """``(doc_id, th, line_no)`` of every line that goes; ``th`` is the hash of the document's text."""
     if min_words < 3:
         raise ValueError("min_words must be at least 3")
+    if words_per_edit is not None and words_per_edit < 2 * RUN:
+        raise ValueError(f"words_per_edit must be at least {2 * RUN}")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = base.filter("doc_id is not null and text is not null").withColumn("th", _text_hash())
     lines = spill(_occurrences(base, min_words))
     first = F.min(F.struct("doc_id", "line_no", "th")).alias("first")
     firsts = lines.groupBy("h1", "h2").agg(first)
     late = spill(_late_lines(base, lines, min_words))
+    if words_per_edit is not None:
+        late = spill(late.unionByName(_far_lines(base, lines, min_words, words_per_edit)).distinct())
     placed = lines.join(firsts, ["h1", "h2"]).join(late.withColumn("late", F.lit(True)), ["h1", "h2"], "left")
     again = (F.col("doc_id") > F.col("first.doc_id")) | (F.col("line_no") > F.col("first.line_no"))
     return placed.filter(again | F.col("late").isNotNull()).select("doc_id", "th", "line_no")
@@ -108,7 +120,7 @@ def _occurrences(base: DataFrame, min_words: int) -> DataFrame:
     also = (F.col("n") > min_words) & (F.col("k") != F.col("less"))
     keys = F.when(also, F.array(*ends("k"), *ends("less"))).when(F.col("n") >= min_words, F.array(*ends("k")))
     return lines.select(
-        "doc_id", "th", "line_no", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"), keys.alias("keys")
+        "doc_id", "th", "line_no", "n", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"), keys.alias("keys")
     )
 
 
@@ -121,19 +133,7 @@ def _late_lines(base: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
     near = near.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "line_no", "th")).alias("first"), F.bit_or("sides").alias("sides")
     )
-    asked = near.groupBy("first.doc_id", "first.th").agg(
-        F.array_sort(F.collect_list(F.struct("first.line_no", "h1", "h2", "sides"))).alias("asked")
-    )
-    asked = spill(asked)
-    texts = base.join(asked, ["doc_id", "th"])
-    picked = F.filter(F.split("text", "\n", -1), lambda _, i: F.array_contains(F.col("asked.line_no"), i))
-    texts = texts.select("doc_id", F.explode(F.arrays_zip("asked", picked.alias("line"))).alias("x"))
-    words = spill(
-        texts.select(
-            "doc_id", "x.asked.line_no", "x.asked.h1", "x.asked.h2", "x.asked.sides",
-            _words(F.col("x.line")).alias("w"),
-        )
-    )
+    words = spill(_with_words(base, near, "sides"))
 
     members = _variants(words, min_words)
     place = F.struct("doc_id", "line_no", "h1", "pos")
@@ -155,6 +155,98 @@ def _late_lines(base: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
     return pairs.filter(near).select("h1", "h2").distinct()
 
 
+def _with_words(base: DataFrame, near: DataFrame, *more: str) -> DataFrame:
+    """The words of each line in ``near`` (h1, h2, first), with its place."""
+    asked = near.groupBy("first.doc_id", "first.th").agg(
+        F.array_sort(F.collect_list(F.struct("first.line_no", "h1", "h2", *more))).alias("asked")
+    )
+    asked = spill(asked)
+    texts = base.join(asked, ["doc_id", "th"])
+    picked = F.filter(F.split("text", "\n", -1), lambda _, i: F.array_contains(F.col("asked.line_no"), i))
+    texts = texts.select("doc_id", F.explode(F.arrays_zip("asked", picked.alias("line"))).alias("x"))
+    return texts.select(
+        "doc_id", "x.asked.line_no", "x.asked.h1", "x.asked.h2", *[f"x.asked.{m}" for m in more],
+        _words(F.col("x.line")).alias("w"),
+    )
+
+
+def _far_lines(base: DataFrame, lines: DataFrame, min_words: int, per_edit: int) -> DataFrame:
+    """``(h1, h2)`` of the distinct lines that have an earlier one within their bound, where that is over one edit."""
+    long = lines.filter(F.col("n") >= max(min_words, 2 * per_edit)).groupBy("h1", "h2").agg(
+        F.min(F.struct("doc_id", "line_no", "th")).alias("first")
+    )
+    code = F.transform("w", lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(50_000)) + 256), 4, "0"))
+    code = F.decode(F.unhex(F.array_join(code, "")), "UTF-16BE")
+    words = spill(_with_words(base, long).withColumns({"n": F.size("w"), "code": code}))
+    hashed = spread(words.select("doc_id", "line_no", "h1", "n", "w")).select("doc_id", "line_no", "h1", "n", F.transform("w", lambda w: F.xxhash64(w)).alias("hw"))
+    runs = F.slice("hw", F.lit(1), F.col("n") - RUN + 1)  # by slices: looking up inside a lambda computes the array each time
+    for j in range(1, RUN):
+        runs = F.zip_with(runs, F.slice("hw", F.lit(j + 1), F.col("n") - RUN + 1), lambda x, y: F.xxhash64(x, y))
+    hashed = hashed.select("doc_id", "line_no", "h1", "n", F.array_distinct(runs).alias("runs"))
+
+    def bucket(run: Column) -> Column:
+        return F.pmod(run, F.lit(BUCKETS)).cast("int")
+
+    counts = hashed.select(F.explode("runs").alias("run")).groupBy(bucket(F.col("run")).alias("b")).count().toArrow()
+    levels = bytearray(BUCKETS)
+    for b, n in zip(counts["b"].to_pylist(), counts["count"].to_pylist(), strict=True):
+        levels[b] = (n**2).bit_length()  # steps of half a doubling
+
+    def placed(run: Column) -> Column:
+        """The run's level, then its hash."""
+        level = F.ascii(F.substring(F.lit(levels), bucket(run) + 1, F.lit(1)).cast("string")).cast("long")
+        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(run, 8))
+
+    order = F.sort_array(F.transform("runs", placed))
+    first = F.slice(order, F.lit(1), RUN * F.floor(F.col("n") / per_edit).cast("int") + 1)
+    keys = spill(hashed.select("doc_id", "line_no", "h1", "n", F.explode(first).alias("key")))
+    groups = keys.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("doc_id", "line_no", "h1", "n")).alias("head"))
+    met = spill(keys.join(groups.filter("members > 1"), "key"))
+
+    def close(a: str, b: str) -> Column:
+        return F.abs(F.col(a) - F.col(b)) <= F.floor(F.least(a, b) / per_edit)
+
+    heads = met.filter((F.col("h1") != F.col("head.h1")) & close("n", "head.n"))
+    done = spill(_within(heads.select("h1", F.col("head.h1").alias("q1")).distinct(), words, per_edit))
+    last = F.floor((F.col("members") - 1) / CHUNK).cast("int")
+    left = met.join(done.select("h1").distinct(), "h1", "left_anti")
+    left = left.select("key", "h1", "n", "doc_id", "line_no", "head.h1", F.explode(F.sequence(F.lit(0), last)).alias("part")).toDF(
+        "key", "h1", "n", "doc_id", "line_no", "head", "part"
+    )
+    right = met.select(
+        "key", F.pmod("h1", last + 1).cast("int").alias("part"), F.col("h1").alias("q1"), F.col("n").alias("q_n"),
+        F.struct("doc_id", "line_no").alias("q_place"),
+    )
+    pairs = left.join(right, ["key", "part"]).filter(F.col("q1") != F.col("head"))
+    pairs = pairs.filter((F.col("q_place") < F.struct("doc_id", "line_no")) & close("n", "q_n")).select("h1", "q1").distinct()
+    return done.unionByName(_within(pairs, words, per_edit))
+
+
+def _within(pairs: DataFrame, words: DataFrame, per_edit: int) -> DataFrame:
+    """``(h1, h2)`` of lines whose pair (h1, q1) lies within the bound: the edit distance of strings with a letter per word."""
+    def letters(codes: Column) -> Column:
+        return F.decode(F.unhex(F.array_join(F.transform(codes, lambda x: F.lpad(F.hex(x), 8, "0")), "")), "UTF-32")
+
+    def within(a: Column | str, b: Column | str, n: str, m: str) -> Column:
+        return F.call_function("levenshtein", a, b, F.floor(F.least(n, m) / per_edit).cast("int")) >= 0
+
+    def exact(known: Column) -> Column:
+        def numbers(of: str) -> Column:
+            at = F.transform(of, lambda x: F.array_position(known, x))
+            return letters(F.transform(at, lambda i: i + F.when(i < 0xD800, 0).otherwise(0x800)))  # past the surrogates
+
+        return within(numbers("w"), numbers("q"), "n", "m")
+
+    # letters by hash never raise the distance; those by number in the pair's words are exact
+    loose = pairs.join(words.select("h1", "n", "code"), "h1")
+    loose = loose.join(words.select(F.col("h1").alias("q1"), F.col("n").alias("m"), F.col("code").alias("q_code")), "q1")
+    loose = loose.filter(within(F.col("code"), F.col("q_code"), "n", "m")).select("h1", "q1", "n", "m")
+    both = loose.join(words.select("h1", "h2", "w"), "h1")
+    both = both.join(words.select(F.col("h1").alias("q1"), F.col("w").alias("q")), "q1")
+    known = F.array(F.array_distinct(F.concat("w", "q")))  # one element, so that it is computed once
+    return both.filter(F.get(F.transform(known, exact), F.lit(0))).select("h1", "h2").distinct()
+
+
 def _without(words: str, at: Column) -> Column:
     return F.concat(F.slice(words, F.lit(1), at), F.slice(words, at + 2, F.size(words)))
 
