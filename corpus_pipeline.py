@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), length=2048, end_id=1)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), length=2048, end_id=1, added_tokens=True)
 
 
 STAGES = [

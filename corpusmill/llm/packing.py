@@ -47,26 +47,30 @@ def pack(
     hard_cut: float = 64.0,
     id_col: str = "doc_id",
     text_col: str = "text",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece: ``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_length)``.
 
     ``start`` counts the document's ids before the piece, ``doc_tokens`` all of them with the end mark;
     ``offset`` is the piece's place in its sequence, gapless from 0. Penalties are in tokens of padding;
-    a cut at a document's end costs none. ``tokenizer`` is a path every machine can read. Defined
+    a cut at a document's end costs none. ``tokenizer`` is a path every machine can read; with
+    ``added_tokens`` the string of an added token in a text is that token, else ordinary text. Defined
     cases: null or empty text is the end mark alone; a null id is kept as it is; rows that repeat an
     id are packed one by one; a text of any length is cut as often as needed; no document, no row;
     further columns are not read, whatever their names.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_pack_rows(tokenizer, length, end_id, sentence_cut, hard_cut), _PIECES)
+    return rows.mapInArrow(_pack_rows(tokenizer, length, end_id, sentence_cut, hard_cut, added_tokens), _PIECES)
 
 
-def _pack_rows(tokenizer: str, length: int, end_id: int, sentence_cut: float, hard_cut: float) -> Callable:
+def _pack_rows(
+    tokenizer: str, length: int, end_id: int, sentence_cut: float, hard_cut: float, added_tokens: bool
+) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = _Stream(length, sentence_cut, hard_cut, _sentence_ends(tokenizer, end_id))
         for batch in batches:
             for ids, texts in _some_texts(batch):
-                flat, bounds = encoder(tokenizer).ids(texts)
+                flat, bounds = encoder(tokenizer, added_tokens).ids(texts)
                 stream.add(ids, *_with_end(flat, bounds, end_id))
                 yield from stream.ready()
         yield from stream.ready(last=True)

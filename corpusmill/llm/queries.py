@@ -184,9 +184,9 @@ def op6_near_vectors(spark, sf_dir):
 
 @query()
 def op7_token_counts(spark, sf_dir):
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), rule="first")
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), rule="first", added_tokens=True)
 
 
 @query()
 def op8_packing(spark, sf_dir):
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=2048, end_id=1)
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=2048, end_id=1, added_tokens=True)

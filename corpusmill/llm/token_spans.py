@@ -34,6 +34,7 @@ def token_counts(
     rule: str = "first",
     id_col: str = "doc_id",
     text_col: str = "text",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """``(doc_id, section, start, stop, n_tokens, crossing, doc_tokens)``, one row per section.
 
@@ -49,7 +50,7 @@ def token_counts(
     columns = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
     if sections is not None:
         columns.append(sections.alias("spans"))
-    return docs.select(*columns).mapInArrow(_count_rows(tokenizer, rule, sections is None), _COUNTS)
+    return docs.select(*columns).mapInArrow(_count_rows(tokenizer, rule, sections is None, added_tokens), _COUNTS)
 
 
 def attribute(token_bounds: np.ndarray, starts: np.ndarray, stops: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
@@ -68,12 +69,12 @@ def attribute(token_bounds: np.ndarray, starts: np.ndarray, stops: np.ndarray, r
     return section[first], size[first] < np.diff(token_bounds)
 
 
-def _count_rows(tokenizer: str, rule: str, lines: bool) -> Callable:
+def _count_rows(tokenizer: str, rule: str, lines: bool, added_tokens: bool) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(t) for t in encoder(tokenizer).table()], np.int64)
         for batch in batches:
             for at, texts in _some_texts(batch.column("text")):
-                flat, bounds = encoder(tokenizer).ids(texts)
+                flat, bounds = encoder(tokenizer, added_tokens).ids(texts)
                 out = {k: [] for k in ("row", "section", "start", "stop", "n_tokens", "crossing", "doc_tokens")}
                 for i, text in enumerate(texts):
                     row = at + i

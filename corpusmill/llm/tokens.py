@@ -3,7 +3,8 @@
 The splitting rule of these vocabularies never looks behind and joins nothing across a white-space run
 that is followed by a word, so a text may be cut before each such run, and
 between letters and a full stop, comma or the like. The pieces repeat, and each
-distinct one is encoded once per worker, by the vocabulary's ranks where its ids are those; a text with white space beyond ASCII is encoded as a whole.
+distinct one is encoded once per worker, by the vocabulary's ranks where its ids are those; a text with white space beyond ASCII, or
+with the string of an added token where these count, is encoded as a whole.
 Runs inside tasks. The vocabulary file is a parameter and must be readable on every machine.
 """
 
@@ -23,24 +24,29 @@ KNOWN_TOKENS = 8_000_000  # their tokens, that a worker remembers before it star
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 _PIECE = re.compile(rf"[ \t-\r]*[{_LETTERS}]+(?=[ \t-\r.,;:!?]|\Z)|[ \t-\r]*[^ \t-\r]+|[ \t-\r]+\Z")
 _OTHER_SPACE = re.compile("[\x85\xa0  -     　]")  # fixed values: white space beyond ASCII
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
+    """The worker's encoder for a vocabulary file; with ``added_tokens`` their strings in a text are those tokens."""
+    if (path, added_tokens) not in _encoders:
+        _encoders[path, added_tokens] = Encoder(path, added_tokens)
+    return _encoders[path, added_tokens]
 
 
 class Encoder:
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added_tokens: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.encode = _by_ranks(path, self.table()) or (lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids)
+        self.tokenizer.encode_special_tokens = not added_tokens  # else their strings in a text are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
+        self.whole = re.compile("|".join([_OTHER_SPACE.pattern, *map(re.escape, added)]))  # texts that are not cut
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
+        plain = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        ranks = _by_ranks(path, self.table()) or plain
+        self.encode = (lambda t: plain(t) if self.added.search(t) else ranks(t)) if added else ranks
         self._forget()
 
     def _forget(self) -> None:
@@ -67,7 +73,7 @@ class Encoder:
 
     def ids(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts, without special tokens, and the bounds of each text's ids."""
-        parts = [[t] if _OTHER_SPACE.search(t) else _PIECE.findall(t) for t in texts]
+        parts = [[t] if self.whole.search(t) else _PIECE.findall(t) for t in texts]
         if len(self.known) > KNOWN_PIECES or self.bounds[len(self.known)] > KNOWN_TOKENS:
             self._forget()
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
