@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.llm.alignment import alignments
+from corpusmill.llm.best_fit import best_fit
 from corpusmill.llm.exact_stream import exact_duplicates
+from corpusmill.llm.hard_negatives import hard_negatives
 from corpusmill.llm.lines import judged_documents, kept_text
 from corpusmill.llm.mixing import mixed_documents
 from corpusmill.llm.ngram_join import ngram_classes
@@ -190,3 +193,40 @@ def op7_token_counts(spark, sf_dir):
 @query()
 def op8_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=2048, end_id=1, added_tokens=True)
+
+
+@query()
+def op11_best_fit(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return best_fit(documents, public_tokenizers.path("word_bpe_49k.json"), length=4096, end_id=1, added_tokens=True)
+
+
+@query()
+def op12_alignment(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return alignments(documents, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("""
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e
+  from embeddings
+  where label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+scores as (
+  select a.vec_id as anchor_id, c.vec_id as other_id, a.label = c.label as same,
+         list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * c.e[i]))::bigint as score
+  from v a join v c on a.vec_id % 50 = 0 and a.vec_id <> c.vec_id),
+pos as (
+  select anchor_id, other_id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select anchor_id, positive_id, (row_number() over w)::int as rank, other_id as negative_id, positive_score, score as negative_score
+from pos join scores using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, other_id)
+qualify row_number() over w <= 3""")
+def op13_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.select("vec_id", "embedding", label.alias("label")), anchor=F.col("id") % 50 == 0)
