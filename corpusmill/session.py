@@ -52,7 +52,16 @@ def spill(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def release(*stored: DataFrame) -> None:
+    """Delete tables that ``spill`` wrote, once what was made of them is written too and nothing else reads them."""
+    for df in stored:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
