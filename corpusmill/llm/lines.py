@@ -22,13 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.session import spill, spread
+from corpusmill.session import release, spill
 
 WHITE = " \t\x0b\x0c\r"  # fixed values: white space inside a line
 STEP = 64  # words per block of the running exclusive-or
-RUN = 3  # words of a run
-BUCKETS = 1 << 18  # of runs, whose counts order them
-CHUNK = 500  # lines of a run that are compared together
+RUN = 4  # words of a run
+CHUNK = 500  # lines of a group that are compared together
 
 
 def line_dedup(
@@ -91,8 +90,8 @@ def dropped_lines(docs: DataFrame, min_words: int = 5, words_per_edit: int | Non
     """``(doc_id, th, line_no)`` of every line that goes; ``th`` is the hash of the document's text."""
     if min_words < 3:
         raise ValueError("min_words must be at least 3")
-    if words_per_edit is not None and words_per_edit < 2 * RUN:
-        raise ValueError(f"words_per_edit must be at least {2 * RUN}")
+    if words_per_edit is not None and words_per_edit < 6:
+        raise ValueError("words_per_edit must be at least 6")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = base.filter("doc_id is not null and text is not null").withColumn("th", _text_hash())
     lines = spill(_occurrences(base, min_words))
@@ -100,7 +99,7 @@ def dropped_lines(docs: DataFrame, min_words: int = 5, words_per_edit: int | Non
     firsts = lines.groupBy("h1", "h2").agg(first)
     late = spill(_late_lines(base, lines, min_words))
     if words_per_edit is not None:
-        late = spill(late.unionByName(_far_lines(base, lines, min_words, words_per_edit)).distinct())
+        late = spill(late.unionByName(_far_lines(base, lines, late, min_words, words_per_edit)))
     placed = lines.join(firsts, ["h1", "h2"]).join(late.withColumn("late", F.lit(True)), ["h1", "h2"], "left")
     again = (F.col("doc_id") > F.col("first.doc_id")) | (F.col("line_no") > F.col("first.line_no"))
     return placed.filter(again | F.col("late").isNotNull()).select("doc_id", "th", "line_no")
@@ -170,81 +169,164 @@ def _with_words(base: DataFrame, near: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def _far_lines(base: DataFrame, lines: DataFrame, min_words: int, per_edit: int) -> DataFrame:
-    """``(h1, h2)`` of the distinct lines that have an earlier one within their bound, where that is over one edit."""
-    long = lines.filter(F.col("n") >= max(min_words, 2 * per_edit)).groupBy("h1", "h2").agg(
+def _far_lines(base: DataFrame, lines: DataFrame, late: DataFrame, min_words: int, per_edit: int) -> DataFrame:
+    """``(h1, h2)`` of the distinct lines, not in ``late``, that have an earlier one within a bound over one edit.
+
+    With a bound of k edits a line has at least k parts of ``per_edit`` words, so a part holds one edit at most, and
+    one of its halves none. Lines without any run that such a pair must share are put aside first. Then halves
+    of parts meet equal runs at any place of other lines, and from there the other half's deletion variants
+    are the keys, as they are for whole lines: a part and a stretch one edit apart share a variant.
+    """
+    long = max(min_words, 2 * per_edit)
+    near = _sharing(base, long, per_edit)
+    firsts = lines.filter(F.col("n") >= long).join(near, "h1").groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "line_no", "th")).alias("first")
     )
-    code = F.transform("w", lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(50_000)) + 256), 4, "0"))
-    code = F.decode(F.unhex(F.array_join(code, "")), "UTF-16BE")
-    words = spill(_with_words(base, long).withColumns({"n": F.size("w"), "code": code}))
-    hashed = spread(words.select("doc_id", "line_no", "h1", "n", "w")).select("doc_id", "line_no", "h1", "n", F.transform("w", lambda w: F.xxhash64(w)).alias("hw"))
-    runs = F.slice("hw", F.lit(1), F.col("n") - RUN + 1)  # by slices: looking up inside a lambda computes the array each time
-    for j in range(1, RUN):
-        runs = F.zip_with(runs, F.slice("hw", F.lit(j + 1), F.col("n") - RUN + 1), lambda x, y: F.xxhash64(x, y))
-    hashed = hashed.select("doc_id", "line_no", "h1", "n", F.array_distinct(runs).alias("runs"))
-
-    def bucket(run: Column) -> Column:
-        return F.pmod(run, F.lit(BUCKETS)).cast("int")
-
-    counts = hashed.select(F.explode("runs").alias("run")).groupBy(bucket(F.col("run")).alias("b")).count().toArrow()
-    levels = bytearray(BUCKETS)
-    for b, n in zip(counts["b"].to_pylist(), counts["count"].to_pylist(), strict=True):
-        levels[b] = (n**2).bit_length()  # steps of half a doubling
-
-    def placed(run: Column) -> Column:
-        """The run's level, then its hash."""
-        level = F.ascii(F.substring(F.lit(levels), bucket(run) + 1, F.lit(1)).cast("string")).cast("long")
-        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(run, 8))
-
-    order = F.sort_array(F.transform("runs", placed))
-    first = F.slice(order, F.lit(1), RUN * F.floor(F.col("n") / per_edit).cast("int") + 1)
-    keys = spill(hashed.select("doc_id", "line_no", "h1", "n", F.explode(first).alias("key")))
-    groups = keys.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("doc_id", "line_no", "h1", "n")).alias("head"))
-    met = spill(keys.join(groups.filter("members > 1"), "key"))
+    words = _with_words(base, firsts).join(late.withColumn("late", F.lit(True)), ["h1", "h2"], "left")
+    words = spill(words.withColumns({"open": F.col("late").isNull(), "n": F.size("w")}).drop("late"))
+    members = _part_variants(words, per_edit // 2)
+    place = F.struct("doc_id", "line_no", "h1", "n")
+    groups = members.groupBy("v").agg(F.min(place).alias("head"), F.max(place).alias("tail"), F.max("part").alias("any_part"))
+    groups = groups.filter((F.col("head.h1") != F.col("tail.h1")) & F.col("any_part")).select("v", "head")
+    met = spill(members.join(groups, "v"))
 
     def close(a: str, b: str) -> Column:
         return F.abs(F.col(a) - F.col(b)) <= F.floor(F.least(a, b) / per_edit)
 
-    heads = met.filter((F.col("h1") != F.col("head.h1")) & close("n", "head.n"))
-    done = spill(_within(heads.select("h1", F.col("head.h1").alias("q1")).distinct(), words, per_edit))
-    last = F.floor((F.col("members") - 1) / CHUNK).cast("int")
-    left = met.join(done.select("h1").distinct(), "h1", "left_anti")
-    left = left.select("key", "h1", "n", "doc_id", "line_no", "head.h1", F.explode(F.sequence(F.lit(0), last)).alias("part")).toDF(
-        "key", "h1", "n", "doc_id", "line_no", "head", "part"
-    )
-    right = met.select(
-        "key", F.pmod("h1", last + 1).cast("int").alias("part"), F.col("h1").alias("q1"), F.col("n").alias("q_n"),
-        F.struct("doc_id", "line_no").alias("q_place"),
-    )
-    pairs = left.join(right, ["key", "part"]).filter(F.col("q1") != F.col("head"))
-    pairs = pairs.filter((F.col("q_place") < F.struct("doc_id", "line_no")) & close("n", "q_n")).select("h1", "q1").distinct()
-    return done.unionByName(_within(pairs, words, per_edit))
+    behind = met.filter(F.col("open") & (F.col("h1") != F.col("head.h1")))
+    heads = behind.filter(close("n", "head.n")).select("h1", F.col("head.h1").alias("q1")).distinct()
+    done = spill(_within(heads, words, per_edit))
+    rest = behind.join(done.select("h1").distinct(), "h1", "left_anti")
+    more = spill(_behind_others(rest, met, words, per_edit))
+    release(met)
+    return done.unionByName(words.join(more, "h1", "left_semi").select("h1", "h2"))
 
 
-def _within(pairs: DataFrame, words: DataFrame, per_edit: int) -> DataFrame:
-    """``(h1, h2)`` of lines whose pair (h1, q1) lies within the bound: the edit distance of strings with a letter per word."""
-    def letters(codes: Column) -> Column:
-        return F.decode(F.unhex(F.array_join(F.transform(codes, lambda x: F.lpad(F.hex(x), 8, "0")), "")), "UTF-32")
+def _sharing(base: DataFrame, long: int, per_edit: int) -> DataFrame:
+    """``h1`` of the lines of at least ``long`` words that share a run of words with a line that differs from them.
+
+    k edits touch at most RUN * k runs of RUN words. Two lines within the bound therefore share one of the
+    first RUN * k + 1 runs that each has in the order of their hashes.
+    """
+    lines = base.select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    lines = lines.select(_words(F.col("line")).alias("w")).withColumn("n", F.size("w")).filter(F.col("n") >= long)
+    hashed = lines.select(F.xxhash64("w").alias("h1"), "n", F.transform("w", lambda w: F.xxhash64(w)).alias("hw"))
+    first = F.slice(F.array_sort(F.array_distinct(_runs(RUN))), F.lit(1), RUN * F.floor(F.col("n") / per_edit).cast("int") + 1)
+    held = hashed.select("h1", F.explode(first).alias("key"))
+    shared = held.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo < hi").select("key")
+    return spill(held.join(shared, "key").select("h1").distinct())
+
+
+def _runs(k: int) -> Column:
+    """Hashes of all runs of k words, from the words' hashes; by slices, as a lookup inside a lambda computes the array each time."""
+    count = F.col("n") - k + 1
+    runs = F.slice("hw", F.lit(1), count)
+    for j in range(1, k):
+        runs = F.zip_with(runs, F.slice("hw", F.lit(j + 1), count), lambda x, y: F.xxhash64(x, y))
+    return runs
+
 
-    def within(a: Column | str, b: Column | str, n: str, m: str) -> Column:
-        return F.call_function("levenshtein", a, b, F.floor(F.least(n, m) / per_edit).cast("int")) >= 0
+def _part_variants(words: DataFrame, half: int) -> DataFrame:
+    """``(v, part, h1, n, open, doc_id, line_no)``: variants of parts (two halves, at fixed places) and of stretches anywhere.
+
+    The half that is left alone is in the key whole, of the other one any word is left out. A stretch at
+    an end of its line may lack one word, which then is the one left out.
+    """
+    hashed = words.select("h1", "n", F.transform("w", lambda w: F.xxhash64(w)).alias("hw"))
+    grams = hashed.select("h1", "n", F.posexplode(_runs(half)).alias("pos", "g"))
+    parts = F.floor(F.col("n") / (2 * half)) * 2  # halves of the line's parts
+    at = F.col("pos") / half
+    aligned = (F.col("pos") % half == 0) & (at < parts)
+    side = F.when(aligned, F.col("pos") / half % 2).cast("int")  # 0: the half before the other, 1: the one behind
+    grams = grams.select("h1", "pos", "g", side.alias("side"))
+    shared = grams.groupBy("g").agg(
+        F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.collect_set("side").alias("sides")
+    ).filter((F.col("lo") < F.col("hi")) & (F.size("sides") > 0)).select("g", "sides")
+    hits = grams.join(shared, "g").groupBy("h1").agg(F.collect_list(F.struct("pos", "g", "side", "sides")).alias("hits"))
+    each = words.join(hits, "h1").select("h1", "n", "open", "doc_id", "line_no", "w", F.explode("hits").alias("hit"))
+    each = each.select("*", F.explode("hit.sides").alias("of"))
+    begin = F.when(F.col("of") == 0, F.col("hit.pos") + half).otherwise(F.greatest(F.col("hit.pos") - half, F.lit(0)))
+    size = F.when(F.col("of") == 0, F.lit(half)).otherwise(F.least(F.col("hit.pos"), F.lit(half)))
+    other = F.slice("w", begin + 1, size)
+
+    def key(rest: Column) -> Column:
+        return F.xxhash64("of", "hit.g", rest)
+
+    def without(o: Column) -> Column:
+        cuts = F.transform(F.sequence(F.lit(0), F.lit(half - 1)), lambda i: key(F.concat(F.slice(o, F.lit(1), i), F.slice(o, i + 2, F.lit(half)))))
+        return F.when(F.size(o) == half, cuts).when(F.size(o) == half - 1, F.array(key(o)))
+
+    each = each.withColumn("o", other).withColumn("vs", without(F.col("o")))
+    part = F.coalesce(F.col("hit.side") == F.col("of"), F.lit(False))
+    return each.select(F.explode("vs").alias("v"), part.alias("part"), "h1", "n", "open", "doc_id", "line_no")
+
+
+def _behind_others(rest: DataFrame, met: DataFrame, words: DataFrame, per_edit: int) -> DataFrame:
+    """``h1`` of the lines in ``rest`` that have a line within the bound, earlier and not the first, in a group of ``met``.
+
+    Large groups meet in chunks. A pair is judged where it meets, by a bitmap of words, then by letters that stand for
+    word hashes, then by numbers that stand for the words themselves; no pairs are given out.
+    """
+    asked = rest.select("v").distinct()
+    sizes = met.join(asked, "v", "left_semi").groupBy("v").agg(F.floor((F.count("*") - 1) / CHUNK).cast("int").alias("last"))
+    hashes = F.transform("w", lambda w: F.xxhash64(w))
+    known = words.select("h1", hashes.alias("hw"), _letters(F.transform(hashes, _code_point)).alias("code"))
+
+    def bits(i: int) -> Column:
+        mine = F.filter("hw", lambda x: F.pmod(F.shiftright(x, 8), F.lit(2)) == i)
+        bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(x, F.lit(64)).cast("int"))
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda upto, x: upto.bitwiseOR(bit(x)))
+
+    known = known.withColumns({"bits0": bits(0), "bits1": bits(1)})
+    asking = rest.select("v", "h1", "n", "part", "doc_id", "line_no").distinct().join(sizes, "v").join(known, "h1")
+    asking = asking.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    held = met.select("v", "h1", "n", "part", "doc_id", "line_no").distinct().join(sizes, "v").join(known, "h1")
+    held = held.withColumn("chunk", F.pmod("h1", F.col("last") + 1).cast("int"))
+    a, b = asking.alias("a"), held.alias("b")
+
+    def of(c: str) -> tuple[Column, Column]:
+        return F.col(f"a.{c}"), F.col(f"b.{c}")
+
+    bound = F.floor(F.least(*of("n")) / per_edit).cast("int")
+    x, y = of("n")
+    apart = sum((F.bit_count(m.bitwiseXOR(o)) for m, o in (of("bits0"), of("bits1"))), F.lit(0))
+    p, q = of("part")
+    earlier = F.struct("b.doc_id", "b.line_no") < F.struct("a.doc_id", "a.line_no")
+    met_here = (F.col("a.v") == F.col("b.v")) & (F.col("a.chunk") == F.col("b.chunk")) & earlier & (p | q)
+    loosely = (F.abs(x - y) <= bound) & (apart <= 2 * bound) & (F.call_function("levenshtein", *of("code"), bound) >= 0)
+    return a.join(b, met_here & loosely & _within_words(*of("hw"), bound), "left_semi").select("h1").distinct()
+
+
+def _code_point(h: Column) -> Column:
+    """One of a million letters for a word's hash, none of them a surrogate."""
+    i = F.pmod(h, F.lit(1_000_000)) + 256
+    return i + F.when(i < 0xD800, 0).otherwise(0x800)
+
+
+def _letters(codes: Column) -> Column:
+    return F.decode(F.unhex(F.array_join(F.transform(codes, lambda x: F.lpad(F.hex(x), 8, "0")), "")), "UTF-32")
+
+
+def _within_words(w: Column, q: Column, bound: Column) -> Column:
+    """Whether two word arrays are within the bound: the edit distance of strings with a letter per word of the pair."""
 
     def exact(known: Column) -> Column:
-        def numbers(of: str) -> Column:
+        def numbers(of: Column) -> Column:
             at = F.transform(of, lambda x: F.array_position(known, x))
-            return letters(F.transform(at, lambda i: i + F.when(i < 0xD800, 0).otherwise(0x800)))  # past the surrogates
+            return _letters(F.transform(at, lambda i: i + F.when(i < 0xD800, 0).otherwise(0x800)))  # past the surrogates
 
-        return within(numbers("w"), numbers("q"), "n", "m")
+        return F.call_function("levenshtein", numbers(w), numbers(q), bound) >= 0
 
-    # letters by hash never raise the distance; those by number in the pair's words are exact
-    loose = pairs.join(words.select("h1", "n", "code"), "h1")
-    loose = loose.join(words.select(F.col("h1").alias("q1"), F.col("n").alias("m"), F.col("code").alias("q_code")), "q1")
-    loose = loose.filter(within(F.col("code"), F.col("q_code"), "n", "m")).select("h1", "q1", "n", "m")
-    both = loose.join(words.select("h1", "h2", "w"), "h1")
+    known = F.array(F.array_distinct(F.concat(w, q)))  # one element, so that it is computed once
+    return F.get(F.transform(known, exact), F.lit(0))
+
+
+def _within(pairs: DataFrame, words: DataFrame, per_edit: int) -> DataFrame:
+    """``(h1, h2)`` of lines whose pair (h1, q1) lies within the bound."""
+    both = pairs.join(words.select("h1", "h2", "w"), "h1")
     both = both.join(words.select(F.col("h1").alias("q1"), F.col("w").alias("q")), "q1")
-    known = F.array(F.array_distinct(F.concat("w", "q")))  # one element, so that it is computed once
-    return both.filter(F.get(F.transform(known, exact), F.lit(0))).select("h1", "h2").distinct()
+    bound = F.floor(F.least(F.size("w"), F.size("q")) / per_edit).cast("int")
+    return both.filter(_within_words(F.col("w"), F.col("q"), bound)).select("h1", "h2").distinct()
 
 
 def _without(words: str, at: Column) -> Column:
