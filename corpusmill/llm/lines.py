@@ -19,6 +19,9 @@ occur nowhere else has no near line. The end that does occur elsewhere also says
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +29,8 @@ from corpusmill.session import release, spill
 
 WHITE = " \t\x0b\x0c\r"  # fixed values: white space inside a line
 STEP = 64  # words per block of the running exclusive-or
-RUN = 4  # words of a run
-CHUNK = 500  # lines of a group that are compared together
+CHUNK = 2000  # lines of a group that are compared together
+BITMAPS = 4  # of 64 bits each
 
 
 def line_dedup(
@@ -184,7 +187,7 @@ def _far_lines(base: DataFrame, lines: DataFrame, late: DataFrame, min_words: in
     )
     words = _with_words(base, firsts).join(late.withColumn("late", F.lit(True)), ["h1", "h2"], "left")
     words = spill(words.withColumns({"open": F.col("late").isNull(), "n": F.size("w")}).drop("late"))
-    members = _part_variants(words, per_edit // 2)
+    members = _part_variants(words, per_edit)
     place = F.struct("doc_id", "line_no", "h1", "n")
     groups = members.groupBy("v").agg(F.min(place).alias("head"), F.max(place).alias("tail"), F.max("part").alias("any_part"))
     groups = groups.filter((F.col("head.h1") != F.col("tail.h1")) & F.col("any_part")).select("v", "head")
@@ -203,47 +206,74 @@ def _far_lines(base: DataFrame, lines: DataFrame, late: DataFrame, min_words: in
 
 
 def _sharing(base: DataFrame, long: int, per_edit: int) -> DataFrame:
-    """``h1`` of the lines of at least ``long`` words that share a run of words with a line that differs from them.
+    """``h1`` of the lines of at least ``long`` words that share a run with another line of about their length.
 
-    k edits touch at most RUN * k runs of RUN words. Two lines within the bound therefore share one of the
-    first RUN * k + 1 runs that each has in the order of their hashes.
+    k edits touch at most r * k runs of r words. Two lines within the bound therefore share one of the first
+    r * k + 1 runs that each has in the order of their hashes; lines have as many for r up to per_edit / 2 + 1.
     """
+    run = per_edit // 2 + 1
     lines = base.select(F.explode(F.split("text", "\n", -1)).alias("line"))
     lines = lines.select(_words(F.col("line")).alias("w")).withColumn("n", F.size("w")).filter(F.col("n") >= long)
     hashed = lines.select(F.xxhash64("w").alias("h1"), "n", F.transform("w", lambda w: F.xxhash64(w)).alias("hw"))
-    first = F.slice(F.array_sort(F.array_distinct(_runs(RUN))), F.lit(1), RUN * F.floor(F.col("n") / per_edit).cast("int") + 1)
-    held = hashed.select("h1", F.explode(first).alias("key"))
-    shared = held.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo < hi").select("key")
-    return spill(held.join(shared, "key").select("h1").distinct())
-
-
-def _runs(k: int) -> Column:
-    """Hashes of all runs of k words, from the words' hashes; by slices, as a lookup inside a lambda computes the array each time."""
-    count = F.col("n") - k + 1
-    runs = F.slice("hw", F.lit(1), count)
-    for j in range(1, k):
-        runs = F.zip_with(runs, F.slice("hw", F.lit(j + 1), count), lambda x, y: F.xxhash64(x, y))
-    return runs
-
-
-def _part_variants(words: DataFrame, half: int) -> DataFrame:
+    first = F.slice(F.array_sort(F.array_distinct("runs")), F.lit(1), run * F.floor(F.col("n") / per_edit).cast("int") + 1)
+    held = _with_runs(hashed, run).select("h1", "n", F.explode(first).alias("key"))
+    several = (F.min("h1").alias("lo"), F.max("h1").alias("hi"))
+    shared = held.groupBy("key").agg(*several).filter("lo < hi").select("key")
+    # lengths within the bound lie in one band or in neighbouring ones; the divisor allows for rounding
+    band = F.floor(F.log("n") / (1.001 * math.log(1 + 1 / per_edit))).cast("int")
+    held = spill(held.join(shared, "key").select("h1", "key", band.alias("own")).distinct())
+    banded = held.select("h1", "key", F.explode(F.array("own", F.col("own") + 1)).alias("band"))
+    alike = banded.groupBy("key", "band").agg(*several).filter("lo < hi").select("key", "band")
+    near = spill(banded.join(alike, ["key", "band"]).select("h1").distinct())
+    release(held)
+    return near
+
+
+def _with_runs(rows: DataFrame, k: int) -> DataFrame:
+    """``runs``: hashes of all runs of k words from the words' hashes ``hw``, by doubling and slices.
+
+    A lookup inside a lambda would compute the array for every element.
+    """
+    held, size = "hw", 1
+    for bit in bin(k)[3:]:
+        for more, shift in ((held, size), *[("hw", 2 * size)] * (bit == "1")):
+            grown = shift + (size if more == held and shift == size else 1)
+            count = F.col("n") - grown + 1
+            pair = F.zip_with(F.slice(held, F.lit(1), count), F.slice(more, F.lit(shift + 1), count), lambda x, y: F.xxhash64(x, y))
+            held = f"runs{grown}"
+            rows = rows.withColumn(held, pair)
+        size = grown
+    return rows.withColumn("runs", F.col(held))
+
+
+def _part_variants(words: DataFrame, per_edit: int) -> DataFrame:
     """``(v, part, h1, n, open, doc_id, line_no)``: variants of parts (two halves, at fixed places) and of stretches anywhere.
 
     The half that is left alone is in the key whole, of the other one any word is left out. A stretch at
-    an end of its line may lack one word, which then is the one left out.
+    an end of its line may lack one word, which then is the one left out. As k edits leave at most k / 2 parts with
+    more than one, k / 2 + 1 parts of a line will do: those whose halves are met least.
     """
+    half = per_edit // 2
     hashed = words.select("h1", "n", F.transform("w", lambda w: F.xxhash64(w)).alias("hw"))
-    grams = hashed.select("h1", "n", F.posexplode(_runs(half)).alias("pos", "g"))
-    parts = F.floor(F.col("n") / (2 * half)) * 2  # halves of the line's parts
-    at = F.col("pos") / half
-    aligned = (F.col("pos") % half == 0) & (at < parts)
-    side = F.when(aligned, F.col("pos") / half % 2).cast("int")  # 0: the half before the other, 1: the one behind
-    grams = grams.select("h1", "pos", "g", side.alias("side"))
+    grams = _with_runs(hashed, half).select("h1", "n", F.posexplode("runs").alias("pos", "g"))
+    aligned = (F.col("pos") % half == 0) & (F.col("pos") < F.floor(F.col("n") / (2 * half)) * (2 * half))
+    grams = spill(grams.withColumn("at", F.when(aligned, F.floor(F.col("pos") / half).cast("int"))))
     shared = grams.groupBy("g").agg(
-        F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.collect_set("side").alias("sides")
-    ).filter((F.col("lo") < F.col("hi")) & (F.size("sides") > 0)).select("g", "sides")
-    hits = grams.join(shared, "g").groupBy("h1").agg(F.collect_list(F.struct("pos", "g", "side", "sides")).alias("hits"))
-    each = words.join(hits, "h1").select("h1", "n", "open", "doc_id", "line_no", "w", F.explode("hits").alias("hit"))
+        F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.count("*").alias("met"), F.count("at").alias("halves")
+    ).filter("lo < hi and halves > 0").select("g", "met")
+    parts = grams.filter("at is not null").join(shared, "g", "left")
+    parts = parts.groupBy("h1", "n", F.floor(F.col("at") / 2).alias("part")).agg(
+        F.sum(F.coalesce("met", F.lit(0))).alias("met"),
+        F.collect_list(F.when(F.col("met").isNotNull(), F.struct("pos", "g", (F.col("at") % 2).alias("side")))).alias("halves"),
+    )
+    parts = parts.groupBy("h1", "n").agg(F.array_sort(F.collect_list(F.struct("met", "part", "halves"))).alias("parts"))
+    rare = F.slice("parts", F.lit(1), F.floor(F.floor(F.col("n") / per_edit) / 2).cast("int") + 1)
+    chosen = parts.select("h1", F.flatten(F.transform(rare, lambda x: x["halves"])).alias("mine")).filter(F.size("mine") > 0)
+    chosen = spill(chosen)
+    wanted = chosen.select(F.explode("mine").alias("x")).groupBy("x.g").agg(F.collect_set("x.side").alias("sides"))
+    hits = grams.join(wanted, "g").groupBy("h1").agg(F.collect_list(F.struct("pos", "g", "sides")).alias("hits"))
+    hits = hits.join(chosen, "h1", "left")
+    each = words.join(hits, "h1").select("h1", "n", "open", "doc_id", "line_no", "w", "mine", F.explode("hits").alias("hit"))
     each = each.select("*", F.explode("hit.sides").alias("of"))
     begin = F.when(F.col("of") == 0, F.col("hit.pos") + half).otherwise(F.greatest(F.col("hit.pos") - half, F.lit(0)))
     size = F.when(F.col("of") == 0, F.lit(half)).otherwise(F.least(F.col("hit.pos"), F.lit(half)))
@@ -257,44 +287,72 @@ def _part_variants(words: DataFrame, half: int) -> DataFrame:
         return F.when(F.size(o) == half, cuts).when(F.size(o) == half - 1, F.array(key(o)))
 
     each = each.withColumn("o", other).withColumn("vs", without(F.col("o")))
-    part = F.coalesce(F.col("hit.side") == F.col("of"), F.lit(False))
-    return each.select(F.explode("vs").alias("v"), part.alias("part"), "h1", "n", "open", "doc_id", "line_no")
+    part = F.coalesce(F.exists("mine", lambda x: (x["pos"] == F.col("hit.pos")) & (x["side"] == F.col("of"))), F.lit(False))
+    each = each.select(F.explode("vs").alias("v"), part.alias("part"), "h1", "n", "open", "doc_id", "line_no")
+    return each.groupBy("v", "h1").agg(F.max("part").alias("part"), *[F.first(c).alias(c) for c in ("n", "open", "doc_id", "line_no")])
 
 
 def _behind_others(rest: DataFrame, met: DataFrame, words: DataFrame, per_edit: int) -> DataFrame:
     """``h1`` of the lines in ``rest`` that have a line within the bound, earlier and not the first, in a group of ``met``.
 
-    Large groups meet in chunks. A pair is judged where it meets, by a bitmap of words, then by letters that stand for
-    word hashes, then by numbers that stand for the words themselves; no pairs are given out.
+    Groups of the same lines are looked at once. Pairs are judged where they meet and never given out: first
+    by bitmaps of their words alone, then, for lines that pass on either side, by letters that stand for
+    word hashes and by numbers that stand for the words. Large groups meet in chunks.
     """
-    asked = rest.select("v").distinct()
-    sizes = met.join(asked, "v", "left_semi").groupBy("v").agg(F.floor((F.count("*") - 1) / CHUNK).cast("int").alias("last"))
+    bits = words.select("h1", *[_bits(i).alias(f"bits{i}") for i in range(BITMAPS)])
+    held = _once(met.select("v", "h1", "n", "doc_id", "line_no").join(rest.select("v").distinct(), "v", "left_semi"))
+    held = spill(held.join(bits, "h1"))
+    asking = held.join(rest.select("h1").distinct(), "h1", "left_semi")
+    late = spill(_pairs(asking, held, per_edit, _alike).select("h1").distinct())
+    asking = asking.join(late, "h1", "left_semi")
+    early = _pairs(held, asking, per_edit, _alike, later=True).select("h1").distinct()
+    some = spill(late.union(early).distinct())
     hashes = F.transform("w", lambda w: F.xxhash64(w))
-    known = words.select("h1", hashes.alias("hw"), _letters(F.transform(hashes, _code_point)).alias("code"))
-
-    def bits(i: int) -> Column:
-        mine = F.filter("hw", lambda x: F.pmod(F.shiftright(x, 8), F.lit(2)) == i)
-        bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(x, F.lit(64)).cast("int"))
-        return F.aggregate(mine, F.lit(0).cast("long"), lambda upto, x: upto.bitwiseOR(bit(x)))
-
-    known = known.withColumns({"bits0": bits(0), "bits1": bits(1)})
-    asking = rest.select("v", "h1", "n", "part", "doc_id", "line_no").distinct().join(sizes, "v").join(known, "h1")
-    asking = asking.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    held = met.select("v", "h1", "n", "part", "doc_id", "line_no").distinct().join(sizes, "v").join(known, "h1")
-    held = held.withColumn("chunk", F.pmod("h1", F.col("last") + 1).cast("int"))
-    a, b = asking.alias("a"), held.alias("b")
-
-    def of(c: str) -> tuple[Column, Column]:
-        return F.col(f"a.{c}"), F.col(f"b.{c}")
-
-    bound = F.floor(F.least(*of("n")) / per_edit).cast("int")
-    x, y = of("n")
-    apart = sum((F.bit_count(m.bitwiseXOR(o)) for m, o in (of("bits0"), of("bits1"))), F.lit(0))
-    p, q = of("part")
-    earlier = F.struct("b.doc_id", "b.line_no") < F.struct("a.doc_id", "a.line_no")
-    met_here = (F.col("a.v") == F.col("b.v")) & (F.col("a.chunk") == F.col("b.chunk")) & earlier & (p | q)
-    loosely = (F.abs(x - y) <= bound) & (apart <= 2 * bound) & (F.call_function("levenshtein", *of("code"), bound) >= 0)
-    return a.join(b, met_here & loosely & _within_words(*of("hw"), bound), "left_semi").select("h1").distinct()
+    known = words.join(some, "h1", "left_semi").select("h1", hashes.alias("hw"), _letters(F.transform(hashes, _code_point)).alias("code"))
+    left = spill(_once(held.drop("held", *[f"bits{i}" for i in range(BITMAPS)]).join(some, "h1", "left_semi")).join(known, "h1"))
+
+    def near(bound: Column) -> Column:
+        return (F.call_function("levenshtein", F.col("a.code"), F.col("b.code"), bound) >= 0) & _within_words(
+            F.col("a.hw"), F.col("b.hw"), bound
+        )
+
+    found = spill(_pairs(left.join(late, "h1", "left_semi"), left, per_edit, near).select("h1").distinct())
+    release(held, left, some, late)
+    return found
+
+
+def _once(members: DataFrame) -> DataFrame:
+    """``members`` of only one of the groups ``v`` that hold the same lines."""
+    mix = F.xxhash64("h1")
+    sets = members.groupBy("v").agg(F.count("*").alias("c"), F.sum(F.shiftright(mix, 20)).alias("s"), F.bit_xor(mix).alias("x"))
+    one = sets.filter("c > 1").groupBy("c", "s", "x").agg(F.min("v").alias("v"))
+    return members.join(one.select("v", F.col("c").alias("held")), "v")
+
+
+def _pairs(a: DataFrame, b: DataFrame, per_edit: int, judge: Callable[[Column], Column], later: bool = False) -> DataFrame:
+    """The rows of ``a`` that meet an earlier one (or ``later``) of ``b`` in a group and pass the judge, given their bound."""
+    last = F.floor((F.col("held") - 1) / CHUNK).cast("int")
+    a = a.withColumn("chunk", F.explode(F.sequence(F.lit(0), last))).alias("a")
+    b = b.withColumn("chunk", F.pmod("h1", last + 1).cast("int")).alias("b")
+    bound = F.floor(F.least("a.n", "b.n") / per_edit).cast("int")
+    here, there = (F.struct(f"{x}.doc_id", f"{x}.line_no") for x in "ab")
+    order = there > here if later else there < here
+    meet = (F.col("a.v") == F.col("b.v")) & (F.col("a.chunk") == F.col("b.chunk")) & order
+    return a.join(b, meet & (F.abs(F.col("a.n") - F.col("b.n")) <= bound) & judge(bound), "left_semi")
+
+
+def _alike(bound: Column) -> Column:
+    """An edit takes a word and brings one, so it changes two bits of a line's bitmap at most."""
+    apart = [F.bit_count(F.col(f"a.bits{i}").bitwiseXOR(F.col(f"b.bits{i}"))) for i in range(BITMAPS)]
+    return sum(apart[1:], apart[0]) <= 2 * bound
+
+
+def _bits(i: int) -> Column:
+    """The i-th 64 bits of a bitmap of the line's words."""
+    places = F.transform("w", lambda w: F.pmod(F.xxhash64(w), F.lit(64 * BITMAPS)).cast("int"))
+    mine = F.filter(places, lambda x: (x >= 64 * i) & (x < 64 * i + 64))
+    one = F.lit(1).cast("long")
+    return F.aggregate(mine, F.lit(0).cast("long"), lambda upto, x: upto.bitwiseOR(F.call_function("shiftleft", one, x - 64 * i)))
 
 
 def _code_point(h: Column) -> Column:
