@@ -57,6 +57,12 @@ def spill(df: DataFrame) -> DataFrame:
     return stored
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+
+
 def release(*stored: DataFrame) -> None:
     """Delete tables that ``spill`` wrote, once what was made of them is written too and nothing else reads them."""
     for df in stored:

@@ -25,6 +25,7 @@ from corpusmill.operators.chunk import compute_chunks, fixed_windows, recursive_
 from corpusmill.operators.embed import fit_hash_embedder
 from corpusmill.constants import INSPECT_COLUMNS, SAVED_COLUMNS
 from corpusmill.operators.evalset import (
+    ASSESSOR,
     dedup_assessments,
     expected_response,
     newest_per,
@@ -48,14 +49,17 @@ from corpusmill.operators.quality import (
     with_report_names,
 )
 from corpusmill.operators.search import (
+    VECTORS_PER_CELL,
     ResultColumns,
     above,
+    exact_by_cells,
     exact_top_k,
     fetch_passages,
     ivf_top_k,
     recall_at_k,
     rename_result,
 )
+from corpusmill.operators.upkeep import apply_changes
 from corpusmill.plans.answer import prompts_for, retrieve
 from corpusmill.plans.ingest import ingest
 from corpusmill.schemas import ParsedDocument, record_schema
@@ -63,6 +67,7 @@ from corpusmill.session import scratch_dir, spill, spread
 from corpusmill.sources.eval_rows import conform_eval_rows, inline_eval_rows
 from corpusmill.sources.files import load_files
 from corpusmill.sources.tables import default_chunk_table, overwrite_table
+from corpusmill.streaming.logs import follow, holding, refresh_evaluation_set
 from corpusmill.workload import fixtures as fx
 from corpusmill.workload import sql as q
 
@@ -408,13 +413,11 @@ def vec_ivf_assign(spark, sf_dir):
     )
 
 
-QUERY_BATCH_BYTES = 4 << 20  # every vector is a query here: only a small table is sent to the tasks as one batch
-
-
 def _exact(spark, sf_dir, k):
+    vectors = fx.vectors(spark, sf_dir)
+    n_cells = max(q.CELLS, -(-vectors.count() // VECTORS_PER_CELL))
     return exact_top_k(
-        fx.query_vectors(spark, sf_dir), fx.vectors(spark, sf_dir), k, key="chunk_id", skip_self=True, method="auto",
-        max_broadcast_bytes=QUERY_BATCH_BYTES,
+        fx.query_vectors(spark, sf_dir), vectors, k, key="chunk_id", skip_self=True, method="cells", n_cells=n_cells
     )
 
 
@@ -434,6 +437,27 @@ def knn_exact_top16(spark, sf_dir):
     return _exact(spark, sf_dir, K.ANN_RESULTS)
 
 
+@query(q.with_ctes(q.knn(K.ANN_RESULTS)) + "select query_id, rank, chunk_id, score from knn")
+def knn_upkeep(spark, sf_dir):
+    """Search after insert, change, delete and a split of cells; what is left is every vector of the table, as given.
+
+    The index starts without every third vector, with every fifth one turned around, and with a stray copy of
+    every fourth under a key of its own.
+    """
+    vectors, key = fx.vectors(spark, sf_dir), F.col("chunk_id")
+    turned = F.transform("embedding", lambda x: -x)
+    old = vectors.filter(key % 3 != 0).withColumn("embedding", F.when(key % 5 == 0, turned).otherwise(F.col("embedding")))
+    stray = vectors.filter(key % 4 == 0).withColumn("chunk_id", -key - 1)
+    n = vectors.count()
+    n_cells = max(q.CELLS, -(-n // VECTORS_PER_CELL))
+    path = scratch_dir(spark)
+    build_index(old.union(stray), hash_pivots(vectors, n_cells, "chunk_id"), "chunk_id", path=path)
+    changed = vectors.filter((key % 3 == 0) | (key % 5 == 0))
+    apply_changes(spark, path, changed, key="chunk_id")
+    index = apply_changes(spark, path, None, stray, key="chunk_id", max_cell=-(-2 * n // n_cells))
+    return exact_by_cells(fx.query_vectors(spark, sf_dir), index, K.ANN_RESULTS, skip_self=True)
+
+
 @query(q.with_ctes(q.IVF) + "select query_id, rank, chunk_id, score from ann")
 def knn_ann_ivf(spark, sf_dir):
     return _ann(spark, sf_dir)
@@ -597,6 +621,56 @@ def eval_join(spark, sf_dir):
     )
 
 
+REPLAYS = 3
+
+
+def _arriving(rows: DataFrame, name: str):
+    """A log that comes in ``REPLAYS`` parts, later rows as likely first as last: the stream, and what lets the next part in."""
+    spark, folder = rows.sparkSession, scratch_dir(rows.sparkSession)
+    spark.createDataFrame([], rows.schema).write.parquet(folder)  # a stream needs its folder
+    part = F.pmod(F.xxhash64(F.lit(name), *[c for c in rows.columns if c != "liked_doc_uris"]), F.lit(REPLAYS))
+
+    def let_in(number: int) -> None:
+        rows.filter(part == number).write.mode("append").parquet(folder)
+
+    return spark.readStream.schema(rows.schema).parquet(folder), let_in
+
+
+@query(q.with_ctes(q.ASSESSMENTS) + """
+select request_id, source_user, source_tag, rating, edited_response, liked as liked_uris, assessment_id from last_words""")
+def log_dedup_stream(spark, sf_dir):
+    """The same as ``log_dedup`` from keyed state, the log coming in parts and out of order."""
+    log, state = fx.assessment_log(spark, sf_dir), scratch_dir(spark)
+    stream, let_in = _arriving(log, "assessments")
+    for number in range(REPLAYS):
+        let_in(number)
+        follow(stream, state, ASSESSOR)
+    return holding(spark, state, log, ASSESSOR).select(
+        "request_id", "source_user", "source_tag", "rating", "edited_response",
+        F.try_element_at("liked_doc_uris", F.lit(1)).alias("liked_uris"),
+        "assessment_id",
+    )
+
+
+@query(q.with_ctes(q.REQUESTS, q.ASSESSMENTS, q.EVAL_SET) + """
+select request_id, request, response, trace, source_user, source_tag, rating, edited_response,
+  assessment_id::varchar as assessment_id, is_correct::varchar as is_correct, expected_uris from eval_set""")
+def eval_join_stream(spark, sf_dir):
+    """The same as ``eval_join``, refreshed after each part of both logs."""
+    asked, ask = _arriving(fx.request_log(spark, sf_dir), "requests")
+    said, say = _arriving(fx.assessment_log(spark, sf_dir), "assessments")
+    state = scratch_dir(spark)
+    for number in range(REPLAYS):
+        ask(number)
+        say((2 * number + 1) % REPLAYS)
+        found = refresh_evaluation_set(asked, said, state)
+    return found.select(
+        "request_id", "request", "response", "trace", "source_user", "source_tag", "rating", "edited_response",
+        F.col("assessment_id").cast("string"), F.col("is_correct").cast("string"),
+        _uris("expected_retrieved_context").alias("expected_uris"),
+    )
+
+
 @query(q.with_ctes(q.REQUESTS, q.ASSESSMENTS, q.EVAL_SET) + "select request_id, rating, expected_response from eval_set")
 def eval_expected_response(spark, sf_dir):
     requests = fx.request_log(spark, sf_dir)
