@@ -69,12 +69,13 @@ def exact_duplicates(
 
 def _rows(table: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    meta = table.metadataColumn("_metadata")  # of the file, even where a column of the rows has that name
     rows = table.select(
         F.col(id_col).alias("doc_id"),
         F.translate(text, WHITE, "").alias("bare"),
         F.length(text).alias("n_points"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
+        meta["file_path"].alias("file"),
+        meta["row_index"].alias("row"),
     )
     key = digest(F.col("bare"))
     sha = F.col("key") if digest is sha256 else sha256(F.col("bare"))

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.llm.columns import whole_numbers
 from corpusmill.session import spill
 
 ANCHORS, CANDIDATES = 2048, 8192  # rows of a tile
@@ -81,8 +82,8 @@ def hard_negatives(
 def _scaled(vectors: DataFrame, scale: float, id_col: str, vector_col: str, label_col: str) -> DataFrame:
     """``(id, label, dim, v)`` of the rows that take part; ``v`` holds whole numbers as doubles."""
     rows = vectors.select(
-        F.col(f"`{id_col}`").cast("long").alias("id"),
-        F.col(f"`{label_col}`").cast("long").alias("label"),
+        whole_numbers(vectors, id_col).alias("id"),
+        whole_numbers(vectors, label_col).alias("label"),
         F.col(f"`{vector_col}`").cast("array<double>").alias("v"),
     )
     fit = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

@@ -25,6 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.columns import whole_numbers
 from corpusmill.session import release, spill
 
 WHITE = " \t\x0b\x0c\r"  # fixed values: white space inside a line
@@ -42,7 +43,8 @@ def line_dedup(
 
     A document keeps its row even if no line is left (its text is then empty). Defined cases: a null
     text stays null; rows with a null id are neither changed nor compared; rows that repeat an id and
-    a text count as one document, rows that repeat an id with another text as two at the same place;
+    a text count as one document, rows that repeat an id with another text as two at the same place; ids
+    must be whole numbers (TypeError);
     further columns are carried along, and none of their names matters.
     """
     mine = [c for c in docs.columns if c not in (id_col, text_col)]
@@ -59,7 +61,7 @@ def line_dedup(
 
 
 def judged_documents(docs: DataFrame, min_words: int = 5, words_per_edit: int | None = None) -> DataFrame:
-    """``docs`` (with columns doc_id, text) plus ``gone``: the sorted numbers of the lines to drop, or null."""
+    """``docs`` (whose other columns than doc_id and text are not named th or gone) plus ``gone``: the numbers of the lines to drop, or null."""
     found = dropped_lines(docs, min_words, words_per_edit)
     numbers = found.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("line_no")).alias("gone"))
     return docs.withColumn("th", _text_hash()).join(numbers, ["doc_id", "th"], "left").drop("th")
@@ -95,7 +97,7 @@ def dropped_lines(docs: DataFrame, min_words: int = 5, words_per_edit: int | Non
         raise ValueError("min_words must be at least 3")
     if words_per_edit is not None and words_per_edit < 6:
         raise ValueError("words_per_edit must be at least 6")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    base = docs.select(whole_numbers(docs, "doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = base.filter("doc_id is not null and text is not null").withColumn("th", _text_hash())
     lines = spill(_occurrences(base, min_words))
     first = F.min(F.struct("doc_id", "line_no", "th")).alias("first")

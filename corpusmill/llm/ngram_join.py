@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.llm.columns import free_names, whole_numbers
 from corpusmill.llm.components import components
 from corpusmill.llm.words import Block, blocks, mixed
 from corpusmill.session import spill
@@ -60,7 +61,7 @@ def ngram_classes(
     takes part in no link and keeps a null component; repeated rows of one id count as one document
     if equal, else each row links for that id; other columns are never read, whatever their names.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(whole_numbers(docs, id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     common = _common_shingles(base, n, lower)
     sets = spill(base.mapInArrow(_set_rows(n, threshold, lower, common), _SETS))
     filled = sets.filter("n_shingles > 0 and doc_id is not null")
@@ -99,10 +100,15 @@ def without_near_copies(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its class, with all columns as they are."""
+    """The rows of ``docs`` whose id is the smallest of its class, with all columns as they are.
+
+    Defined cases as in ``ngram_classes``: rows with a null id and rows without words stay; of rows that
+    repeat an id all stay or none; ids must be whole numbers (TypeError); no name of a column matters.
+    """
     classes = ngram_classes(docs, n, threshold, id_col, text_col)
-    copies = spill(classes.filter("component_id <> doc_id").select(F.col("doc_id").alias("_copy")).distinct())
-    return docs.join(copies, F.col(id_col).cast("long") == F.col("_copy"), "left_anti")
+    (copy,) = free_names(docs, "copy")
+    copies = spill(classes.filter("component_id <> doc_id").select(F.col("doc_id").alias(copy)).distinct())
+    return docs.join(copies, F.col(f"`{id_col}`").cast("long") == F.col(copy), "left_anti")
 
 
 def _common_shingles(base: DataFrame, n: int, lower: bool) -> np.ndarray:

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.columns import whole_numbers
 from corpusmill.llm.tokens import encoder
 
 STRETCH = 256  # sequences' worth of tokens that are decided at a time
@@ -57,9 +58,11 @@ def pack(
     ``added_tokens`` the string of an added token in a text is that token, else ordinary text. Defined
     cases: null or empty text is the end mark alone; a null id is kept as it is; rows that repeat an
     id are packed one by one; a text of any length is cut as often as needed; no document, no row;
-    further columns are not read, whatever their names.
+    further columns are not read, whatever their names; ids must be whole numbers (TypeError). Padding is
+    charged up to ``length`` for every sequence alike; where a sequence of a power of two of ids is left unpadded,
+    the true padding is less than what was charged, never more.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(whole_numbers(docs, id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_pack_rows(tokenizer, length, end_id, sentence_cut, hard_cut, added_tokens), _PIECES)
 
 

@@ -123,7 +123,8 @@ def fit(
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(part)) == 0
     known = known.filter(chosen).groupBy("doc_id").agg(F.min("y").alias("y"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(chosen)
-    rows = texts.join(known, "doc_id").select("doc_id", "y", "text").mapInArrow(_indicator_rows, "doc_id long, y int, found binary")
+    kind = texts.join(known, "doc_id").schema["doc_id"].dataType.simpleString()
+    rows = texts.join(known, "doc_id").select("doc_id", "y", "text").mapInArrow(_indicator_rows, f"doc_id {kind}, y int, found binary")
     rows = rows.repartition(1)  # the bounded sample alone meets in one task; texts are read by many
     (model,) = rows.mapInArrow(_fit_rows, _MODEL).collect()
     unpack = lambda b: np.frombuffer(b, np.float32)

@@ -82,7 +82,7 @@ select doc_id, count(*) as n_lines, count(*) filter (out) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by line_no) filter (not out), '')) as kept_sha256
 from kept group by doc_id""")
 def op1_line_dedup(spark, sf_dir):
-    judged = judged_documents(table(spark, sf_dir, "documents"), min_words=5)
+    judged = judged_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=5)
     return judged.select(
         "doc_id",
         F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),

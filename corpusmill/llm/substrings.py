@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.columns import free_names, whole_numbers
 from corpusmill.llm.words import Block, blocks
 from corpusmill.session import spill
 
@@ -47,7 +48,7 @@ def repeated_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     """
     if window < 4 or window % 2:
         raise ValueError("window must be even and at least 4")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(whole_numbers(docs, id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     base = base.withColumn("th", F.xxhash64("text"))
     scan = spill(base.mapInArrow(_scan_rows(window), _SCAN))
     long_enough = scan.filter(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
@@ -85,15 +86,17 @@ def repeated_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
 def without_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated words cut out of the text, and all other columns as they are.
 
-    A document that loses words has the rest joined by single spaces; others keep their text unchanged.
+    A document that loses words has the rest joined by single spaces; others keep their text unchanged. Defined
+    cases as in ``repeated_passages``; ids must be whole numbers (TypeError); no name of a column matters.
     """
     found = repeated_passages(docs, window, id_col, text_col).filter("n_removed > 0")
-    found = found.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("spans").alias("_spans"))
-    same = (F.col(id_col).cast("long") == F.col("_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_th"))
-    joined = docs.join(found.dropDuplicates(["_id", "_th"]), same, "left")
+    id_, th, spans = free_names(docs, "id_", "th", "spans")
+    found = found.select(F.col("doc_id").alias(id_), F.col("th").alias(th), F.col("spans").alias(spans))
+    same = (F.col(f"`{id_col}`").cast("long") == F.col(id_)) & (F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col(th))
+    joined = docs.join(found.dropDuplicates([id_, th]), same, "left")
     words = F.filter(F.split(F.col(text_col), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    kept = F.filter(words, lambda _, i: ~F.exists("_spans", lambda s: (s["start"] <= i) & (i < s["stop"])))
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(F.array_join(kept, " "))
+    kept = F.filter(words, lambda _, i: ~F.exists(spans, lambda s: (s["start"] <= i) & (i < s["stop"])))
+    text = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(F.array_join(kept, " "))
     return joined.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.columns import whole_numbers
 from corpusmill.llm.tokens import encoder
 
 OUTSIDE = -1
@@ -47,7 +48,7 @@ def token_counts(
     """
     if rule not in ("first", "most"):
         raise ValueError("rule is 'first' or 'most'")
-    columns = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
+    columns = [whole_numbers(docs, id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")]
     if sections is not None:
         columns.append(sections.alias("spans"))
     return docs.select(*columns).mapInArrow(_count_rows(tokenizer, rule, sections is None, added_tokens), _COUNTS)

@@ -2,7 +2,9 @@
 
 1. Equal vectors of a label are one node with a multiplicity.
 2. Each label gets centroids from a bounded sample; every node joins the shards of its nearest ones, the
-   nearest being its home. Shards beyond a size are cut into chunks by a hash, so no task holds more.
+   nearest being its home. A search goes through its home, so a link is found where one end joins the
+   other's home: that is what the overlap is for. Shards beyond a size are cut into chunks by a hash, so no
+   task holds more.
 3. Every chunk builds a graph: the nearest candidates and some far ones, pruned so that a neighbour is
    dropped when a kept one is much closer to it than the node is (robust pruning).
 4. A node's adjacency lists from all its chunks are united.
@@ -10,8 +12,8 @@
    medoids and the node's own place, and goes on past its beam while nodes lie within the range.
 6. Hits are verified by cosine in double precision. Links inside a home are counted where they are
    found, and only links that leave it are sent on as pairs; classes come from spanning links.
-7. Recall is audited by brute force for a bounded sample of vectors; below the goal, everything is done
-   again with more overlap and a wider beam.
+7. Recall is audited by brute force for a bounded sample of vectors, over all links and as the mean per
+   vector; below the goal, everything is done again with more overlap and a wider beam.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.columns import whole_numbers
 from corpusmill.llm.components import components
 from corpusmill.session import spill
 
@@ -33,7 +36,8 @@ class Graph:
 
     shard: int = 1024  # nodes a shard is meant to hold before overlap
     clusters: int = 1024
-    overlap: int = 2  # shards a node joins
+    overlap: int = 6  # shards a node joins, where so many are about as near as the nearest
+    chunk: int = 3072  # nodes, and queries, that meet in one task
     sample: int = 32  # sampled nodes per centroid
     near: int = 48  # nearest candidates before pruning
     far: int = 12  # random candidates before pruning
@@ -42,7 +46,7 @@ class Graph:
     beam: int = 24
     entries: int = 12  # medoids a search starts from
     range_slack: float = 0.08  # nodes this far below the threshold are still expanded
-    audited: int = 256  # vectors whose links are also counted by brute force
+    audited: int = 2048  # vectors whose links are also counted by brute force
     recall: float = 0.9
 
 
@@ -70,8 +74,8 @@ def near_vectors(
     link with each other; no row, no row; further columns are not read.
     """
     rows = vectors.select(
-        F.col(id_col).cast("long").alias("vec_id"),
-        F.col(label_col).cast("long").alias("label"),
+        whole_numbers(vectors, id_col).alias("vec_id"),
+        whole_numbers(vectors, label_col).alias("label"),
         F.col(vector_col).cast("array<double>").alias("v"),
     )
     fit = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
@@ -107,11 +111,11 @@ def near_vectors(
 
 def _linked(nodes: DataFrame, threshold: float, graph: Graph) -> tuple[DataFrame, DataFrame]:
     """``(vec_id, n)``: linked copies per node; ``(a, b)``: links that span the classes."""
-    members = spill(_assigned(nodes, graph))
+    members = spill(_assigned(nodes, graph, threshold))
     sizes = members.groupBy("label", "dim", "shard").agg(
         F.count("*").alias("held"), F.count(F.when(F.col("home"), True)).alias("asked")
     )
-    limit = float(graph.shard * (graph.overlap + 1))
+    limit = float(graph.chunk)
     sizes = sizes.select(
         "label", "dim", "shard", F.ceil(F.col("held") / limit).alias("chunks"), F.ceil(F.col("asked") / limit).alias("asks")
     )
@@ -149,7 +153,7 @@ def _anew(df: DataFrame, *columns: str) -> DataFrame:
 # --- shards ----------------------------------------------------------------------------------
 
 
-def _assigned(nodes: DataFrame, graph: Graph) -> DataFrame:
+def _assigned(nodes: DataFrame, graph: Graph, threshold: float) -> DataFrame:
     """Every node once per shard it joins. Work is dealt by (label, salt), centroids go to every salt."""
     sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("held"))
     k = F.least(F.lit(graph.clusters), F.ceil(F.col("held") / graph.shard)).cast("int")
@@ -167,7 +171,7 @@ def _assigned(nodes: DataFrame, graph: Graph) -> DataFrame:
         salted.select(*key, "vec_id", "copies", "v")
         .groupBy(*key)
         .cogroup(_anew(centroids, *key, "c").groupBy(*key))
-        .applyInArrow(_assign(graph), _ASSIGNED)
+        .applyInArrow(_assign(graph, threshold), _ASSIGNED)
     )
 
 
@@ -199,26 +203,30 @@ def _train(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"label": pa.array([label], pa.int64()), "dim": pa.array([dim], pa.int32()), "c": [c.tobytes()]})
 
 
-def _assign(graph: Graph):
+def _assign(graph: Graph, threshold: float):
+    margin = np.arccos(threshold)  # no shard farther than the nearest by more than a link's angle
+
     def rows(key: tuple, held: pa.Table, centroids: pa.Table) -> pa.Table:
         label, dim, _ = (k.as_py() for k in key)
         x = _unit(held.column("v"), dim)
         raw = centroids.column("c")[0].as_py() if len(centroids) else None
         c = np.frombuffer(raw, np.float64).reshape(-1, dim) if raw else np.ones((1, dim))
         joins = min(graph.overlap, len(c))
-        order = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :joins]
+        sims = x @ c.T
+        order = np.argsort(-sims, axis=1, kind="stable")[:, :joins]
+        angle = np.arccos(np.clip(np.take_along_axis(sims, order, axis=1), -1, 1))
+        row, place = np.nonzero(angle <= angle[:, :1] + margin)
         ids, copies = held.column("vec_id").to_numpy(), held.column("copies").to_numpy()
-        n = len(x)
         blobs = [row.tobytes() for row in x]
         return pa.table(
             {
-                "label": pa.array([label] * (n * joins), pa.int64()),
-                "dim": pa.array([dim] * (n * joins), pa.int32()),
-                "vec_id": np.repeat(ids, joins),
-                "copies": np.repeat(copies, joins),
-                "v": pa.array([b for b in blobs for _ in range(joins)], pa.binary()),
-                "shard": order.ravel().astype(np.int32),
-                "home": np.tile(np.arange(joins) == 0, n),
+                "label": pa.array([label] * len(row), pa.int64()),
+                "dim": pa.array([dim] * len(row), pa.int32()),
+                "vec_id": ids[row],
+                "copies": copies[row],
+                "v": pa.array([blobs[i] for i in row], pa.binary()),
+                "shard": order[row, place].astype(np.int32),
+                "home": place == 0,
             }
         )
 
@@ -425,11 +433,12 @@ def _roots(names: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _recall(nodes: DataFrame, counts: DataFrame, threshold: float, audited: int) -> float:
-    """Found links over all links, for a bounded sample of nodes that have links, by brute force over all rows."""
-    lot = F.xxhash64(F.lit(3), F.col("vec_id"))
-    half = audited // 2
-    drawn = counts.orderBy(F.xxhash64(F.lit(4), F.col("vec_id"))).limit(half).select("vec_id")
-    drawn = drawn.union(nodes.orderBy(lot).limit(half).select("vec_id")).distinct()
+    """The lower of found links over all links and of the mean of that share per vector.
+
+    A bounded sample of all nodes is compared with all rows by brute force; those of it that have a link
+    count. It is drawn without regard to what was found, so vectors that lost all links show.
+    """
+    drawn = nodes.orderBy(F.xxhash64(F.lit(3), F.col("vec_id"))).limit(audited).select("vec_id")
     sample = nodes.join(F.broadcast(drawn), "vec_id").select("vec_id", "label", "dim", "v").collect()
     if not sample:
         return 1.0
@@ -452,5 +461,7 @@ def _recall(nodes: DataFrame, counts: DataFrame, threshold: float, audited: int)
                     yield pa.record_batch({"vec_id": ids, "want": hit.astype(np.int64) @ part.column("copies").to_numpy()})
 
     want = nodes.mapInArrow(count, "vec_id long, want long").groupBy("vec_id").agg(F.sum("want").alias("want"))
-    both = want.join(counts, "vec_id", "left").agg(F.sum("want"), F.sum(F.least("want", F.coalesce("n", F.lit(0))))).first()
-    return both[1] / both[0] if both[0] else 1.0
+    both = want.filter("want > 0").join(counts, "vec_id", "left")
+    found = F.least("want", F.coalesce("n", F.lit(0)))
+    got = both.agg(F.sum("want").alias("want"), F.sum(found).alias("found"), F.avg(found / F.col("want")).alias("mean")).first()
+    return min(got.found / got.want, got.mean) if got.want else 1.0

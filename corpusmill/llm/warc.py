@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.columns import whole_numbers
 from corpusmill.session import scratch_dir, spill
 
 FILE_BYTES = 1 << 30  # a run goes on in a new file after so many bytes
@@ -75,7 +76,7 @@ def write_archives(
     folder = folder or scratch_dir(spark)
     time = captured_at if captured_at is not None else F.timestamp_seconds(F.lit(1704067200) + F.coalesce(id_col, F.lit(0)))
     rows = pages.select(
-        F.col(id_col).cast("long").alias("page_id"),
+        whole_numbers(pages, id_col).alias("page_id"),
         F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"),
         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary").alias("payload"),
         time.alias("captured_at"),

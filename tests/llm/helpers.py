@@ -7,7 +7,8 @@ import re
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
-    "th long, key string, size string, component string, target int, `start.stop` string"
+    "th long, key string, size string, component string, target int, `start.stop` string, "
+    "gone long, _metadata string, copy string, _copy int, id_ long, spans string, _spans int, task int, nth long, block long"
 )
 EMPTY_SCHEMA = SCHEMA
 WHITE = r"[\x20\x09-\x0D]+"
@@ -41,12 +42,16 @@ def documents(seed: int = 3) -> list[tuple]:
     rows += [(5, texts[5]), (7, "other text of the same id, long enough to matter here"), (None, texts[0]), (None, None)]
     rng.shuffle(rows)
     return [
-        (i, t, "en", None if i == 2 else f"s{(i or 0) % 5}", len(t or ""), 1, "k", "z", "c", 2, "x") for i, t in rows
+        (i, t, "en", None if i == 2 else f"s{(i or 0) % 5}", len(t or ""), 1, "k", "z", "c", 2, "x",
+         1, "m", "y", 3, 4, "s", 5, 6, 7, 8)
+        for i, t in rows
     ]
 
 
 def frame(spark, rows: list[tuple] | None = None):
-    return spark.createDataFrame(documents() if rows is None else rows, SCHEMA)
+    """Rows as a table; those with fewer fields than the schema have nulls in the others."""
+    width = SCHEMA.count(",") + 1
+    return spark.createDataFrame([(*r, *[None] * (width - len(r))) for r in (documents() if rows is None else rows)], SCHEMA)
 
 
 def unique_ids(rows: list[tuple]) -> list[tuple]:

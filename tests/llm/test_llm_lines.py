@@ -39,7 +39,7 @@ def test_short_lines_of_all_lengths(spark):
     for n in range(1, 40):
         w = [f"w{n}x{i}" for i in range(n)]
         for k, line in enumerate([w, w[: n // 2] + w[n // 2 + 1 :], ["new", *w], [*w, "new"], [*w[:-1], "end"], w[::-1]]):
-            rows.append((100 * n + k, " ".join(line), "", "", 0, 0, "", "", "", 0, ""))
+            rows.append((100 * n + k, " ".join(line)))
     assert {r.doc_id: r.text for r in line_dedup(frame(spark, rows)).collect()} == expected(rows)
 
 

@@ -134,3 +134,14 @@ def test_given_sections(spark):
 def test_sections_of_odd_rows(spark):
     assert len({r.doc_id for r in token_counts(frame(spark), PATH).collect()}) == len({r[0] for r in documents()})
     assert token_counts(spark.createDataFrame([], SCHEMA), PATH).collect() == []
+
+
+def test_padding_of_powers_of_two(spark, whole):
+    """What is padded, with sequences of a power of two of ids left as they are, is no more than what the cuts were charged."""
+    docs = [(i, "Some words go here and there. " * (i % 40)) for i in range(400)]
+    got = pack(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), PATH, 128).collect()
+    check_pieces(got, docs, whole, 128)
+    lengths = {r.sequence_id: r.sequence_length for r in got}.values()
+    charged = sum(128 - n for n in lengths)
+    padded = sum(0 if n & (n - 1) == 0 else 128 - n for n in lengths)
+    assert padded <= charged <= 0.05 * 128 * len(lengths)

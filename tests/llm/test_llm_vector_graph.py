@@ -59,6 +59,28 @@ def test_against_brute_force(spark, graph):
     assert sum(found[i][1] == want[i][1] for i in want) >= 0.97 * len(want)
 
 
+def test_sparse_pairs_over_many_shards(spark):
+    """Pairs a little above the threshold among unrelated vectors: hard for shards, and no dense group hides a loss."""
+    rng, n, pairs, dim = np.random.default_rng(7), 33_000, 3000, 32
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u, r = x[:pairs], rng.normal(size=(pairs, dim))
+    r -= (r * u).sum(axis=1, keepdims=True) * u
+    t = rng.uniform(0.9305, 0.936, (pairs, 1))
+    x[-pairs:] = t * u + np.sqrt(1 - t * t) * r / np.linalg.norm(r, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: r.n_links for r in near_vectors(df, 0.93).collect()}
+    want = dict.fromkeys(range(n), 0)
+    for i in range(0, n, 3000):
+        row, column = np.nonzero(x[i : i + 3000] @ x.T >= 0.93)
+        for a in row[row + i != column] + i:
+            want[a] += 1
+    assert sum(want.values()) >= 2 * pairs
+    assert all(found[i] <= want[i] for i in want)
+    assert sum(found.values()) >= 0.95 * sum(want.values())
+    assert np.mean([found[i] / want[i] for i in want if want[i]]) >= 0.95
+
+
 def test_empty_table(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
 
