@@ -59,6 +59,7 @@ from corpusmill.operators.search import (
     recall_at_k,
     rename_result,
 )
+from corpusmill.operators.text_search import bm25_top_k, build_text_index, fuse_by_rank
 from corpusmill.operators.upkeep import apply_changes
 from corpusmill.plans.answer import prompts_for, retrieve
 from corpusmill.plans.ingest import ingest
@@ -496,6 +497,38 @@ def knn_project(spark, sf_dir):
     )
 
 
+@query(q.with_ctes(q.REQUESTS, q.bm25("select request_id as query_id, request as text from requests", K.ANN_RESULTS)) + """
+select query_id, rank, chunk_id, score from bm25""")
+def text_bm25_top16(spark, sf_dir):
+    """Every question of the conversations, by its words."""
+    questions = fx.request_log(spark, sf_dir).select(F.col("request_id").alias("query_id"), F.col("request").alias("text"))
+    return bm25_top_k(questions, build_text_index(spread(fx.passages(spark, sf_dir))), K.ANN_RESULTS)
+
+
+_OPENINGS = "select conv_id as query_id, arg_min(text, turn) as text from conversations where role = 'user' group by 1"
+
+
+@query(q.with_ctes(q.bm25(_OPENINGS, K.ANN_RESULTS), q.knn(K.ANN_RESULTS)) + f"""
+select query_id, chunk_id, score, row_number() over (partition by query_id order by score desc, chunk_id) as rank
+from (
+  select query_id, chunk_id, round(sum(1.0::double / (60 + rank)), 9) as score
+  from (
+    select query_id, chunk_id, rank from bm25
+    union all select query_id, chunk_id, rank from knn where query_id in (select query_id from ({_OPENINGS})))
+  group by 1, 2)
+qualify rank <= 16""")
+def text_hybrid_top16(spark, sf_dir):
+    """The first question of every conversation by its words, and by the vector of the same number; ranks made one."""
+    turns = fx.table(spark, sf_dir, "conversations").filter("role = 'user'")
+    questions = turns.groupBy(F.col("conv_id").alias("query_id")).agg(F.min_by("text", "turn").alias("text"))
+    words = bm25_top_k(questions, build_text_index(spread(fx.passages(spark, sf_dir))), K.ANN_RESULTS)
+    asked = fx.query_vectors(spark, sf_dir).join(questions, "query_id", "left_semi")
+    vectors = fx.vectors(spark, sf_dir)
+    n_cells = max(q.CELLS, -(-vectors.count() // VECTORS_PER_CELL))
+    near = exact_top_k(asked, vectors, K.ANN_RESULTS, key="chunk_id", skip_self=True, n_cells=n_cells)
+    return fuse_by_rank([words, near], K.ANN_RESULTS)
+
+
 # --- prompts and conversations -------------------------------------------------------------------------------
 
 

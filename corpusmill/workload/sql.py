@@ -154,6 +154,27 @@ ann as (
   where q.place <= {PROBES} and v.place = 1
   qualify rank <= 16)"""
 
+def bm25(asked: str, k: int) -> str:
+    """CTE ``bm25``: the best documents by their words for a SELECT of (query_id, text), by the formula over all pairs."""
+    split = lambda text: f"regexp_split_to_array(lower({text}), {lit(r'[^\p{L}\p{N}]+')})"
+    return f"""posts as (
+  select doc_id, t, count(*)::double as tf
+  from (select doc_id, unnest({split('text')}) as t from documents) where t <> '' group by all),
+sized as (select *, sum(tf) over (partition by doc_id) as len from posts),
+corpus as (select count(distinct doc_id)::double as n, sum(tf) / count(distinct doc_id) as mean from posts),
+holders as (select t, count(*)::double as df from posts group by 1),
+weights as (
+  select doc_id, t, round(
+    ln(1.0::double + (n - df + 0.5::double) / (df + 0.5::double))
+    * (tf * 2.2::double / (tf + 1.2::double * (0.25::double + 0.75::double * len / mean))) * 1e6::double)::bigint as weight
+  from sized join holders using (t), corpus),
+wanted as (select distinct query_id, t from (select query_id, unnest({split('text')}) as t from ({asked}))),
+bm25 as (
+  select query_id, doc_id as chunk_id, round(sum(weight) / 1e6::double, 6) as score,
+    row_number() over (partition by query_id order by sum(weight) desc, doc_id) as rank
+  from wanted join weights using (t) group by 1, 2 qualify rank <= {k})"""
+
+
 REQUESTS = """requests as (
   select * from (
     select conv_id || '-' || turn as request_id, conv_id, turn, text as request, role,

@@ -13,6 +13,7 @@ from corpusmill.operators.chunk import fixed_windows
 from corpusmill.operators.embed import fit_hash_embedder
 from corpusmill.operators.prompt import messages
 from corpusmill.operators.quality import WITH_TRUTH
+from corpusmill.operators.text_search import build_text_index
 from corpusmill.plans.answer import prompts_for, retrieve
 from corpusmill.plans.ingest import index_chunks, ingest, open_corpus, reread
 from corpusmill.plans.review import quality_report, save_evaluation_set
@@ -51,6 +52,13 @@ def test_files_to_prompts(spark, tmp_path):
         assert np.allclose(got, want, atol=2e-5)
     again = open_corpus(spark, name, corpus.index.path)
     assert sorted(retrieve(questions, again, k=2, nprobe=3, threshold=0.2).collect()) == sorted(rows)
+    words = build_text_index(corpus.chunks)
+    by_words = {r.request_id: r for r in retrieve(questions, corpus, k=1, query_type="words", words=words).collect()}
+    assert {i: r.doc_uri.rsplit("/", 1)[-1] for i, r in by_words.items()} == {"1": "dogs.html", "2": "fish.html"}
+    both = retrieve(questions, corpus, k=4, nprobe=3, threshold=0.2, query_type="hybrid", words=words).collect()
+    assert {r.chunk_id for r in by_words.values()} <= {r.chunk_id for r in both} and set(both[0].asDict()) == set(rows[0].asDict())
+    with pytest.raises(ValueError, match="needs an index"):
+        retrieve(questions, corpus, query_type="hybrid")
     other = fit_hash_embedder(questions, "request")
     with pytest.raises(ValueError, match="index holds"):
         open_corpus(spark, name, corpus.index.path, embedder=other)
