@@ -1,9 +1,9 @@
 """Search by words: an inverted index with block maxima, exact BM25 top k, and fusion of rankings by rank.
 
-The index holds one row per (chunk, term) in blocks of some thousand chunks. It stores what a term weighs in a
+The index holds one row per (chunk, term) in blocks of a thousand chunks. It stores what a term weighs in a
 chunk without the term's rarity, so a posting never meets the counts of its term: rarity is applied to the few
-terms that queries ask. All joins with postings are by (block, term), so a word that every chunk holds is
-spread over all blocks.
+terms that queries ask. Postings meet queries by block, so a word that every chunk holds is spread over all blocks,
+and many queries for one block are cut into parts.
 """
 
 from __future__ import annotations
@@ -11,8 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusmill.constants import ANN_RESULTS
 from corpusmill.operators.search import rank_top_k
@@ -21,7 +26,9 @@ from corpusmill.session import scratch_dir, spill
 SATURATION = 1.2  # k1
 LENGTH_SHARE = 0.75  # b
 UNIT = 1e6  # weights are whole millionths, so sums and bounds are exact in any order
-CHUNKS_PER_BLOCK = 4096
+CHUNKS_PER_BLOCK = 1024
+QUERIES_PER_PART = 4096
+QUERY_BATCH = 512  # rows of the score matrix of a block
 CHAMPIONS = 64  # best postings kept per term, from which a first floor follows
 FUSION_CONSTANT = 60
 
@@ -117,24 +124,26 @@ def bm25_top_k(
     A term counts once per query. Weights are rounded to millionths before they are added, ties go to the smaller
     key. A query without terms that the corpus holds, or without text, has no hits; ``query_id`` must be unique.
 
+    A chunk whose weights all round to zero is no hit.
+
     First the best postings of each term give every query a floor. Terms whose highest weights add up to less than the
-    floor (the common words) cannot bring a chunk to the top alone, so candidates come from the other terms only,
-    and of those only from blocks whose maxima reach the floor. Candidates that still can reach it get their full sum.
+    floor (the common words) cannot bring a chunk to the top alone, so a block must hold one of the others, and its
+    maxima must reach the floor. What is left of (query, block) meets the block's postings.
     """
     if not 0 < k <= CHAMPIONS:
         raise ValueError(f"k is 1 to {CHAMPIONS}, not {k}")
     asked = queries.select(F.col(query_id).alias("query"), F.explode(F.array_distinct(terms(text))).alias("term"))
     asked = asked.join(index.terms, "term").select("query", "term", "rarity", _points("weight").alias("top"))
     asked = spill(asked)
-    lead, rest = _split_terms(asked, _floors(asked, index, k))
-
-    per_block = Window.partitionBy("query", "block")
-    reach = lead.join(index.maxima, "term").withColumn("bound", F.sum(_points("weight")).over(per_block))
-    reach = reach.filter(F.col("bound") + F.col("below") >= F.col("floor")).drop("weight", "bound", "top")
-    met = reach.join(index.postings, ["block", "term"])
-    candidates = met.groupBy("query", "block", "key", "floor", "below").agg(F.sum(_points("weight")).alias("part"))
-    candidates = candidates.filter(F.col("part") + F.col("below") >= F.col("floor")).drop("floor", "below")
-    hits = rank_top_k(_completed(spill(candidates), rest, index), k, "query", "key")
+    lead = _leading_terms(asked, _floors(asked, index, k))
+
+    reach = lead.join(index.maxima, "term").groupBy("query", "block", "floor", "below")
+    reach = reach.agg(F.sum(_points("weight")).alias("bound")).filter("bound + below >= floor")
+    words = asked.groupBy("query").agg(F.collect_list(F.struct("term", "rarity")).alias("words"))
+    n_parts = max(1, -(-words.count() // QUERIES_PER_PART))
+    part = F.pmod(F.xxhash64("query"), F.lit(n_parts)).cast("int")
+    pairs = spill(reach.select("query", "block", "floor").join(words, "query").withColumn("part", part))
+    hits = rank_top_k(_scored(pairs, asked, index, k), k, "query", "key")
     return hits.select(
         F.col("query").alias(query_id),
         "rank",
@@ -191,15 +200,78 @@ def _floors(asked: DataFrame, index: TextIndex, k: int) -> DataFrame:
     return total.filter(F.col("rank") == k).select("query", F.col("score").alias("floor"))
 
 
-def _split_terms(asked: DataFrame, floors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Terms that can bring a chunk to the floor, with floor and the sum of the others; the others."""
+def _leading_terms(asked: DataFrame, floors: DataFrame) -> DataFrame:
+    """Terms that can bring a chunk to the floor, with the floor and the sum of the other terms' highest weights."""
     rising = Window.partitionBy("query").orderBy("top", "term").rowsBetween(Window.unboundedPreceding, 0)
     known = asked.join(floors, "query", "left").withColumn("floor", F.coalesce("floor", F.lit(0).cast("long")))
     summed = known.withColumn("sum", F.sum("top").over(rising))
     light = F.col("sum") < F.col("floor")
     below = F.max(F.when(light, F.col("sum"))).over(Window.partitionBy("query"))
-    marked = spill(summed.withColumn("light", light).withColumn("below", F.coalesce(below, F.lit(0).cast("long"))))
-    return marked.filter(~F.col("light")).drop("light", "sum"), marked.filter("light").select("query", "term", "rarity")
+    marked = summed.withColumn("light", light).withColumn("below", F.coalesce(below, F.lit(0).cast("long")))
+    return marked.filter(~F.col("light")).select("query", "term", "rarity", "floor", "below")
+
+
+def _scored(pairs: DataFrame, asked: DataFrame, index: TextIndex, k: int) -> DataFrame:
+    """(query, key, score): local top ``k`` of every (query, block) given; only postings of asked terms are moved."""
+    wanted = index.postings.join(asked.select("term").distinct(), "term", "left_semi")
+    parts = pairs.select("block", F.col("part").alias("of")).distinct()
+    met = wanted.join(parts, "block").select("block", "key", "term", "weight", F.col("of").alias("part"))
+    schema = T.StructType(
+        [pairs.schema["query"], index.postings.schema["key"], T.StructField("score", T.LongType())]
+    )
+    arrow_schema = to_arrow_schema(schema)
+
+    def score(queries: pa.Table, postings: pa.Table) -> pa.Table:
+        if queries.num_rows == 0 or postings.num_rows == 0:
+            return arrow_schema.empty_table()
+        found = _best_of_block(queries, postings, k)
+        return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(found, arrow_schema, strict=True)], schema=arrow_schema)
+
+    by = ["block", "part"]
+    return pairs.groupBy(*by).cogroup(met.groupBy(*by)).applyInArrow(score, schema)
+
+
+def _best_of_block(queries: pa.Table, postings: pa.Table, k: int) -> list[pa.Array]:
+    """Columns query, key, score: sums of the weights of each query's terms in a matrix of queries by chunks."""
+    chunk = postings["key"].combine_chunks().dictionary_encode()
+    in_order = pc.sort_indices(chunk.dictionary).to_numpy()
+    place = np.empty(len(in_order), np.int64)
+    place[in_order] = np.arange(len(in_order))
+    keys = chunk.dictionary.take(pa.array(in_order))
+    column = place[chunk.indices.to_numpy(zero_copy_only=False)]
+    held = postings["term"].combine_chunks().dictionary_encode()
+    term = held.indices.to_numpy(zero_copy_only=False)
+    by_term = np.argsort(term, kind="stable")
+    cuts = np.searchsorted(term[by_term], np.arange(len(held.dictionary) + 1))
+
+    lists = queries["words"].combine_chunks()
+    words = lists.flatten()
+    row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    code = pc.index_in(words.field("term"), value_set=held.dictionary).fill_null(-1).to_numpy(zero_copy_only=False)
+    rarity = np.zeros(len(held.dictionary))
+    rarity[code[code >= 0]] = words.field("rarity").to_numpy(zero_copy_only=False)[code >= 0]
+    points = rarity[term] * postings["weight"].to_numpy() * UNIT
+    points = (np.floor(points) + (points - np.floor(points) >= 0.5)).astype(np.int64)
+
+    floor = np.maximum(queries["floor"].to_numpy(), 1)
+    found = []
+    for start in range(0, len(lists), QUERY_BATCH):
+        rows = min(QUERY_BATCH, len(lists) - start)
+        here = np.flatnonzero((row >= start) & (row < start + rows) & (code >= 0))
+        here = here[np.argsort(code[here], kind="stable")]
+        scores = np.zeros((rows, len(keys)), np.int64)
+        for group in np.split(here, np.flatnonzero(np.diff(code[here])) + 1):
+            if len(group):
+                those = by_term[cuts[code[group[0]]] : cuts[code[group[0]] + 1]]
+                scores[np.ix_(row[group] - start, column[those])] += points[those]
+        r, c = np.nonzero(scores >= floor[start : start + rows, None])
+        value = scores[r, c]
+        order = np.lexsort((c, -value, r))
+        r, c, value = r[order], c[order], value[order]
+        best = np.arange(len(r)) - np.searchsorted(r, r) < k
+        found.append((r[best] + start, c[best], value[best]))
+    r, c, value = (np.concatenate(part) for part in zip(*found, strict=True))
+    return [queries["query"].combine_chunks().take(pa.array(r)), keys.take(pa.array(c)), pa.array(value)]
 
 
 def _completed(candidates: DataFrame, asked: DataFrame, index: TextIndex) -> DataFrame:

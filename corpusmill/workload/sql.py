@@ -172,7 +172,7 @@ wanted as (select distinct query_id, t from (select query_id, unnest({split('tex
 bm25 as (
   select query_id, doc_id as chunk_id, round(sum(weight) / 1e6::double, 6) as score,
     row_number() over (partition by query_id order by sum(weight) desc, doc_id) as rank
-  from wanted join weights using (t) group by 1, 2 qualify rank <= {k})"""
+  from wanted join weights using (t) group by 1, 2 having sum(weight) > 0 qualify rank <= {k})"""
 
 
 REQUESTS = """requests as (

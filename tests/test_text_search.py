@@ -68,14 +68,16 @@ def test_equals_plain_scores(spark, k, n_blocks):
     assert found[103, 1]
 
 
-def test_common_words_bring_no_candidates(spark, monkeypatch):
-    chunks, seen = [(i, "the the " + f"rare{i % 50}") for i in range(500)], []
+def test_blocks_of_common_words_are_left_out(spark, monkeypatch):
+    chunks, seen = [(i, "the the " + f"rare{i}") for i in range(500)], []
     index = build_text_index(spark.createDataFrame(chunks, CHUNKS), n_blocks=25)
-    complete = text_search._completed
-    monkeypatch.setattr(text_search, "_completed", lambda c, *more: (seen.append(c), complete(c, *more))[1])
-    queries = [(1, "the rare7")]
-    assert got(bm25_top_k(spark.createDataFrame(queries, QUERIES), index, 5)) == plain(queries, chunks, 5)
-    assert seen[-1].count() == 10  # chunks with the rare word, of 500 with the common one
+    scored = text_search._scored
+    monkeypatch.setattr(text_search, "_scored", lambda pairs, *more: (seen.append(pairs), scored(pairs, *more))[1])
+    monkeypatch.setattr(text_search, "QUERIES_PER_PART", 2)
+    queries = [(i, f"the rare{i} rare{i + 1}") for i in range(5)]
+    assert got(bm25_top_k(spark.createDataFrame(queries, QUERIES), index, 2)) == plain(queries, chunks, 2)
+    assert seen[0].count() <= 10  # two blocks a query, of 25 that hold the common word
+    assert seen[0].select("part").distinct().count() > 1
 
 
 def test_few_chunks_other_names_and_types(spark):
@@ -106,8 +108,8 @@ def test_fused_by_places_only(spark):
     assert fused.first()["score"] == round(1 / 61 + 1 / 63, 9)
 
 
-def test_postings_meet_by_block_and_term(spark):
-    """No join of postings goes by the term alone, so a word of every chunk is spread over all blocks."""
+def test_a_common_word_is_spread_over_blocks(spark):
+    """Postings meet queries by block, so no task gets all postings of a word that every chunk holds."""
     index = build_text_index(spark.createDataFrame(corpus(9), CHUNKS), n_blocks=8)
     largest = index.postings.groupBy("block", "term").count().agg(F.max("count")).first()[0]
     assert largest < index.postings.filter("term = 'the'").count() / 4
