@@ -20,10 +20,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"  # fixed values: what separates words
 
 
-def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-
-
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
