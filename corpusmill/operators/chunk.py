@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections import deque
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from functools import partial
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -53,15 +56,24 @@ def recursive_splitter(
     overlap: int = CHUNK_OVERLAP,
     length: Callable[[str], int] | None = None,
     separators: Sequence[str] = SEPARATORS,
+    lengths: Callable[[list[str]], list[int]] | None = None,
 ) -> Chunker:
     """Split at the coarsest separator that works, then pack pieces into chunks.
 
-    ``length`` counts the tokens of a string (default: white-space tokens).
+    ``length`` counts the tokens of a string (default: white-space tokens); ``lengths`` those of many strings at
+    once, such as the batch encoding of an embedding model's tokenizer. It is called once per depth of a batch.
+    A chunk's length is that of its pieces and of the separators between them.
     """
     _check(size, overlap)
-    count = length or _count_tokens
+    if length and lengths:
+        raise ValueError("give length or lengths")
+    count = lengths or partial(_each, length or _count_tokens)
     seps = tuple(separators)
-    return python_chunker(lambda text: list(_chunks(text, size, overlap, count, seps)))
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(recursive_chunks(texts.to_pylist(), size, overlap, count, seps), type=pa.list_(pa.string()))
+
+    return lambda text: F.arrow_udf(run, "array<string>")(text)
 
 
 def compute_chunks(
@@ -107,41 +119,86 @@ def _count_tokens(text: str) -> int:
     return len(text.split())
 
 
-def _chunks(text: str, size: int, overlap: int, count: Callable[[str], int], seps: tuple[str, ...]) -> Iterator[str]:
-    at = next((i for i, s in enumerate(seps) if s in text), None)
+def _each(length: Callable[[str], int], texts: list[str]) -> list[int]:
+    return [length(t) for t in texts]
+
+
+@dataclass
+class _Run:
+    """Neighbouring pieces of one split that fit a chunk each, with their lengths."""
+
+    sep: str
+    pieces: list[str]
+    sizes: list[int]
+
+
+def recursive_chunks(
+    texts: Sequence[str | None], size: int, overlap: int, lengths: Callable[[list[str]], list[int]], seps: tuple[str, ...]
+) -> list[list[str] | None]:
+    """Chunks of every text, None for None. Work is linear in the texts.
+
+    All pieces of one depth, of all texts, are measured by one call of ``lengths``; no deeper than there are
+    separators. A piece over ``size`` closes the run of fitting ones before it and is split further.
+    """
+    # Per text, in order: finished runs, single chunks, and pieces yet to be split as (piece, finer separators).
+    items: list[list[_Run | str | tuple]] = [[] if t is None else [(t, seps)] for t in texts]
+    waiting = [i for i, t in enumerate(texts) if t is not None]
+    while waiting:
+        opened = [(i, item) for i in waiting for item in items[i] if isinstance(item, tuple)]
+        split = [_split(piece, finer) for _, (piece, finer) in opened]
+        counted = iter(lengths([p for pieces, _, _ in split for p in pieces]))
+        parts = iter([_runs(pieces, sep, finer, counted, size) for pieces, sep, finer in split])
+        for i in waiting:
+            items[i] = [new for old in items[i] for new in (next(parts) if isinstance(old, tuple) else [old])]
+        waiting = [i for i in waiting if any(isinstance(item, tuple) for item in items[i])]
+    gaps = dict(zip(seps, lengths(list(seps)), strict=True)) | {"": 0}
+    return [
+        None if t is None else [c for item in items[i] for c in _chunks_of(item, size, overlap, gaps)]
+        for i, t in enumerate(texts)
+    ]
+
+
+def _split(piece: str, seps: tuple[str, ...]) -> tuple[list[str], str, tuple[str, ...]]:
+    """Pieces by the coarsest separator that occurs, that separator, and the finer ones; characters as a last resort."""
+    at = next((i for i, s in enumerate(seps) if s in piece), None)
     sep, finer = ("", ()) if at is None else (seps[at], seps[at + 1 :])
-    fitting: list[tuple[str, int]] = []
-    for part in filter(None, text.split(sep) if sep else text):
-        n = count(part)
-        if n <= size:
-            fitting.append((part, n))
-            continue
-        # An oversized part closes the run of fitting ones and is split further.
-        yield from _pack(fitting, sep, size, overlap, count)
-        fitting = []
-        if finer:
-            yield from _chunks(part, size, overlap, count, finer)
+    return [p for p in (piece.split(sep) if sep else piece) if p], sep, finer
+
+
+def _runs(
+    pieces: list[str], sep: str, finer: tuple[str, ...], sizes: Iterator[int], size: int
+) -> list[_Run | str | tuple]:
+    found: list[_Run | str | tuple] = []
+    for piece in pieces:
+        n = next(sizes)
+        if n > size:
+            found.append((piece, finer) if finer else piece)
         else:
-            yield part
-    yield from _pack(fitting, sep, size, overlap, count)
-
-
-def _pack(parts: list[tuple[str, int]], sep: str, size: int, overlap: int, count: Callable[[str], int]) -> Iterator[str]:
-    """Join neighbouring parts up to ``size``; start the next chunk with a tail <= ``overlap``."""
-    gap = count(sep) if sep else 0
-    window: deque[tuple[str, int]] = deque()
-    total = 0
-    for part, n in parts:
-        if window and total + gap + n > size:
-            yield from _text(window, sep)
-            while window and (total > overlap or total + gap + n > size):
-                total -= window.popleft()[1] + (gap if window else 0)
-        total += n + (gap if window else 0)
-        window.append((part, n))
-    yield from _text(window, sep)
-
-
-def _text(window: deque[tuple[str, int]], sep: str) -> Iterator[str]:
-    text = sep.join(p for p, _ in window).strip()
-    if text:
-        yield text
+            if not (found and isinstance(found[-1], _Run)):
+                found.append(_Run(sep, [], []))
+            found[-1].pieces.append(piece)
+            found[-1].sizes.append(n)
+    return found
+
+
+def _chunks_of(item: _Run | str, size: int, overlap: int, gaps: dict[str, int]) -> Iterator[str]:
+    if isinstance(item, str):
+        yield item
+        return
+    for start, end in _cuts(item.sizes, gaps[item.sep], size, overlap):
+        text = item.sep.join(item.pieces[start:end]).strip()
+        if text:
+            yield text
+
+
+def _cuts(sizes: list[int], gap: int, size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """Longest windows of at most ``size``; the next starts with the longest tail of at most ``overlap`` that leaves room."""
+    reach = [0, *accumulate(n + gap for n in sizes)]  # pieces s to e take reach[e] - reach[s] - gap
+    start = 0
+    while True:
+        end = bisect_right(reach, reach[start] + gap + size, lo=start + 1) - 1
+        yield start, end
+        if end == len(sizes):
+            return
+        least = max(reach[end] - gap - overlap, reach[end + 1] - gap - size)
+        start = min(bisect_left(reach, least, lo=start + 1), end)

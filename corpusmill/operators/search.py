@@ -31,6 +31,7 @@ VECTOR_PART_BYTES = 128 << 20
 VECTORS_PER_CELL = 10_000  # where the number of cells follows from the size of the table
 # Rounded scores differ from true ones by half a unit of the last digit.
 SLACK = 2e-6
+MEETING = ["cell", "q_part", "v_part"]
 
 
 @dataclass(frozen=True)
@@ -255,15 +256,35 @@ def _score_cells(
     query_cells: DataFrame, index: VectorIndex, k: int, query_id: str, skip_self: bool,
     query_part: int | None = None, vector_part: int | None = None,
 ) -> DataFrame:
-    """Local top ``k`` of every (query, cell) row given, through an equi-join on cells.
+    """Local top ``k`` of every (query, cell) row given, through an equi-join on cells."""
+    key = index.key
+    query_part = query_part or max(1, QUERY_PART_BYTES // (index.dim * 8))
+    vector_part = vector_part or max(1, VECTOR_PART_BYTES // (index.dim * 8))
+    left, right = meet_in_cells(query_cells, index, index.vectors, "embedding", query_id, query_part, vector_part)
+    schema = _hit_schema(left.schema[query_id].dataType, right.schema[key].dataType, query_id, key)
+    arrow_schema = to_arrow_schema(schema)
+
+    def score(q: pa.Table, v: pa.Table) -> pa.Table:
+        if q.num_rows == 0 or v.num_rows == 0:
+            return arrow_schema.empty_table()
+        top = TopK(ids_of(q[query_id]), matrix(q["q_embedding"]), k, skip_self)
+        top.add(ids_of(v[key]), matrix(v["embedding"]))
+        return pa.Table.from_batches([_hits(top, schema)])
+
+    return left.groupBy(*MEETING).cogroup(right.groupBy(*MEETING)).applyInArrow(score, schema)
+
 
-    A cell with more than ``vector_part`` vectors or ``query_part`` queries is cut into
-    parts by hash of the ids; every query part meets every vector part once. The table
-    of parts has one row per cell.
+def meet_in_cells(
+    query_cells: DataFrame, index: VectorIndex, stored_vectors: DataFrame, column: str, query_id: str,
+    query_part: int, vector_part: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the (query, cell) rows given, to be cogrouped by ``MEETING``.
+
+    ``column`` of ``stored_vectors`` is what a vector brings. A cell with more than ``vector_part`` vectors or
+    ``query_part`` queries is cut into parts by hash of the ids; every query part meets every vector part once.
+    The table of parts has one row per cell.
     """
     spark, key = query_cells.sparkSession, index.key
-    query_part = query_part or max(1, QUERY_PART_BYTES // (index.dim * 8))
-    vector_part = vector_part or max(1, VECTOR_PART_BYTES // (index.dim * 8))
     stored = spill(query_cells)
     asked = {r["cell"]: r["n"] for r in stored.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = spark.createDataFrame(
@@ -286,22 +307,11 @@ def _score_cells(
         query_id, F.col("embedding").alias("q_embedding"), "cell",
         part_of(query_id, "q_parts").alias("q_part"), every("v_parts").alias("v_part"),
     )
-    near = index.vectors.filter(F.col("cell").isin(list(asked)))  # prunes the partitions that are read
+    near = stored_vectors.filter(F.col("cell").isin(list(asked)))  # prunes the partitions that are read
     right = near.join(bounded, "cell").select(
-        key, "embedding", "cell", part_of(key, "v_parts").alias("v_part"), every("q_parts").alias("q_part")
+        key, column, "cell", part_of(key, "v_parts").alias("v_part"), every("q_parts").alias("q_part")
     )
-    schema = _hit_schema(stored.schema[query_id].dataType, index.vectors.schema[key].dataType, query_id, key)
-    arrow_schema = to_arrow_schema(schema)
-    by = ["cell", "q_part", "v_part"]
-
-    def score(q: pa.Table, v: pa.Table) -> pa.Table:
-        if q.num_rows == 0 or v.num_rows == 0:
-            return arrow_schema.empty_table()
-        top = TopK(ids_of(q[query_id]), matrix(q["q_embedding"]), k, skip_self)
-        top.add(ids_of(v[key]), matrix(v["embedding"]))
-        return pa.Table.from_batches([_hits(top, schema)])
-
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(score, schema)
+    return left, right
 
 
 def _cells_within_reach(bounded: DataFrame, index: VectorIndex, query_id: str, nprobe: int) -> DataFrame:

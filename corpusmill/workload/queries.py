@@ -22,6 +22,7 @@ from corpusmill.functions.text import (
 )
 from corpusmill.operators.chat import requests_with_history, requests_with_responses, transcript
 from corpusmill.operators.chunk import compute_chunks, fixed_windows, recursive_splitter
+from corpusmill.operators.compressed import compress_index, compressed_top_k, hash_codebooks, scored_bytes
 from corpusmill.operators.embed import fit_hash_embedder
 from corpusmill.constants import INSPECT_COLUMNS, SAVED_COLUMNS
 from corpusmill.operators.evalset import (
@@ -358,7 +359,9 @@ def doc_success_only(spark, sf_dir):
 # --- chunks ---------------------------------------------------------------------------------------------
 
 
-@query()
+@query(q.with_recursive(q.DOCS, q.RECURSIVE_CHUNKS) + """
+select md5(doc_uri || '|' || chunk_index) as chunk_id, chunk_index, chunk as content_chunked, doc_uri
+from recursive_chunks join docs using (src_key)""")
 def chunk_recursive(spark, sf_dir):
     chunks = compute_chunks(fx.docs(spark, sf_dir), recursive_splitter())
     return chunks.select("chunk_id", "chunk_index", "content_chunked", "doc_uri")
@@ -471,6 +474,37 @@ def knn_ann_recall(spark, sf_dir):
     return recall_at_k(_ann(spark, sf_dir), _exact(spark, sf_dir, K.ANN_RESULTS), "query_id", "chunk_id")
 
 
+def _compressed(spark, sf_dir):
+    vectors = fx.vectors(spark, sf_dir)
+    index = build_index(vectors, hash_pivots(vectors, q.CELLS, "chunk_id"), "chunk_id")
+    return compress_index(index, hash_codebooks(vectors, q.CODE_PARTS, q.CODES, "chunk_id"))
+
+
+def _by_codes(spark, sf_dir, compressed):
+    asked = fx.query_vectors(spark, sf_dir)
+    return compressed_top_k(asked, compressed, K.ANN_RESULTS, q.PROBES, q.SURVIVORS, skip_self=True)
+
+
+@query(q.with_ctes(q.IVF, q.CODED) + "select query_id, rank, chunk_id, score from by_codes")
+def knn_pq_top16(spark, sf_dir):
+    return _by_codes(spark, sf_dir, _compressed(spark, sf_dir))
+
+
+@query(q.with_ctes(q.IVF, q.CODED, q.knn(K.ANN_RESULTS)) + f"""
+select count(*) as n_true, count(a.chunk_id) as n_found, round(count(a.chunk_id) / count(*), 6) as recall,
+  any_value(n_scored) as n_scored, any_value(n_scored * {q.CODE_PARTS})::bigint as code_bytes,
+  any_value(vector_bytes)::bigint as vector_bytes
+from knn k left join by_codes a on a.query_id = k.query_id and a.chunk_id = k.chunk_id,
+  (select count(*) as n_scored, sum(4 * len(v.embedding)) as vector_bytes
+   from near q join near v on q.cell = v.cell where q.place <= {q.PROBES} and v.place = 1)""")
+def knn_pq_recall(spark, sf_dir):
+    """What codes find of the true top 16, beside the bytes that codes and true vectors of the probed cells take."""
+    compressed = _compressed(spark, sf_dir)
+    found = recall_at_k(_by_codes(spark, sf_dir, compressed), _exact(spark, sf_dir, K.ANN_RESULTS), "query_id", "chunk_id")
+    read = scored_bytes(fx.query_vectors(spark, sf_dir), compressed, q.PROBES)
+    return found.join(read)  # one row each
+
+
 @query(q.with_ctes(q.knn(K.ANN_RESULTS)) + """
 select query_id, rank, chunk_id, score, score >= 0.27 as above_strict from knn where score >= 0.1""")
 def knn_threshold(spark, sf_dir):

@@ -121,6 +121,51 @@ chunks as (
     parser_status, doc_uri, example_metadata, last_modified_s
   from windows where len(w) > 0)"""
 
+def _count(expr: str) -> str:
+    return f"len(list_filter(regexp_split_to_array({expr}, {lit(SPACE + '+')}), lambda t: t <> ''))"
+
+
+_PIECES = "list_filter(string_split(piece, cut), lambda p: p <> '')"
+_JOINED = "case sep " + " ".join(
+    f"when {sep} then array_to_string(parts[s + 1 : e], {sep})" for sep in ("chr(10) || chr(10)", "chr(10)", "' '", "''")
+) + " end"
+# Pieces down to those of at most 384 tokens, runs of neighbours that fit, windows of a run by its running sums.
+RECURSIVE_CHUNKS = f"""
+tree as (
+  select src_key, []::bigint[] as parent, 0::bigint as place, doc_content as piece, '' as sep, true as large
+  from docs where parser_status = 'SUCCESS'
+  union all
+  select src_key, list_append(parent, place), i, p, cut, {_count('p')} > 384
+  from (
+    select src_key, parent, place, cut, unnest({_PIECES}) as p, unnest(range(len({_PIECES}))) as i
+    from (
+      select *, case when contains(piece, chr(10) || chr(10)) then chr(10) || chr(10)
+        when contains(piece, chr(10)) then chr(10) when contains(piece, ' ') then ' ' else '' end as cut
+      from tree where large))),
+pieces as (
+  select *, sum(large::int) over (partition by src_key, parent order by place) as run, {_count('piece')} as n
+  from tree where len(parent) > 0),
+runs as (
+  select src_key, parent, min(place) as place, any_value(sep) as sep, list(piece order by place) as parts,
+    list_concat([0], list(reach order by place)) as reach
+  from (
+    select *, sum(n) over (partition by src_key, parent, run order by place)::bigint as reach from pieces where not large)
+  group by src_key, parent, run),
+cuts as (
+  select src_key, parent, place, 0::bigint as s, len(list_filter(reach, lambda x: x <= 384)) - 1 as e from runs
+  union all
+  select src_key, parent, place, next, len(list_filter(reach, lambda x: x <= reach[next + 1] + 384)) - 1
+  from (
+    select c.*, reach, least(e, greatest(s + 1,
+      len(list_filter(reach, lambda x: x < greatest(reach[e + 1] - 128, reach[e + 2] - 384))))) as next
+    from cuts c join runs using (src_key, parent, place) where e < len(parts))),
+recursive_chunks as (
+  select src_key, row_number() over (partition by src_key order by list_append(parent, place), s) - 1 as chunk_index, chunk
+  from (
+    select *, {strip(_JOINED)} as chunk
+    from cuts join runs using (src_key, parent, place))
+  where chunk <> '')"""
+
 PASSAGES = """passages as (
   select doc_id as chunk_id, text as content_chunked, 'corpus/' || source || '/' || doc_id || '.txt' as doc_uri, lang
   from documents)"""
@@ -154,6 +199,41 @@ ann as (
   where q.place <= {PROBES} and v.place = 1
   qualify rank <= 16)"""
 
+CODE_PARTS = 16
+CODES = 64
+SURVIVORS = 64
+_UNIT = "list_transform(embedding, lambda x: x::double / sqrt(list_dot_product(embedding::double[], embedding::double[])))"
+_WIDTH = f"(len(e) // {CODE_PARTS})"
+# Needs ``near`` of IVF: code words by digest, the nearest word of every part, scores as sums of a table, the true cosine.
+CODED = f"""units as (select vec_id, {_UNIT} as e, md5(vec_id::varchar) as digest from embeddings),
+cut as (
+  select vec_id, digest, part, e[part * {_WIDTH} + 1 : (part + 1) * {_WIDTH}] as x
+  from units, (select unnest(range(0, {CODE_PARTS})) as part)),
+book as (
+  select part, row_number() over (partition by part order by digest, vec_id) - 1 as code, x as word
+  from cut qualify code < {CODES}),
+products as (
+  select vec_id, part, code, list_dot_product(x, word) as product, list_dot_product(word, word) / 2 as half
+  from cut join book using (part)),
+codes as (
+  select vec_id, part, code
+  from products qualify row_number() over (partition by vec_id, part order by round(product - half, 6) desc, code) = 1),
+scored as (
+  select q.vec_id as query_id, v.vec_id as chunk_id, sum(round(t.product * 1e6)::bigint) as points
+  from near q join near v on q.cell = v.cell and q.vec_id <> v.vec_id
+    join codes c on c.vec_id = v.vec_id
+    join products t on t.vec_id = q.vec_id and t.part = c.part and t.code = c.code
+  where q.place <= {PROBES} and v.place = 1 group by 1, 2),
+survivors as (
+  select query_id, chunk_id from scored
+  qualify row_number() over (partition by query_id order by points desc, chunk_id) <= {SURVIVORS}),
+by_codes as (
+  select query_id, chunk_id, {cosine('q.embedding', 'v.embedding')} as score,
+    row_number() over (partition by query_id order by {cosine('q.embedding', 'v.embedding')} desc, chunk_id) as rank
+  from survivors join embeddings q on q.vec_id = query_id join embeddings v on v.vec_id = chunk_id
+  qualify rank <= 16)"""
+
+
 def bm25(asked: str, k: int) -> str:
     """CTE ``bm25``: the best documents by their words for a SELECT of (query_id, text), by the formula over all pairs."""
     split = lambda text: f"regexp_split_to_array(lower({text}), {lit(r'[^\p{L}\p{N}]+')})"
@@ -272,3 +352,7 @@ labelled as (
 
 def with_ctes(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
+
+
+def with_recursive(*ctes: str) -> str:
+    return "with recursive " + ",\n".join(ctes) + "\n"

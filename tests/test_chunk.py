@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import random
+from collections import deque
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators.chunk import (
-    SEPARATORS, _chunks, compute_chunks, fixed_windows, python_chunker, recursive_splitter,
+    SEPARATORS, compute_chunks, fixed_windows, python_chunker, recursive_chunks, recursive_splitter,
 )
 from corpusmill.workload import fixtures as fx
 
@@ -35,6 +36,77 @@ def test_fixed_windows(spark, size, overlap):
     assert [(r.doc_uri, r.chunk_index, r.content_chunked) for r in got] == want
 
 
+def _chunks(text, size, overlap, count, seps):
+    return recursive_chunks([text], size, overlap, lambda many: [count(t) for t in many], seps)[0]
+
+
+def plain_chunks(text, size, overlap, count, seps):
+    """The same by recursion, one piece after the other and a sliding window."""
+    at = next((i for i, s in enumerate(seps) if s in text), None)
+    sep, finer = ("", ()) if at is None else (seps[at], seps[at + 1 :])
+    fitting = []
+    for part in filter(None, text.split(sep) if sep else text):
+        if count(part) <= size:
+            fitting.append(part)
+            continue
+        yield from plain_windows(fitting, sep, size, overlap, count)
+        fitting = []
+        if finer:
+            yield from plain_chunks(part, size, overlap, count, finer)
+        else:
+            yield part
+    yield from plain_windows(fitting, sep, size, overlap, count)
+
+
+def plain_windows(parts, sep, size, overlap, count):
+    gap, window = count(sep) if sep else 0, deque()
+
+    def total(more=()):
+        held = [*window, *more]
+        return sum(map(count, held)) + gap * max(0, len(held) - 1)
+
+    for part in parts:
+        if window and total([part]) > size:
+            yield from filter(None, [sep.join(window).strip()])
+            while window and (total() > overlap or total([part]) > size):
+                window.popleft()
+        window.append(part)
+    yield from filter(None, [sep.join(window).strip()])
+
+
+COUNTS = {
+    "words": lambda t: len(t.split()),
+    "characters": len,
+    "word pieces": lambda t: sum(-(-len(w) // 3) for w in t.split(" ")) + t.count("\n"),
+}
+
+
+@pytest.mark.parametrize("count", COUNTS.values(), ids=COUNTS)
+@pytest.mark.parametrize("seed", range(40))
+def test_recursive_equals_plain_recursion(seed, count):
+    rng = random.Random(seed)
+    texts = [None, "", " ", "\n\n\n"] + [
+        "".join(rng.choice(["a", "bb", "ccccc", "d" * 17, "", "\u3000"]) + rng.choice([" "] * 6 + ["\n"] * 3 + ["\n\n", "\n \n", "  ", ""])
+                for _ in range(rng.randrange(70)))
+        for _ in range(6)
+    ]
+    size = rng.randrange(1, 25)
+    overlap = rng.randrange(0, size)
+    seps = SEPARATORS if seed % 3 else SEPARATORS[:3]
+    calls = []
+    got = recursive_chunks(texts, size, overlap, lambda many: calls.append(1) or [count(t) for t in many], seps)
+    assert got == [None if t is None else list(plain_chunks(t, size, overlap, count, seps)) for t in texts]
+    assert len(calls) <= len(seps) + 1
+
+
+def test_lengths_of_a_batch(spark):
+    df = spark.createDataFrame([("u", "aa bb cc dd"), ("v", None)], "doc_uri string, doc_content string")
+    by_letters = recursive_splitter(6, 3, lengths=lambda many: [len(t) for t in many])
+    assert [r.content_chunked for r in compute_chunks(df, by_letters).orderBy("chunk_index").collect()] == ["aa bb", "bb cc", "cc dd"]
+    with pytest.raises(ValueError):
+        recursive_splitter(length=len, lengths=lambda many: [1 for _ in many])
+
+
 def check_cover(text, chunks, size, overlap):
     """Chunks hold all tokens in order; each starts at most ``overlap`` tokens back."""
     words, end = text.split(), 0

@@ -10,7 +10,6 @@ from corpusmill.workload import queries as workload
 
 # Queries SQL cannot say, and where they are checked instead.
 WITHOUT_SQL = {
-    "chunk_recursive": "test_chunk",
     "job_files_to_prompts": "test_jobs",
 }
 
