@@ -66,8 +66,13 @@ def exists(spark: SparkSession, path: str) -> bool:
 def release(*stored: DataFrame) -> None:
     """Delete tables that ``spill`` wrote, once what was made of them is written too and nothing else reads them."""
     for df in stored:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
-        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        delete_folder(df.sparkSession, df._stored_at)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def spread(df: DataFrame) -> DataFrame:

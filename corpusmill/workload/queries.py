@@ -34,7 +34,7 @@ from corpusmill.operators.evalset import (
 )
 from corpusmill.operators.index import assign_cells, build_index, hash_pivots
 from corpusmill.operators.parse import COLUMN_PARSERS, parse_files, status_counts, successful
-from corpusmill.operators.prompt import messages, passage, prompts
+from corpusmill.operators.prompt import messages, passage, prompts, within_budget
 from corpusmill.operators.quality import (
     WITH_TRUTH,
     chunk_precision,
@@ -45,6 +45,7 @@ from corpusmill.operators.quality import (
     frequencies,
     is_empty,
     issue_report,
+    rule_coverage,
     summary_metrics,
     tolerant_select,
     with_report_names,
@@ -68,7 +69,7 @@ from corpusmill.schemas import ParsedDocument, record_schema
 from corpusmill.session import scratch_dir, spill, spread
 from corpusmill.sources.eval_rows import conform_eval_rows, inline_eval_rows
 from corpusmill.sources.files import load_files
-from corpusmill.sources.tables import default_chunk_table, overwrite_table
+from corpusmill.sources.tables import default_chunk_table, overwrite_table, table_location
 from corpusmill.streaming.logs import follow, holding, refresh_evaluation_set
 from corpusmill.workload import fixtures as fx
 from corpusmill.workload import sql as q
@@ -200,7 +201,20 @@ def snk_overwrite_roundtrip(spark, sf_dir):
     where = scratch_dir(spark)
     overwrite_table(docs.select("doc_uri", "parser_status"), chunk_table, path=where)
     chunks = overwrite_table(compute_chunks(docs, fixed_windows()), chunk_table, path=where)
-    return _seconds(_without_table(_without_table(chunks, docs_table), chunk_table, where))
+    written = table_location(spark, chunk_table)
+    return _seconds(_without_table(_without_table(chunks, docs_table), chunk_table, written))
+
+
+@query("""
+select event_type, count(*) as n_rows, sum(event_id)::bigint as id_sum from events where event_type <> 'error' group by 1""")
+def snk_replace_own_rows(spark, sf_dir):
+    """A table replaced by what a query keeps of it, twice, the second time with other columns."""
+    name = f"corpusmill_events_{uuid.uuid4().hex}"
+    events = overwrite_table(fx.table(spark, sf_dir, "events").select("event_id", "event_type"), name, path=scratch_dir(spark))
+    kept = overwrite_table(events.filter("event_type <> 'error'"), name)
+    counts = kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("id_sum"))
+    stored = overwrite_table(counts, name)
+    return _without_table(stored, name, table_location(spark, name))
 
 
 @query(q.with_ctes(q.REQUESTS, q.ASSESSMENTS, q.EVAL_SET) + """
@@ -501,8 +515,8 @@ def knn_pq_recall(spark, sf_dir):
     """What codes find of the true top 16, beside the bytes that codes and true vectors of the probed cells take."""
     compressed = _compressed(spark, sf_dir)
     found = recall_at_k(_by_codes(spark, sf_dir, compressed), _exact(spark, sf_dir, K.ANN_RESULTS), "query_id", "chunk_id")
-    read = scored_bytes(fx.query_vectors(spark, sf_dir), compressed, q.PROBES)
-    return found.join(read)  # one row each
+    read = scored_bytes(fx.query_vectors(spark, sf_dir), compressed, q.PROBES).first()
+    return found.withColumns({name: F.lit(n) for name, n in read.asDict().items()})
 
 
 @query(q.with_ctes(q.knn(K.ANN_RESULTS)) + """
@@ -601,6 +615,36 @@ def prompt_context_cited(spark, sf_dir):
     return prompts(_retrieved(spark, sf_dir), "query_id", prompt_template=K.CITING_PROMPT_TEMPLATE)
 
 
+@query(q.with_recursive(q.IVF, q.PASSAGES, _RETRIEVED_SQL) + f""",
+sized as (
+  select r.*, {q.count_tokens('passage')} as n, round(a.score * 1e6)::bigint as points, embedding as e
+  from retrieved r join ann a using (query_id, chunk_id) join embeddings on vec_id = chunk_id),
+picked as (
+  select query_id, 0 as step, {q.PROMPT_TOKENS}::bigint as room, []::bigint[] as taken, [[]]::float[][] as seen
+  from sized group by 1
+  union all
+  select query_id, step + 1, room - best.n, list_append(taken, best.rank), list_append(seen, best.e)
+  from (
+    select p.query_id, step, any_value(room) as room, any_value(taken) as taken, any_value(seen) as seen,
+      arg_max({{'n': n, 'rank': s.rank, 'e': e}}, 100 * (
+        {100 - q.VARIETY} * points - {q.VARIETY} * (case when step = 0 then 0 else list_max(
+          list_transform(seen[2:], lambda x: round(list_cosine_similarity(x::double[], e::double[]) * 1e6)::bigint)) end)) - s.rank) as best
+    from picked p join sized s on s.query_id = p.query_id and s.n <= room and not list_contains(taken, s.rank)
+    group by 1, 2)),
+last as (select * from picked qualify row_number() over (partition by query_id order by step desc) = 1)
+select s.query_id, count(*) as n_passages, sum(n)::bigint as n_tokens,
+  {q.lit(K.PROMPT_TEMPLATE.removesuffix("{context}"))} || string_agg(passage, '' order by s.rank) as prompt
+from sized s join last l on l.query_id = s.query_id and list_contains(taken, s.rank) group by 1""".replace("\n,", ",", 1))
+def prompt_budget(spark, sf_dir):
+    """Prompts of passages chosen for score and variety, none over its budget of tokens."""
+    found = _retrieved(spark, sf_dir).join(fx.vectors(spark, sf_dir), "chunk_id")
+    kept = spill(within_budget(
+        found.drop("chunk_id"), q.PROMPT_TOKENS, "query_id", score="score", embedding="embedding", variety=q.VARIETY
+    ).drop("embedding"))
+    sizes = kept.groupBy("query_id").agg(F.sum("n_tokens").alias("n_tokens"))
+    return prompts(kept, "query_id").join(sizes, "query_id")
+
+
 @query(f"""
 select conv_id || '-' || turn as request_id, n + 1 as n_messages,
   'system: ' || {q.lit(K.SYSTEM_PROMPT)} || chr(10) || said as transcript
@@ -847,6 +891,24 @@ def cls_root_cause_11(spark, sf_dir):
     return labelled.select("request_id", "root_cause", "assessment", "rationale")
 
 
+@query(q.with_ctes(q.RESULTS, q.GAPS) + f""",
+told as (
+  select * from (select unnest(['low', 'high', null]) as side), (select unnest(['yes', 'no', null]) as groundedness),
+    (select unnest(['yes', 'no', null]) as correctness), (select unnest(['yes', 'no', null]) as relevance)),
+matched as (
+  select t.*, count(k.root_cause) as n_rules from told t left join (values {{q.WITH_TRUTH}}) k(side, g, c, r, root_cause, a, b)
+    on k.side = t.side and k.g = t.groundedness and k.c = t.correctness and (k.r is null or k.r = t.relevance)
+  group by all)
+select m.*, count(g.request_id) as n_results from matched m left join gaps g
+  on m.side is not distinct from case when precision < 0.5 then 'low' when precision >= 0.5 then 'high' end
+  and m.groundedness is not distinct from g.groundedness and m.correctness is not distinct from g.correctness
+  and m.relevance is not distinct from g.relevance
+group by all""".replace("\n,", ",", 1).replace("{q.WITH_TRUTH}", q.WITH_TRUTH))
+def cls_rule_coverage(spark, sf_dir):
+    """Every case that the eleven rules tell apart, the rules and the results in it: no rule and some results is a gap."""
+    return rule_coverage(fx.eval_results_gaps(spark, sf_dir), WITH_TRUTH)
+
+
 def _freq_sql(column: str) -> str:
     return q.with_ctes(q.RESULTS, q.GAPS, q.classified("gaps")) + f"""
 select {column}, count(*) as n, round(100.0 * count(*) / sum(count(*)) over (), 6) as pct

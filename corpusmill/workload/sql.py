@@ -121,7 +121,7 @@ chunks as (
     parser_status, doc_uri, example_metadata, last_modified_s
   from windows where len(w) > 0)"""
 
-def _count(expr: str) -> str:
+def count_tokens(expr: str) -> str:
     return f"len(list_filter(regexp_split_to_array({expr}, {lit(SPACE + '+')}), lambda t: t <> ''))"
 
 
@@ -135,7 +135,7 @@ tree as (
   select src_key, []::bigint[] as parent, 0::bigint as place, doc_content as piece, '' as sep, true as large
   from docs where parser_status = 'SUCCESS'
   union all
-  select src_key, list_append(parent, place), i, p, cut, {_count('p')} > 384
+  select src_key, list_append(parent, place), i, p, cut, {count_tokens('p')} > 384
   from (
     select src_key, parent, place, cut, unnest({_PIECES}) as p, unnest(range(len({_PIECES}))) as i
     from (
@@ -143,7 +143,7 @@ tree as (
         when contains(piece, chr(10)) then chr(10) when contains(piece, ' ') then ' ' else '' end as cut
       from tree where large))),
 pieces as (
-  select *, sum(large::int) over (partition by src_key, parent order by place) as run, {_count('piece')} as n
+  select *, sum(large::int) over (partition by src_key, parent order by place) as run, {count_tokens('piece')} as n
   from tree where len(parent) > 0),
 runs as (
   select src_key, parent, min(place) as place, any_value(sep) as sep, list(piece order by place) as parts,
@@ -185,6 +185,8 @@ def knn(k: int) -> str:
 
 CELLS = 32
 PROBES = 4
+PROMPT_TOKENS = 1500
+VARIETY = 30
 IVF = f"""pivots as (
   select row_number() over (order by md5(vec_id::varchar), vec_id) - 1 as cell, embedding as centroid
   from embeddings qualify cell < {CELLS}),

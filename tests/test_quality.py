@@ -60,6 +60,40 @@ def test_last_matching_rule_wins(spark):
     assert [r.root_cause for r in Q.classify(rows, rules).orderBy("i").collect()] == ["second", "first"]
 
 
+def test_gaps_and_overlaps_of_the_rules():
+    assert Q.gaps(Q.WITHOUT_TRUTH) == [] and Q.overlaps(Q.WITHOUT_TRUTH) == []
+    assert Q.gaps(Q.WITH_TRUTH) == [{"side": "high", "groundedness": "yes", "correctness": "yes", "relevance": "no"}]
+    assert Q.overlaps(Q.WITH_TRUTH) == []
+    two = [Q.Rule(None, {"a": "x"}, "1", "", ""), Q.Rule("low", {"b": "y"}, "2", "", ""), Q.Rule("low", {"a": "x", "b": "y"}, "2", "", "")]
+    assert Q.overlaps(two) == [({"side": "low", "a": "x", "b": "y"}, [0, 1, 2])]
+    assert {"side": "high", "a": "x", "b": "y"} not in Q.gaps(two) and Q.overlaps(two[1:]) == []
+
+
+def test_coverage_counts_every_row_once(spark):
+    rows = all_rows()
+    got = Q.rule_coverage(spark.createDataFrame(rows, SCHEMA), Q.WITH_TRUTH).collect()
+    assert len(got) == 3 * 3 * 3 * 3 and sum(r.n_results for r in got) == len(rows)
+    case = next(r for r in got if (r.side, r.groundedness, r.correctness, r.relevance) == ("high", "yes", "yes", "no"))
+    assert (case.n_rules, case.n_results) == (0, 2)
+    unknown = next(r for r in got if (r.side, r.groundedness, r.correctness, r.relevance) == (None, None, None, None))
+    assert (unknown.n_rules, unknown.n_results) == (0, 2 * 2 * 2 * 2)
+
+
+def test_rules_kept_as_rows(spark):
+    rows = [(i, side, g, c, r, *label) for i, (side, g, c, r, *label) in enumerate(K.RULES_WITH_TRUTH)]
+    schema = "place int, side string, groundedness string, correctness string, relevance string, root_cause string, assessment string, rationale string"
+    table = spark.createDataFrame(rows[::-1], schema)
+    assert Q.rules_from_table(table, ["groundedness", "correctness", "relevance"]) == Q.WITH_TRUTH
+
+
+def test_too_many_cases_and_bad_sides():
+    many = [Q.Rule(None, {f"c{i}": "yes"}, "", "", "") for i in range(14)]
+    with pytest.raises(ValueError, match="cases"):
+        Q.cases(many)
+    with pytest.raises(ValueError, match="side"):
+        Q.cases([Q.Rule("middle", {}, "", "", "")])
+
+
 def test_frequencies_are_value_counts(spark):
     labels = ["a"] * 5 + ["b"] * 2 + ["c"] + [None] * 4
     got = Q.frequencies(spark.createDataFrame([(v,) for v in labels], "label string"), "label").collect()

@@ -7,11 +7,13 @@ from typing import TypedDict
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.operators.parse import parse_files
 from corpusmill.schemas import EVALUATION_ROW, PARSED_DOCUMENT, propagated_columns, record_schema
-from corpusmill.session import scratch_dir, spill, spread
+from corpusmill.session import exists, scratch_dir, spill, spread
+from corpusmill.sources import tables
 from corpusmill.sources.eval_rows import conform_eval_rows, inline_eval_rows
 from corpusmill.sources.files import load_files
 from corpusmill.sources.tables import default_chunk_table, overwrite_table, read_table
@@ -61,6 +63,47 @@ def test_overwrite_replaces_schema(spark):
     spark.sql("drop table t_overwrite")
 
 
+def test_failed_replacement_keeps_the_old_rows(spark, monkeypatch):
+    name = "t_failing"
+    overwrite_table(spark.range(3).toDF("a"), name, path=scratch_dir(spark))
+    broken = spark.range(3).select(F.raise_error(F.lit("lost")).cast("long").alias("a"))
+    with pytest.raises(Exception, match="lost"):
+        overwrite_table(broken, name)
+    assert spark.table(name).count() == 3
+    with monkeypatch.context() as m:  # killed when all is written and nothing turned
+        m.setattr(tables, "_turn", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            overwrite_table(spark.range(9).toDF("a"), name)
+    assert spark.table(name).count() == 3 and tables.previous_locations(spark, name) == []
+    with monkeypatch.context() as m:  # other columns, and the catalog refuses
+        m.setattr(type(spark.catalog), "createTable", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("no")))
+        with pytest.raises(RuntimeError):
+            overwrite_table(spark.range(9).toDF("b"), name)
+    assert spark.table(name).columns == ["a"] and spark.table(name).count() == 3
+    spark.sql(f"drop table {name}")
+
+
+@pytest.mark.parametrize("managed", [False, True])
+def test_versions_of_a_table(spark, managed):
+    name = f"t_versions_{managed}".lower()
+    overwrite_table(spark.range(4).toDF("a"), name, path=None if managed else scratch_dir(spark))
+    first = tables.table_location(spark, name)
+    old = spark.table(name)
+    overwrite_table(spark.table(name).filter("a > 1"), name)  # reads what it replaces
+    assert [r.a for r in spark.table(name).orderBy("a").collect()] == [2, 3]
+    assert spark.read.parquet(first).count() == 4 and old.columns == ["a"]
+    second = tables.table_location(spark, name)
+    assert tables.previous_locations(spark, name) == [first] and second != first
+    back = overwrite_table(spark.table(name).selectExpr("a", "a * 2 as b"), name)
+    assert sorted(map(tuple, back.collect())) == [(2, 4), (3, 6)]
+    assert first in tables.previous_locations(spark, name)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{name}_before")]
+    gone = tables.delete_previous(spark, name)
+    assert first in gone and not exists(spark, first) and not exists(spark, second)
+    assert tables.previous_locations(spark, name) == [] and spark.table(name).count() == 2
+    spark.sql(f"drop table {name}")
+
+
 def test_chunk_table_name():
     assert default_chunk_table("c.s.docs") == "c.s.docs_chunked"
     assert default_chunk_table("`my docs`") == "`my docs_chunked`"
