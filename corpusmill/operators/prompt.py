@@ -61,23 +61,28 @@ def within_budget(
     variety: int = 0,
     chunk_template: str = CHUNK_TEMPLATE,
     length: Callable[[Column], Column] | None = None,
+    n_tokens: str | None = None,
 ) -> DataFrame:
     """Passages of each request that together take at most ``budget`` tokens as prompt text; adds ``n_tokens``.
 
     One after the other, of the passages that still fit, the one of highest worth is taken, ties to the lower rank.
     Worth is the rank alone, or with ``variety`` (percent) the score less likeness to what was taken: ``(100 - variety)
     * score - variety * highest cosine``, in millionths. A NULL score is 0, a NULL vector is like nothing. ``length``
-    counts the tokens of a passage (default: white-space tokens). Ranks must be unique per request.
+    counts the tokens of a passage (default: white-space tokens). Ranks must be unique per request. Vectors are left
+    out of the result.
+
+    Where ``n_tokens`` names a column of lengths (see :func:`passage_tokens`), no text is needed: choose first, then
+    fetch the texts of what was chosen, so that no other text is shuffled.
 
     A group holds the passages of one request, at most the k that was searched for. Only numbers and vectors reach Python.
     """
     if not 0 <= variety <= 100 or (variety and not (score and embedding)):
         raise ValueError("variety is 0 to 100 and needs score and embedding")
-    count = length or (lambda text: F.size(tokens(text)))
     worth = F.round(F.col(score) * UNIT).cast("long") if variety else -F.col(rank).cast("long")
     vector = F.col(embedding).cast("array<double>") if variety else F.lit(None).cast("array<double>")
-    names = passages.columns
-    sized = passages.withColumn("n_tokens", count(passage(chunk_text, metadata, chunk_template)).cast("long"))
+    names = [c for c in passages.columns if c not in (embedding, "n_tokens")]
+    counted = F.col(n_tokens) if n_tokens else passage_tokens(chunk_text, metadata, chunk_template, length)
+    sized = passages.withColumn("n_tokens", counted.cast("long"))
     numbers = F.struct(F.col(rank).alias("r"), F.col("n_tokens").alias("n"), F.coalesce(worth, F.lit(0)).alias("w"), vector.alias("e"))
     row = F.struct(F.col(rank).alias("r"), *[F.struct(*names, "n_tokens").alias("row")])
     grouped = sized.groupBy(request_id).agg(F.array_sort(F.collect_list(numbers), _by_rank).alias("_numbers"),
@@ -99,6 +104,15 @@ def within_budget(
     return chosen.select(F.explode(F.transform(kept, lambda x: x["row"])).alias("_row")).select("_row.*")
 
 
+def passage_tokens(
+    chunk_text: Column | str, metadata: Column | str, template: str = CHUNK_TEMPLATE,
+    length: Callable[[Column], Column] | None = None,
+) -> Column:
+    """Tokens of a passage as prompt text (default: white-space tokens)."""
+    count = length or (lambda text: F.size(tokens(text)))
+    return count(passage(chunk_text, metadata, template)).cast("long")
+
+
 def _by_rank(a: Column, b: Column) -> Column:
     return F.when(a["r"] < b["r"], -1).when(a["r"] > b["r"], 1).otherwise(0)
 

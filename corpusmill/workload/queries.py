@@ -34,7 +34,7 @@ from corpusmill.operators.evalset import (
 )
 from corpusmill.operators.index import assign_cells, build_index, hash_pivots
 from corpusmill.operators.parse import COLUMN_PARSERS, parse_files, status_counts, successful
-from corpusmill.operators.prompt import messages, passage, prompts, within_budget
+from corpusmill.operators.prompt import messages, passage, passage_tokens, prompts, within_budget
 from corpusmill.operators.quality import (
     WITH_TRUTH,
     chunk_precision,
@@ -637,12 +637,16 @@ select s.query_id, count(*) as n_passages, sum(n)::bigint as n_tokens,
 from sized s join last l on l.query_id = s.query_id and list_contains(taken, s.rank) group by 1""".replace("\n,", ",", 1))
 def prompt_budget(spark, sf_dir):
     """Prompts of passages chosen for score and variety, none over its budget of tokens."""
-    found = _retrieved(spark, sf_dir).join(fx.vectors(spark, sf_dir), "chunk_id")
-    kept = spill(within_budget(
-        found.drop("chunk_id"), q.PROMPT_TOKENS, "query_id", score="score", embedding="embedding", variety=q.VARIETY
-    ).drop("embedding"))
-    sizes = kept.groupBy("query_id").agg(F.sum("n_tokens").alias("n_tokens"))
-    return prompts(kept, "query_id").join(sizes, "query_id")
+    passages = fx.passages(spark, sf_dir)
+    lengths = passages.select("chunk_id", passage_tokens("content_chunked", "doc_uri").alias("n"))
+    hits = above(_ann(spark, sf_dir), K.SCORE_THRESHOLD).join(lengths, "chunk_id").join(fx.vectors(spark, sf_dir), "chunk_id")
+    chosen = within_budget(
+        hits, q.PROMPT_TOKENS, "query_id", score="score", embedding="embedding", variety=q.VARIETY, n_tokens="n"
+    )
+    chosen = spill(chosen.select("query_id", "rank", "chunk_id", "n_tokens"))
+    sizes = chosen.groupBy("query_id").agg(F.sum("n_tokens").alias("n_tokens"))
+    found = fetch_passages(chosen.drop("n_tokens"), passages, ResultColumns())
+    return prompts(found, "query_id").join(sizes, "query_id")
 
 
 @query(f"""

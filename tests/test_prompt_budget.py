@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from corpusmill.operators.prompt import within_budget
+from corpusmill.operators.prompt import passage_tokens, within_budget
 
 SCHEMA = "request_id string, rank int, content_chunked string, doc_uri string, score double, e array<double>, extra int"
 
@@ -56,7 +56,7 @@ def test_same_as_plain(spark, budget, variety):
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     given = {"score": "score", "embedding": "e", "variety": variety} if variety else {}
     got = within_budget(df, budget, **given)
-    assert got.columns == [*df.columns, "n_tokens"]
+    assert got.columns == [*(c for c in df.columns if not variety or c != "e"), "n_tokens"]
     found = {}
     for r in got.collect():
         assert r.extra == r["rank"] * 7
@@ -67,6 +67,14 @@ def test_same_as_plain(spark, budget, variety):
         assert sum(n for _, n in found.get(request, [])) <= budget
 
 
+def test_lengths_given_ahead(spark):
+    df = spark.createDataFrame(some_rows(9), SCHEMA)
+    given = {"score": "score", "embedding": "e", "variety": 25}
+    whole = within_budget(df, 70, **given).select("request_id", "rank", "n_tokens")
+    ahead = df.withColumn("n", passage_tokens("content_chunked", "doc_uri")).drop("content_chunked", "doc_uri")
+    assert sorted(within_budget(ahead, 70, n_tokens="n", **given).select("request_id", "rank", "n_tokens").collect()) == sorted(whole.collect())
+
+
 def test_no_passages_and_bad_arguments(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert within_budget(empty, 100, score="score", embedding="e", variety=50).isEmpty()
