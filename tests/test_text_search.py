@@ -113,3 +113,19 @@ def test_a_common_word_is_spread_over_blocks(spark):
     index = build_text_index(spark.createDataFrame(corpus(9), CHUNKS), n_blocks=8)
     largest = index.postings.groupBy("block", "term").count().agg(F.max("count")).first()[0]
     assert largest < index.postings.filter("term = 'the'").count() / 4
+
+
+def test_postings_are_stored_packed(spark):
+    """A row per (block, term), not per (chunk, term), is what meets the queries; chunks go by number there."""
+    chunks = [(i, f"the common words of all and own{i}") for i in range(300)]
+    index = build_text_index(spark.createDataFrame(chunks, CHUNKS), n_blocks=3)
+    assert index.packed.count() == 3 * 6 + 300
+    assert index.packed.filter("term = 'the'").agg(F.sum(F.size("nos"))).first()[0] == 300
+    assert index.postings.count() == 300 * 7
+
+
+def test_a_key_of_two_texts_adds_up_and_gives_no_floor(spark):
+    chunks = [(1, "red blue"), (1, "red red red green"), (2, "red"), (3, "blue blue")]
+    index = build_text_index(spark.createDataFrame(chunks, CHUNKS), n_blocks=1)
+    found = got(bm25_top_k(spark.createDataFrame([(7, "red")], QUERIES), index, 2))
+    assert [found[7, r][0] for r in (1, 2)] == [1, 2]
