@@ -129,3 +129,10 @@ def test_a_key_of_two_texts_adds_up_and_gives_no_floor(spark):
     index = build_text_index(spark.createDataFrame(chunks, CHUNKS), n_blocks=1)
     found = got(bm25_top_k(spark.createDataFrame([(7, "red")], QUERIES), index, 2))
     assert [found[7, r][0] for r in (1, 2)] == [1, 2]
+
+
+def test_a_repeated_question_counts_once(spark):
+    chunks = [(i, f"red blue w{i % 3}") for i in range(12)]
+    index = build_text_index(spark.createDataFrame(chunks, CHUNKS), n_blocks=4)
+    queries = [(1, "red w1 w2")]
+    assert got(bm25_top_k(spark.createDataFrame(queries * 2, QUERIES), index, 5)) == plain(queries, chunks, 5)
