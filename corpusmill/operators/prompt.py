@@ -15,6 +15,7 @@ from corpusmill.functions.text import tokens
 from corpusmill.operators.topk import matrix, unit
 from corpusmill.schemas import MESSAGES
 
+VECTORS_AT_ONCE = 4096
 UNIT = 1e6  # worth and likeness are whole millionths, so ties are exact
 
 
@@ -79,7 +80,7 @@ def within_budget(
     if not 0 <= variety <= 100 or (variety and not (score and embedding)):
         raise ValueError("variety is 0 to 100 and needs score and embedding")
     worth = F.round(F.col(score) * UNIT).cast("long") if variety else -F.col(rank).cast("long")
-    vector = F.col(embedding).cast("array<double>") if variety else F.lit(None).cast("array<double>")
+    vector = F.col(embedding) if variety else F.lit(None).cast("array<double>")
     names = [c for c in passages.columns if c not in (embedding, "n_tokens")]
     counted = F.col(n_tokens) if n_tokens else passage_tokens(chunk_text, metadata, chunk_template, length)
     sized = passages.withColumn("n_tokens", counted.cast("long"))
@@ -91,11 +92,14 @@ def within_budget(
     def choose(groups: pa.Array) -> pa.Array:
         flat, ends = groups.flatten(), np.cumsum(np.r_[0, groups.value_lengths().to_numpy()])
         ranks, n, w = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
-        units = _units(flat.field(3)) if variety else None
-        found = []
+        found, units, upto = [], None, 0
         for start, end in zip(ends[:-1], ends[1:], strict=True):
             here = slice(start, end)
-            alike = None if units is None else np.rint(units[here] @ units[here].T * UNIT).astype(np.int64)
+            if variety and end > upto:  # unit vectors of some groups at a time
+                base, upto = start, max(end, ends[np.searchsorted(ends, start + VECTORS_AT_ONCE, "right") - 1])
+                units = _units(flat.field(3).slice(base, upto - base))
+            mine = units[start - base : end - base] if variety else None
+            alike = None if mine is None else np.rint(mine @ mine.T * UNIT).astype(np.int64)
             found.append(ranks[here][_chosen(n[here], w[here], alike, budget, variety)])
         return pa.array(found, pa.list_(pa.int64()))
 

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from conftest import plan_of
 
 from corpusmill.operators.prompt import passage_tokens, within_budget
 
@@ -81,3 +82,17 @@ def test_no_passages_and_bad_arguments(spark):
     assert within_budget(empty, 100).isEmpty()
     with pytest.raises(ValueError):
         within_budget(empty, 100, variety=50)
+
+
+def test_vectors_go_to_python_as_they_are(spark):
+    """Single-precision vectors are not widened on the way, and many groups are worked on in parts."""
+    rows = [(f"r{i % 900}", i // 900, "a b c", "u", 0.5 + i % 7 / 100, [float(i % 5), 1.0, float(i % 3)], i) for i in range(9000)]
+    passages = spark.createDataFrame(rows, SCHEMA.replace("array<double>", "array<float>")).coalesce(1)
+    chosen = within_budget(passages, 30, score="score", embedding="e", variety=30)
+    assert "as array<double>" not in plan_of(chosen)
+    got = {}
+    for r in chosen.collect():
+        got.setdefault(r["request_id"], []).append((r["rank"], r["n_tokens"]))
+    for request in ("r0", "r450", "r899"):
+        assert sorted(got[request]) == plain([r for r in rows if r[0] == request], 30, 30)
+    assert len(got) == 900
