@@ -21,13 +21,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusmill.constants import ANN_RESULTS
 from corpusmill.operators.index import VectorIndex, assign_cells, build_index, hash_pivots
-from corpusmill.operators.topk import TopK, best_cells, ids_of, matrix, unit
+from corpusmill.operators.topk import VECTOR_BLOCK, TopK, best_cells, ids_of, matrix, unit
 from corpusmill.session import spill
 
 MAX_BROADCAST_BYTES = 64 << 20
 # Size of the query and vector matrices that meet in one task of a large search.
-QUERY_PART_BYTES = 16 << 20
-VECTOR_PART_BYTES = 128 << 20
+QUERY_PART_BYTES = 4 << 20
+VECTOR_PART_BYTES = 32 << 20
 VECTORS_PER_CELL = 10_000  # where the number of cells follows from the size of the table
 # Rounded scores differ from true ones by half a unit of the last digit.
 SLACK = 2e-6
@@ -268,7 +268,9 @@ def _score_cells(
         if q.num_rows == 0 or v.num_rows == 0:
             return arrow_schema.empty_table()
         top = TopK(ids_of(q[query_id]), matrix(q["q_embedding"]), k, skip_self)
-        top.add(ids_of(v[key]), matrix(v["embedding"]))
+        for start in range(0, v.num_rows, VECTOR_BLOCK):  # doubles of one block at a time
+            block = v.slice(start, VECTOR_BLOCK)
+            top.add(ids_of(block[key]), matrix(block["embedding"]))
         return pa.Table.from_batches([_hits(top, schema)])
 
     return left.groupBy(*MEETING).cogroup(right.groupBy(*MEETING)).applyInArrow(score, schema)

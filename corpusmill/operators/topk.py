@@ -8,7 +8,7 @@ import pyarrow as pa
 SCORE_DIGITS = 6
 QUERY_BLOCK = 1024
 VECTOR_BLOCK = 4096
-PENDING_ROWS = 2_000_000
+PENDING_ROWS = 1_000_000
 CROWD = 4
 
 

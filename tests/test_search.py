@@ -219,3 +219,8 @@ def test_plan_limits_each_group_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") >= 2
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan
+
+
+def test_parts_that_meet_are_small():
+    """Copies of both sides are made in Python, for as many tasks as an executor has cores."""
+    assert S.VECTOR_PART_BYTES <= 32 << 20 and S.QUERY_PART_BYTES <= 4 << 20
