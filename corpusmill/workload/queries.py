@@ -119,12 +119,16 @@ def _uris(column: str):
 # --- sources and sinks -----------------------------------------------------------------------
 
 
+# Tasks move their files in place themselves. By default the driver does it, one after the other, when all tasks are done.
+COMMIT_IN_TASKS = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
+
+
 @query("""
 select page_id, octet_length(encode(html)) + 1 as length, md5(html || chr(10)) as digest from pages""")
 def src_binary_files(spark, sf_dir):
     """Every page as a file of its own, loaded again by its bytes; the text writer ends a file with a line break."""
     pages, folder = fx.table(spark, sf_dir, "pages"), scratch_dir(spark)
-    pages.select("page_id", "html").repartition("page_id").write.partitionBy("page_id").text(folder)
+    pages.select("page_id", "html").repartition("page_id").write.partitionBy("page_id").option(*COMMIT_IN_TASKS).text(folder)
     files = load_files(spark, folder, "*.txt")
     page = F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("long")
     return files.select(page.alias("page_id"), "length", F.md5("content").alias("digest"))
