@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.columns import whole_numbers
@@ -220,10 +220,11 @@ def _sharing(base: DataFrame, long: int, per_edit: int) -> DataFrame:
     first = F.slice(F.array_sort(F.array_distinct("runs")), F.lit(1), run * F.floor(F.col("n") / per_edit).cast("int") + 1)
     held = _with_runs(hashed, run).select("h1", "n", F.explode(first).alias("key"))
     several = (F.min("h1").alias("lo"), F.max("h1").alias("hi"))
-    shared = held.groupBy("key").agg(*several).filter("lo < hi").select("key")
+    alone = Window.partitionBy("key")  # one shuffle of the runs; counting and joining them would make and move them twice
+    held = held.withColumns({"lo": F.min("h1").over(alone), "hi": F.max("h1").over(alone)}).filter("lo < hi")
     # lengths within the bound lie in one band or in neighbouring ones; the divisor allows for rounding
     band = F.floor(F.log("n") / (1.001 * math.log(1 + 1 / per_edit))).cast("int")
-    held = spill(held.join(shared, "key").select("h1", "key", band.alias("own")).distinct())
+    held = spill(held.select("h1", "key", band.alias("own")).distinct())
     banded = held.select("h1", "key", F.explode(F.array("own", F.col("own") + 1)).alias("band"))
     alike = banded.groupBy("key", "band").agg(*several).filter("lo < hi").select("key", "band")
     near = spill(banded.join(alike, ["key", "band"]).select("h1").distinct())

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from helpers import SCHEMA, documents, frame, unique_ids, words
 
+from corpusmill.llm import lines
 from corpusmill.llm.lines import line_dedup
 
 
@@ -59,3 +60,14 @@ def test_very_long_line(spark):
     rows = [(1, " ".join(long)), (2, " ".join(long[:2000] + ["x"] + long[2001:])), (3, " ".join(long[:9] + long[10:]))]
     got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: r.text for r in got.collect()} == {1: " ".join(long), 2: "", 3: ""}
+
+
+def test_runs_of_long_lines_are_made_once(spark, monkeypatch):
+    """Lines that share a run are found by one shuffle of the runs, not by counting runs and joining them again."""
+    plans, spill = [], lines.spill
+    monkeypatch.setattr(lines, "spill", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), spill(df))[1])
+    long = " ".join(f"w{i}" for i in range(40))
+    base = spark.createDataFrame([(1, long), (2, long.replace("w7 ", "x ").replace("w31 ", "y ")), (3, long.replace("w", "z"))], "doc_id long, text string")
+    found = lines._sharing(base, 20, 10)
+    assert found.count() == 2
+    assert plans[0].count("Generate explode") == 2
