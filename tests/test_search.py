@@ -224,3 +224,19 @@ def test_plan_limits_each_group_before_the_shuffle(spark):
 def test_parts_that_meet_are_small():
     """Copies of both sides are made in Python, for as many tasks as an executor has cores."""
     assert S.VECTOR_PART_BYTES <= 32 << 20 and S.QUERY_PART_BYTES <= 4 << 20
+
+
+def test_second_pass_gives_out_what_reaches_the_floor(spark):
+    """Scores of the floor stay, as ties go to the smaller key; a query without a floor keeps all."""
+    ids, m, df = make(spark, 300, 6, 23, copies=40)
+    vectors, queries = df.withColumnRenamed("id", "vec_id"), df.withColumnRenamed("id", "query_id")
+    index = build_index(vectors, hash_pivots(vectors, 4))
+    truth = brute(ids, m, ids, m, 5)
+    floors = spark.createDataFrame([(i, float(truth[i][-1][1]) if i % 7 else None) for i in ids], "query_id long, floor double")
+    cells = queries.join(floors, "query_id").withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    hits = S._score_cells(cells, index, 5, "query_id", False, floor="floor")
+    assert collect(S.rank_top_k(hits, 5, "query_id", "vec_id")) == truth
+    below = hits.join(floors, "query_id").filter("score < floor")
+    assert below.isEmpty()
+    per_query = sum(min(5, n) for n, _ in index.cells.values())
+    assert hits.filter("query_id % 7 = 0").count() == per_query * len(range(0, 300, 7))
