@@ -29,7 +29,7 @@ from corpusmill.llm.columns import whole_numbers
 from corpusmill.session import release, spill
 
 WHITE = " \t\x0b\x0c\r"  # fixed values: white space inside a line
-STEP = 64  # words per block of the running exclusive-or
+STEP = 16  # words per block of the running exclusive-or
 CHUNK = 2000  # lines of a group that are compared together
 BITMAPS = 4  # of 64 bits each
 
@@ -88,7 +88,10 @@ def _end_length(n: Column) -> Column:
 
 
 def _words(line: Column) -> Column:
-    return F.split(F.btrim(line, F.lit(WHITE)), "[\\x20\\x09-\\x0D]+")
+    """The words of a line, none if it is blank; splitting at one plain character takes no regular expression."""
+    for c in WHITE[1:]:
+        line = F.replace(line, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(line, " ", -1), "")
 
 
 def dropped_lines(docs: DataFrame, min_words: int = 5, words_per_edit: int | None = None) -> DataFrame:
@@ -113,7 +116,7 @@ def dropped_lines(docs: DataFrame, min_words: int = 5, words_per_edit: int | Non
 def _occurrences(base: DataFrame, min_words: int) -> DataFrame:
     """Every line that is not blank: place, 128-bit identity, number of words, hashed halves."""
     lines = base.select("doc_id", "th", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    lines = lines.filter(F.btrim("line", F.lit(WHITE)) != "").withColumn("w", _words(F.col("line")))
+    lines = lines.filter(F.ltrim("line", F.lit(WHITE)) != "").withColumn("w", _words(F.col("line")))
     lines = lines.withColumn("n", F.size("w"))
     lines = lines.withColumns({"k": _end_length(F.col("n")), "less": _end_length(F.col("n") - 1)})
 
@@ -141,10 +144,12 @@ def _late_lines(base: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
 
     members = _variants(words, min_words)
     place = F.struct("doc_id", "line_no", "h1", "pos")
-    groups = members.groupBy("slot", "v").agg(
-        F.count("*").alias("n"), F.min(F.when(~F.col("short"), place)).alias("other"), F.min(F.when(F.col("short"), place)).alias("bare")
-    )
-    met = members.join(groups.filter("n > 1"), ["slot", "v"])
+    group = Window.partitionBy("v", "slot")  # variants are made and moved once, not for groups and again for their members
+    met = members.withColumns({
+        "n": F.count("*").over(group),
+        "other": F.min(F.when(~F.col("short"), place)).over(group),
+        "bare": F.min(F.when(F.col("short"), place)).over(group),
+    }).filter("n > 1")
     met = met.withColumn("p", F.when((F.col("slot") >= 0) | F.col("short"), F.col("other")).otherwise(F.col("bare")))
     met = met.filter(F.struct("p.doc_id", "p.line_no") < F.struct("doc_id", "line_no"))
     pairs = met.groupBy("h1", F.col("p.h1").alias("q1")).agg(

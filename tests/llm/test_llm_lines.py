@@ -71,3 +71,18 @@ def test_runs_of_long_lines_are_made_once(spark, monkeypatch):
     found = lines._sharing(base, 20, 10)
     assert found.count() == 2
     assert plans[0].count("Generate explode") == 2
+
+
+def test_variants_are_made_once(spark):
+    """Groups of variants and their members come from one making and one shuffle of the variants."""
+    rows = [(1, "a b c d e f"), (2, "a b c d e x"), (3, "a b c d e"), (4, "z y x w v u")]
+    base = spark.createDataFrame(rows, "doc_id long, text string").withColumn("th", lines._text_hash())
+    late = lines._late_lines(base, lines.spill(lines._occurrences(base, 5)), 5)
+    assert late.count() == 2
+    assert late._jdf.queryExecution().optimizedPlan().toString().count("Union") == 1
+
+
+def test_words_are_parted_by_any_white_space(spark):
+    text = " \ta\x0bb\x0c\x0cc\rd \t e f \r"
+    got = spark.createDataFrame([(text,), ("\t \r",), ("",)], "line string").select(lines._words(lines.F.col("line")).alias("w")).collect()
+    assert [r.w for r in got] == [["a", "b", "c", "d", "e f"], [], []]
