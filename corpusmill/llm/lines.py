@@ -32,6 +32,7 @@ WHITE = " \t\x0b\x0c\r"  # fixed values: white space inside a line
 STEP = 16  # words per block of the running exclusive-or
 CHUNK = 2000  # lines of a group that are compared together
 BITMAPS = 4  # of 64 bits each
+FIRST = 16  # lines of a group that all others of the group are compared with
 
 
 def line_dedup(
@@ -183,9 +184,11 @@ def _far_lines(base: DataFrame, lines: DataFrame, late: DataFrame, min_words: in
     """``(h1, h2)`` of the distinct lines, not in ``late``, that have an earlier one within a bound over one edit.
 
     With a bound of k edits a line has at least k parts of ``per_edit`` words, so a part holds one edit at most, and
-    one of its halves none. Lines without any run that such a pair must share are put aside first. Then halves
-    of parts meet equal runs at any place of other lines, and from there the other half's deletion variants
-    are the keys, as they are for whole lines: a part and a stretch one edit apart share a variant.
+    one of its halves none. Lines without any run that such a pair must share are put aside first, and of those that
+    share one each is judged against the first ones of its group. That settles small groups. For lines that have others
+    before them, halves of parts then meet equal runs at any place of the lines of their groups, and from there the
+    other half's deletion variants are the keys, as they are for whole lines: a part and a stretch one edit apart
+    share a variant.
     """
     long = max(min_words, 2 * per_edit)
     near = _sharing(base, long, per_edit)
@@ -194,36 +197,79 @@ def _far_lines(base: DataFrame, lines: DataFrame, late: DataFrame, min_words: in
     )
     words = _with_words(base, firsts).join(late.withColumn("late", F.lit(True)), ["h1", "h2"], "left")
     words = spill(words.withColumns({"open": F.col("late").isNull(), "n": F.size("w")}).drop("late"))
+    met = spill(_placed(near, words))
+    settled = spill(_within(_behind_first(met, words, per_edit), words, per_edit))
+    left = spill(_unsettled(met, settled))
+    release(met, near)
+    late = spill(settled.unionByName(_far_behind(words.drop("open").join(left, "h1"), per_edit)))
+    release(words, settled, left)
+    return late
+
+
+def _placed(near: DataFrame, words: DataFrame) -> DataFrame:
+    """The lines of each group of equal runs with their ``rank`` by place, from 1; lines at one place share ``place``."""
+    group = Window.partitionBy("key", "band").orderBy("doc_id", "line_no", "h1")
+    held = near.select("h1", F.explode("keys").alias("x")).select("h1", "x.key", "x.band")
+    held = held.join(words.select("h1", "n", "open", "doc_id", "line_no"), "h1")
+    place = Window.partitionBy("key", "band").orderBy("doc_id", "line_no")
+    return held.withColumns({"rank": F.row_number().over(group), "place": F.rank().over(place)}).drop("doc_id", "line_no")
+
+
+def _close(a: str, b: str, per_edit: int) -> Column:
+    return F.abs(F.col(a) - F.col(b)) <= F.floor(F.least(a, b) / per_edit)
+
+
+def _behind_first(met: DataFrame, words: DataFrame, per_edit: int) -> DataFrame:
+    """``(h1, q1)`` of open lines and earlier ones among the first of their groups, if their bitmaps leave room for a pair."""
+    first = met.filter(F.col("rank") <= FIRST).select("key", "band", *[F.col(c).alias(q) for c, q in (("h1", "q1"), ("n", "q_n"), ("place", "q_place"))])
+    behind = met.filter(F.col("open") & (F.col("rank") > 1)).join(first, ["key", "band"])
+    pairs = behind.filter((F.col("place") > F.col("q_place")) & _close("n", "q_n", per_edit)).select("h1", "q1").distinct()
+    bits = spill(words.select("h1", "n", *[_bits(i).alias(f"bits{i}") for i in range(BITMAPS)]))
+    both = pairs.alias("p").join(bits.alias("a"), F.col("p.h1") == F.col("a.h1")).join(bits.alias("b"), F.col("p.q1") == F.col("b.h1"))
+    bound = F.floor(F.least("a.n", "b.n") / per_edit).cast("int")
+    return both.filter(_alike(bound)).select("p.h1", "p.q1")
+
+
+def _unsettled(met: DataFrame, settled: DataFrame) -> DataFrame:
+    """``(h1, open)``: the open lines that have others than the first before them in a group, and the lines before them there."""
+    open_ = met.filter(F.col("open")).join(settled.select("h1"), "h1", "left_anti").filter(F.col("rank") > FIRST + 1)
+    groups = open_.groupBy("key", "band").agg(F.max("rank").alias("upto"))
+    left = met.drop("open").join(groups, ["key", "band"]).filter("rank <= upto").select("h1").distinct()
+    asking = open_.select("h1", F.lit(True).alias("open")).distinct()
+    return left.join(asking, "h1", "left").select("h1", F.coalesce("open", F.lit(False)).alias("open"))
+
+
+def _far_behind(words: DataFrame, per_edit: int) -> DataFrame:
+    """``(h1, h2)`` of the open lines that have an earlier one within the bound in ``words``, found by their parts."""
+    words = spill(words)
     members = _part_variants(words, per_edit)
     place = F.struct("doc_id", "line_no", "h1", "n")
     groups = members.groupBy("v").agg(F.min(place).alias("head"), F.max(place).alias("tail"), F.max("part").alias("any_part"))
     groups = groups.filter((F.col("head.h1") != F.col("tail.h1")) & F.col("any_part")).select("v", "head")
     met = spill(members.join(groups, "v"))
-
-    def close(a: str, b: str) -> Column:
-        return F.abs(F.col(a) - F.col(b)) <= F.floor(F.least(a, b) / per_edit)
-
     behind = met.filter(F.col("open") & (F.col("h1") != F.col("head.h1")))
-    heads = behind.filter(close("n", "head.n")).select("h1", F.col("head.h1").alias("q1")).distinct()
+    heads = behind.filter(_close("n", "head.n", per_edit)).select("h1", F.col("head.h1").alias("q1")).distinct()
     done = spill(_within(heads, words, per_edit))
     rest = behind.join(done.select("h1").distinct(), "h1", "left_anti")
     more = spill(_behind_others(rest, met, words, per_edit))
-    release(met)
-    return done.unionByName(words.join(more, "h1", "left_semi").select("h1", "h2"))
+    found = spill(done.unionByName(words.join(more, "h1", "left_semi").select("h1", "h2")))
+    release(met, words, done, more)
+    return found
 
 
 def _sharing(base: DataFrame, long: int, per_edit: int) -> DataFrame:
-    """``h1`` of the lines of at least ``long`` words that share a run with another line of about their length.
+    """``(h1, keys)`` of the lines of at least ``long`` words that share a run with another line of about their length.
 
-    k edits touch at most r * k runs of r words. Two lines within the bound therefore share one of the first
-    r * k + 1 runs that each has in the order of their hashes; lines have as many for r up to per_edit / 2 + 1.
+    k edits leave k + 1 stretches of the shorter line as they are, so one has (n - k) / (k + 1) words at least. Of
+    that many words in a row each line takes the run with the least hash; two lines within the bound so
+    take one in common. The keys are the hashes of these runs, with bands of lengths.
     """
-    run = per_edit // 2 + 1
+    run = -(-2 * (per_edit - 1) // 3) - 1  # lines have two edits at least, so these are two runs or more
     lines = base.select(F.explode(F.split("text", "\n", -1)).alias("line"))
     lines = lines.select(_words(F.col("line")).alias("w")).withColumn("n", F.size("w")).filter(F.col("n") >= long)
     hashed = lines.select(F.xxhash64("w").alias("h1"), "n", F.transform("w", lambda w: F.xxhash64(w)).alias("hw"))
-    first = F.slice(F.array_sort(F.array_distinct("runs")), F.lit(1), run * F.floor(F.col("n") / per_edit).cast("int") + 1)
-    held = _with_runs(hashed, run).select("h1", "n", F.explode(first).alias("key"))
+    least = _least(_with_runs(hashed, run), _intact(F.col("n"), per_edit) - run + 1, per_edit - run)
+    held = least.select("h1", "n", F.explode(F.array_distinct("least")).alias("key"))
     several = (F.min("h1").alias("lo"), F.max("h1").alias("hi"))
     alone = Window.partitionBy("key")  # one shuffle of the runs; counting and joining them would make and move them twice
     held = held.withColumns({"lo": F.min("h1").over(alone), "hi": F.max("h1").over(alone)}).filter("lo < hi")
@@ -232,11 +278,33 @@ def _sharing(base: DataFrame, long: int, per_edit: int) -> DataFrame:
     held = spill(held.select("h1", "key", band.alias("own")).distinct())
     banded = held.select("h1", "key", F.explode(F.array("own", F.col("own") + 1)).alias("band"))
     alike = banded.groupBy("key", "band").agg(*several).filter("lo < hi").select("key", "band")
-    near = spill(banded.join(alike, ["key", "band"]).select("h1").distinct())
+    near = banded.join(alike, ["key", "band"])
+    near = spill(near.groupBy("h1").agg(F.collect_list(F.struct("key", "band")).alias("keys")))
     release(held)
     return near
 
 
+def _intact(n: Column, per_edit: int) -> Column:
+    """Words in a row that a line of ``n`` shares with any line within the bound: s (p - 1) / (s + p) for a shorter line of s words.
+
+    The shorter line has two parts at least, and n * p / (p + 1) words if the other has n.
+    """
+    p = per_edit
+    shorter = F.greatest(F.lit(2 * p), F.ceil(n * p / (p + 1)))
+    return F.ceil(shorter * (p - 1) / (shorter + p)).cast("int")
+
+
+def _least(rows: DataFrame, window: Column, most: int) -> DataFrame:
+    """``least``: the least of each ``window`` hashes in a row of ``runs``, by doubling up to ``most``."""
+    rows, size = rows.withColumns({"least": F.col("runs"), "window": window}), 1
+    while size < most:
+        shift = F.least(F.lit(size), F.col("window") - size)
+        left = F.size("least") - shift
+        lower = F.zip_with(F.slice("least", F.lit(1), left), F.slice("least", shift + 1, left), lambda x, y: F.least(x, y))
+        rows, size = rows.withColumn("least", F.when(shift > 0, lower).otherwise(F.col("least"))), 2 * size
+    return rows
+
+
 def _with_runs(rows: DataFrame, k: int) -> DataFrame:
     """``runs``: hashes of all runs of k words from the words' hashes ``hw``, by doubling and slices.
 

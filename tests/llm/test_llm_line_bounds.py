@@ -53,3 +53,36 @@ def test_bound_grows_with_the_line(spark, monkeypatch, chunk):
 def test_too_wide_a_bound(spark):
     with pytest.raises(ValueError, match="words_per_edit"):
         module.line_dedup(spark.createDataFrame([], "doc_id long, text string"), words_per_edit=3)
+
+
+@pytest.mark.parametrize("per_edit, first", [(6, 1), (13, 2)])
+def test_other_bounds_and_lines_behind_the_first_of_their_groups(spark, monkeypatch, per_edit, first):
+    """Pairs share a least run whatever the bound, and lines that the first of a group do not settle are settled by their parts."""
+    monkeypatch.setattr(module, "FIRST", first)
+    rng, texts = random.Random(per_edit), []
+    for n in (2 * per_edit, 2 * per_edit + 1, 3 * per_edit - 1, 3 * per_edit, 60, 90):
+        line = prose(rng, n).split()
+        texts += [line, *[edited(rng, line, e) for e in (2, 2, 3, n // per_edit, n // per_edit, n // per_edit + 1)]]
+    base = prose(rng, 50).split()
+    texts += [edited(rng, base, rng.randrange(2, 6)) for _ in range(25)]
+    rng.shuffle(texts)
+
+    def near(a: list[str], b: list[str]) -> bool:
+        return a == b or min(len(a), len(b)) >= 5 and distance(a, b) <= max(1, min(len(a), len(b)) // per_edit)
+
+    want = {i: "" if any(near(a, b) for a in texts[:i]) else " ".join(b) for i, b in enumerate(texts)}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in module.line_dedup(df, words_per_edit=per_edit).collect()} == want
+
+
+def test_small_groups_go_no_further(spark, monkeypatch):
+    """Only lines with others than the first of a group before them get variants of their parts."""
+    asked, variants = [], module._part_variants
+    monkeypatch.setattr(module, "_part_variants", lambda words, p: (asked.append(words.count()), variants(words, p))[1])
+    rng, rows = random.Random(3), []
+    for k in range(6):
+        line = prose(rng, 40).split()
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(["new", *line[1:20], "word", *line[21:]]))]
+    got = module.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), words_per_edit=10).collect()
+    assert {r.doc_id for r in got if not r.text} == {1, 3, 5, 7, 9, 11}
+    assert asked == [0]
