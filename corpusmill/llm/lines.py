@@ -183,20 +183,17 @@ def _with_words(base: DataFrame, near: DataFrame, *more: str) -> DataFrame:
 def _far_lines(base: DataFrame, lines: DataFrame, late: DataFrame, min_words: int, per_edit: int) -> DataFrame:
     """``(h1, h2)`` of the distinct lines, not in ``late``, that have an earlier one within a bound over one edit.
 
-    With a bound of k edits a line has at least k parts of ``per_edit`` words, so a part holds one edit at most, and
-    one of its halves none. Lines without any run that such a pair must share are put aside first, and of those that
-    share one each is judged against the first ones of its group. That settles small groups. For lines that have others
-    before them, halves of parts then meet equal runs at any place of the lines of their groups, and from there the
-    other half's deletion variants are the keys, as they are for whole lines: a part and a stretch one edit apart
-    share a variant.
+    Lines without any run that such a pair must share are put aside first, and of those that
+    share one each is judged against the first ones of its group. That settles small groups. Lines that have others
+    before them then meet by their rarest runs: k edits leave all but so many runs of a line as they are.
     """
     long = max(min_words, 2 * per_edit)
     near = _sharing(base, long, per_edit)
     firsts = lines.filter(F.col("n") >= long).join(near, "h1").groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "line_no", "th")).alias("first")
     )
-    words = _with_words(base, firsts).join(late.withColumn("late", F.lit(True)), ["h1", "h2"], "left")
-    words = spill(words.withColumns({"open": F.col("late").isNull(), "n": F.size("w")}).drop("late"))
+    firsts = firsts.join(late.withColumn("late", F.lit(True)), ["h1", "h2"], "left").withColumn("open", F.col("late").isNull())
+    words = spill(_with_words(base, firsts, "open").withColumn("n", F.size("w")))
     met = spill(_placed(near, words))
     settled = spill(_within(_behind_first(met, words, per_edit), words, per_edit))
     left = spill(_unsettled(met, settled))
@@ -240,20 +237,17 @@ def _unsettled(met: DataFrame, settled: DataFrame) -> DataFrame:
 
 
 def _far_behind(words: DataFrame, per_edit: int) -> DataFrame:
-    """``(h1, h2)`` of the open lines that have an earlier one within the bound in ``words``, found by their parts."""
+    """``(h1, h2)`` of the open lines that have an earlier one within the bound in ``words``, found by their rarest runs."""
     words = spill(words)
-    members = _part_variants(words, per_edit)
-    place = F.struct("doc_id", "line_no", "h1", "n")
-    groups = members.groupBy("v").agg(F.min(place).alias("head"), F.max(place).alias("tail"), F.max("part").alias("any_part"))
-    groups = groups.filter((F.col("head.h1") != F.col("tail.h1")) & F.col("any_part")).select("v", "head")
-    met = spill(members.join(groups, "v"))
-    behind = met.filter(F.col("open") & (F.col("h1") != F.col("head.h1")))
-    heads = behind.filter(_close("n", "head.n", per_edit)).select("h1", F.col("head.h1").alias("q1")).distinct()
-    done = spill(_within(heads, words, per_edit))
-    rest = behind.join(done.select("h1").distinct(), "h1", "left_anti")
+    place = F.struct("doc_id", "line_no")
+    members = _part_variants(words, per_edit).join(words.select("h1", "n", "open", "doc_id", "line_no"), "h1")
+    group = Window.partitionBy("v")
+    met = members.withColumns({"head": F.min(place).over(group), "last": F.max(F.when(F.col("open"), place)).over(group)})
+    met = spill(met.filter((F.col("head") < F.col("last")) & (place <= F.col("last"))).drop("last"))
+    rest = met.filter(F.col("open") & (place > F.col("head")))
     more = spill(_behind_others(rest, met, words, per_edit))
-    found = spill(done.unionByName(words.join(more, "h1", "left_semi").select("h1", "h2")))
-    release(met, words, done, more)
+    found = spill(words.join(more, "h1", "left_semi").select("h1", "h2"))
+    release(met, words, more)
     return found
 
 
@@ -264,7 +258,7 @@ def _sharing(base: DataFrame, long: int, per_edit: int) -> DataFrame:
     that many words in a row each line takes the run with the least hash; two lines within the bound so
     take one in common. The keys are the hashes of these runs, with bands of lengths.
     """
-    run = -(-2 * (per_edit - 1) // 3) - 1  # lines have two edits at least, so these are two runs or more
+    run = _run(per_edit)
     lines = base.select(F.explode(F.split("text", "\n", -1)).alias("line"))
     lines = lines.select(_words(F.col("line")).alias("w")).withColumn("n", F.size("w")).filter(F.col("n") >= long)
     hashed = lines.select(F.xxhash64("w").alias("h1"), "n", F.transform("w", lambda w: F.xxhash64(w)).alias("hw"))
@@ -284,6 +278,11 @@ def _sharing(base: DataFrame, long: int, per_edit: int) -> DataFrame:
     return near
 
 
+def _run(per_edit: int) -> int:
+    """Words of a run: one less than lines within the bound have in common in a row, as two edits at least are allowed."""
+    return -(-2 * (per_edit - 1) // 3) - 1
+
+
 def _intact(n: Column, per_edit: int) -> Column:
     """Words in a row that a line of ``n`` shares with any line within the bound: s (p - 1) / (s + p) for a shorter line of s words.
 
@@ -323,56 +322,28 @@ def _with_runs(rows: DataFrame, k: int) -> DataFrame:
 
 
 def _part_variants(words: DataFrame, per_edit: int) -> DataFrame:
-    """``(v, part, h1, n, open, doc_id, line_no)``: variants of parts (two halves, at fixed places) and of stretches anywhere.
+    """``(h1, v)``: runs of each line of which it has one in common with any line within its bound.
 
-    The half that is left alone is in the key whole, of the other one any word is left out. A stretch at
-    an end of its line may lack one word, which then is the one left out. As k edits leave at most k / 2 parts with
-    more than one, k / 2 + 1 parts of a line will do: those whose halves are met least.
+    An edit takes as many of a line's runs as a run has words. In any order of all runs the first one that two lines have in
+    common so comes, in each of them, after no more runs than k edits take. Runs are ordered by the lines that hold them: a
+    line with too many runs of its own has no partner, whatever passage it shares, and common runs are hardly asked for.
     """
-    half = per_edit // 2
+    run = _run(per_edit)
     hashed = words.select("h1", "n", F.transform("w", lambda w: F.xxhash64(w)).alias("hw"))
-    grams = _with_runs(hashed, half).select("h1", "n", F.posexplode("runs").alias("pos", "g"))
-    aligned = (F.col("pos") % half == 0) & (F.col("pos") < F.floor(F.col("n") / (2 * half)) * (2 * half))
-    grams = spill(grams.withColumn("at", F.when(aligned, F.floor(F.col("pos") / half).cast("int"))))
-    shared = grams.groupBy("g").agg(
-        F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.count("*").alias("met"), F.count("at").alias("halves")
-    ).filter("lo < hi and halves > 0").select("g", "met")
-    parts = grams.filter("at is not null").join(shared, "g", "left")
-    parts = parts.groupBy("h1", "n", F.floor(F.col("at") / 2).alias("part")).agg(
-        F.sum(F.coalesce("met", F.lit(0))).alias("met"),
-        F.collect_list(F.when(F.col("met").isNotNull(), F.struct("pos", "g", (F.col("at") % 2).alias("side")))).alias("halves"),
-    )
-    parts = parts.groupBy("h1", "n").agg(F.array_sort(F.collect_list(F.struct("met", "part", "halves"))).alias("parts"))
-    rare = F.slice("parts", F.lit(1), F.floor(F.floor(F.col("n") / per_edit) / 2).cast("int") + 1)
-    chosen = parts.select("h1", F.flatten(F.transform(rare, lambda x: x["halves"])).alias("mine")).filter(F.size("mine") > 0)
-    chosen = spill(chosen)
-    wanted = chosen.select(F.explode("mine").alias("x")).groupBy("x.g").agg(F.collect_set("x.side").alias("sides"))
-    hits = grams.join(wanted, "g").groupBy("h1").agg(F.collect_list(F.struct("pos", "g", "sides")).alias("hits"))
-    hits = hits.join(chosen, "h1", "left")
-    each = words.join(hits, "h1").select("h1", "n", "open", "doc_id", "line_no", "w", "mine", F.explode("hits").alias("hit"))
-    each = each.select("*", F.explode("hit.sides").alias("of"))
-    begin = F.when(F.col("of") == 0, F.col("hit.pos") + half).otherwise(F.greatest(F.col("hit.pos") - half, F.lit(0)))
-    size = F.when(F.col("of") == 0, F.lit(half)).otherwise(F.least(F.col("hit.pos"), F.lit(half)))
-    other = F.slice("w", begin + 1, size)
-
-    def key(rest: Column) -> Column:
-        return F.xxhash64("of", "hit.g", rest)
-
-    def without(o: Column) -> Column:
-        cuts = F.transform(F.sequence(F.lit(0), F.lit(half - 1)), lambda i: key(F.concat(F.slice(o, F.lit(1), i), F.slice(o, i + 2, F.lit(half)))))
-        return F.when(F.size(o) == half, cuts).when(F.size(o) == half - 1, F.array(key(o)))
-
-    each = each.withColumn("o", other).withColumn("vs", without(F.col("o")))
-    part = F.coalesce(F.exists("mine", lambda x: (x["pos"] == F.col("hit.pos")) & (x["side"] == F.col("of"))), F.lit(False))
-    each = each.select(F.explode("vs").alias("v"), part.alias("part"), "h1", "n", "open", "doc_id", "line_no")
-    return each.groupBy("v", "h1").agg(F.max("part").alias("part"), *[F.first(c).alias(c) for c in ("n", "open", "doc_id", "line_no")])
+    runs = _with_runs(hashed, run).select("h1", "n", F.array_distinct("runs").alias("runs"))
+    taken = F.floor(F.col("n") / per_edit).cast("int") * run
+    each = runs.select("h1", (taken + 1 - F.size("runs")).alias("over"), F.explode("runs").alias("v"))
+    held = each.withColumn("met", F.count("*").over(Window.partitionBy("v"))).filter("met > 1")
+    held = held.groupBy("h1", "over").agg(F.array_sort(F.collect_list(F.struct("met", "v"))).alias("runs"))
+    room = F.greatest(F.col("over") + F.size("runs"), F.lit(0))  # the line's runs that no other has come first
+    return held.select("h1", F.explode(F.slice("runs", F.lit(1), room)["v"]).alias("v"))
 
 
 def _behind_others(rest: DataFrame, met: DataFrame, words: DataFrame, per_edit: int) -> DataFrame:
     """``h1`` of the lines in ``rest`` that have a line within the bound, earlier and not the first, in a group of ``met``.
 
     Groups of the same lines are looked at once. Pairs are judged where they meet and never given out: first
-    by bitmaps of their words alone, then, for lines that pass on either side, by letters that stand for
+    by bitmaps of their words alone, then, for lines that pass on either side, also by letters that stand for
     word hashes and by numbers that stand for the words. Large groups meet in chunks.
     """
     bits = words.select("h1", *[_bits(i).alias(f"bits{i}") for i in range(BITMAPS)])
@@ -385,10 +356,10 @@ def _behind_others(rest: DataFrame, met: DataFrame, words: DataFrame, per_edit:
     some = spill(late.union(early).distinct())
     hashes = F.transform("w", lambda w: F.xxhash64(w))
     known = words.join(some, "h1", "left_semi").select("h1", hashes.alias("hw"), _letters(F.transform(hashes, _code_point)).alias("code"))
-    left = spill(_once(held.drop("held", *[f"bits{i}" for i in range(BITMAPS)]).join(some, "h1", "left_semi")).join(known, "h1"))
+    left = spill(_once(held.drop("held").join(some, "h1", "left_semi")).join(known, "h1"))
 
     def near(bound: Column) -> Column:
-        return (F.call_function("levenshtein", F.col("a.code"), F.col("b.code"), bound) >= 0) & _within_words(
+        return _alike(bound) & (F.call_function("levenshtein", F.col("a.code"), F.col("b.code"), bound) >= 0) & _within_words(
             F.col("a.hw"), F.col("b.hw"), bound
         )
 
@@ -457,10 +428,11 @@ def _within_words(w: Column, q: Column, bound: Column) -> Column:
 
 def _within(pairs: DataFrame, words: DataFrame, per_edit: int) -> DataFrame:
     """``(h1, h2)`` of lines whose pair (h1, q1) lies within the bound."""
-    both = pairs.join(words.select("h1", "h2", "w"), "h1")
-    both = both.join(words.select(F.col("h1").alias("q1"), F.col("w").alias("q")), "q1")
-    bound = F.floor(F.least(F.size("w"), F.size("q")) / per_edit).cast("int")
-    return both.filter(_within_words(F.col("w"), F.col("q"), bound)).select("h1", "h2").distinct()
+    held = words.select("h1", "w")  # the same for both lines of a pair, so that it is moved once
+    both = pairs.alias("p").join(held.alias("a"), F.col("p.h1") == F.col("a.h1")).join(held.alias("b"), F.col("p.q1") == F.col("b.h1"))
+    bound = F.floor(F.least(F.size("a.w"), F.size("b.w")) / per_edit).cast("int")
+    near = both.filter(_within_words(F.col("a.w"), F.col("b.w"), bound)).select("p.h1").distinct()
+    return words.select("h1", "h2").join(near, "h1", "left_semi")
 
 
 def _without(words: str, at: Column) -> Column:

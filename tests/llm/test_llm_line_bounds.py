@@ -8,6 +8,7 @@ import pytest
 from helpers import prose, words
 
 from corpusmill.llm import lines as module
+from corpusmill.session import settings
 
 
 def distance(a: list[str], b: list[str]) -> int:
@@ -86,3 +87,30 @@ def test_small_groups_go_no_further(spark, monkeypatch):
     got = module.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), words_per_edit=10).collect()
     assert {r.doc_id for r in got if not r.text} == {1, 3, 5, 7, 9, 11}
     assert asked == [0]
+
+
+def test_lines_that_share_a_passage_alone_do_not_meet(spark):
+    """Lines with more runs of their own than their edits can take are not asked for; lines of a family meet by a run at least."""
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(20)]
+    family = [f"f{i}" for i in range(60)]
+    texts = [[*(f"a{k}x{i}" for i in range(15)), *passage, *(f"b{k}x{i}" for i in range(25))] for k in range(30)]
+    texts += [family, edited(rng, family, 6), ["w"] * 40, ["w"] * 43]
+    rows = [(k, 0, k, k, len(t), True, t) for k, t in enumerate(texts)]
+    lines = spark.createDataFrame(rows, "doc_id long, line_no int, h1 long, h2 long, n int, open boolean, w array<string>")
+    met = {}
+    for r in module._part_variants(lines, 10).select("h1", "v").collect():
+        met.setdefault(r.v, set()).add(r.h1)
+    assert {frozenset(x) for x in met.values() if len(x) > 1} == {frozenset({30, 31}), frozenset({32, 33})}
+    assert not any(k < 30 for x in met.values() for k in x)
+
+
+def test_words_of_pairs_are_moved_once(spark, tmp_path):
+    """Both lines of a pair get their words from one reading, planned alike, so that one shuffle serves both."""
+    rows = [(k, k, [f"w{i}" for i in range(20 + k)]) for k in range(3)]
+    spark.createDataFrame(rows, "h1 long, h2 long, w array<string>").write.parquet(f"{tmp_path}/words")
+    pairs = spark.createDataFrame([(1, 0), (2, 0)], "h1 long, q1 long")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        found = module._within(pairs, spark.read.parquet(f"{tmp_path}/words"), 10)
+        assert found._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") == 1
+        assert {r.h1 for r in found.collect()} == {1, 2}
