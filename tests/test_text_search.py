@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from corpusmill.operators import text_search
@@ -136,3 +137,29 @@ def test_a_repeated_question_counts_once(spark):
     index = build_text_index(spark.createDataFrame(chunks, CHUNKS), n_blocks=4)
     queries = [(1, "red w1 w2")]
     assert got(bm25_top_k(spark.createDataFrame(queries * 2, QUERIES), index, 5)) == plain(queries, chunks, 5)
+
+
+def test_tables_of_queries_are_never_sent_whole(spark, monkeypatch):
+    """They compress to next to nothing in files, so a broadcast by file size fills the driver."""
+    chunks, stored = corpus(5), []
+    index = build_text_index(spark.createDataFrame(chunks, CHUNKS), n_blocks=3)
+    write = text_search.spill
+    monkeypatch.setattr(text_search, "spill", lambda df: (stored.append(plan_of(df)), write(df))[1])
+    found = bm25_top_k(spark.createDataFrame([(i, f"the w{i} w{i + 1}") for i in range(9)], QUERIES), index, 3)
+    per_query = [p for p in [*stored, plan_of(found)] if "FlatMapCoGroupsInArrow" in p or "floor" in p]
+    assert len(per_query) >= 3
+    for plan in per_query:
+        sent = [line for line in plan.split("\n") if "BroadcastHashJoin [" in line or "BroadcastHashJoin LeftOuter" in line]
+        assert not [line for line in sent if "query" in line]
+    assert "SortMergeJoin" in plan_of(found)
+
+
+def test_sums_by_product_and_by_places_are_the_same(spark, monkeypatch):
+    chunks = corpus(3) + [(7, "the w1 w1 again")]  # a key of two texts
+    queries = spark.createDataFrame([(i, f"the w{i % 5} w{i % 9 + 1} w{i}") for i in range(70)], QUERIES)
+    index, found = build_text_index(spark.createDataFrame(chunks, CHUNKS), n_blocks=2), []
+    for common, places in ((0, 1 << 22), (0, 50), (2, 7), (256, 1 << 22)):
+        monkeypatch.setattr(text_search, "COMMON_TERMS", common)
+        monkeypatch.setattr(text_search, "PLACES", places)
+        found.append(got(bm25_top_k(queries, index, 5)))
+    assert found[0] and found.count(found[0]) == len(found)
