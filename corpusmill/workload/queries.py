@@ -68,7 +68,7 @@ from corpusmill.plans.ingest import ingest
 from corpusmill.schemas import ParsedDocument, record_schema
 from corpusmill.session import scratch_dir, spill, spread
 from corpusmill.sources.eval_rows import conform_eval_rows, inline_eval_rows
-from corpusmill.sources.files import load_files
+from corpusmill.sources.files import load_files, store_files
 from corpusmill.sources.tables import default_chunk_table, overwrite_table, table_location
 from corpusmill.streaming.logs import follow, holding, refresh_evaluation_set
 from corpusmill.workload import fixtures as fx
@@ -124,7 +124,7 @@ select page_id, octet_length(encode(html)) + 1 as length, md5(html || chr(10)) a
 def src_binary_files(spark, sf_dir):
     """Every page as a file of its own, loaded again by its bytes; the text writer ends a file with a line break."""
     pages, folder = fx.table(spark, sf_dir, "pages"), scratch_dir(spark)
-    pages.select("page_id", "html").repartition("page_id").write.partitionBy("page_id").text(folder)
+    store_files(pages, folder, "page_id", "html")
     files = load_files(spark, folder, "*.txt")
     page = F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("long")
     return files.select(page.alias("page_id"), "length", F.md5("content").alias("digest"))

@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 
 from corpusmill.operators.parse import parse_files
 from corpusmill.schemas import EVALUATION_ROW, PARSED_DOCUMENT, propagated_columns, record_schema
-from corpusmill.session import exists, scratch_dir, spill, spread
+from corpusmill.session import exists, scratch_dir, settings, spill, spread
 from corpusmill.sources import tables
 from corpusmill.sources.eval_rows import conform_eval_rows, inline_eval_rows
-from corpusmill.sources.files import load_files
+from corpusmill.sources.files import load_files, store_files
 from corpusmill.sources.tables import default_chunk_table, overwrite_table, read_table
 
 
@@ -54,6 +54,30 @@ def test_every_given_file_is_listed(spark, sf_dir):
     assert len(files) == 14 and all(f.length > 0 for f in files)
 
 
+def test_a_file_per_key_lies_in_few_folders(spark, monkeypatch, tmp_path):
+    rows = [(i, f"é{i}\nmore") for i in range(200)] + [(7, "again"), (8, None), (9, ""), (None, "no key")]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    store_files(pages, f"file://{tmp_path}/a b", "page_id", "html")
+    assert len(list((tmp_path / "a b").iterdir())) <= 64  # not a folder for each file
+    found = {r.path.rsplit("page_id=", 1)[1]: bytes(r.content) for r in load_files(spark, f"{tmp_path}/a b", "*.txt").collect()}
+    assert found.pop("__HIVE_DEFAULT_PARTITION__.txt") == b"no key\n"
+    assert sorted(found.pop("7.txt").split(b"\n")) == sorted("é7\nmore\nagain\n".encode().split(b"\n"))
+    assert found.pop("8.txt") in ("é8\nmore\n\n".encode(), "\né8\nmore\n".encode())
+    assert found.pop("9.txt") in ("é9\nmore\n\n".encode(), "\né9\nmore\n".encode())
+    assert found == {f"{i}.txt": f"é{i}\nmore\n".encode() for i in range(200) if i not in (7, 8, 9)}
+    store_files(pages.limit(0), f"{tmp_path}/none", "page_id", "html")
+    assert load_files(spark, f"{tmp_path}/none", "*.txt").count() == 0
+
+
+def test_small_files_are_read_many_a_task(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"{i}.txt").write_text("x" * (i + 1))
+    with settings(spark, {"spark.sql.files.openCostInBytes": str(64 << 20)}):
+        files = load_files(spark, str(tmp_path), "*.txt")
+        assert files.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism
+        assert sorted(r.length for r in files.collect()) == list(range(1, 301))
+
+
 def test_overwrite_replaces_schema(spark):
     where = scratch_dir(spark)
     overwrite_table(spark.range(3).toDF("a"), "t_overwrite", path=where)
